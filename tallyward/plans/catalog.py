@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from tallyward.plans import catalog_cohort
+from tallyward.plans import (
+    catalog_cohort,
+    catalog_drift,
+    catalog_evaluate,
+    catalog_profile,
+)
 
-_TOPICS = [catalog_cohort]
+_TOPICS = [catalog_cohort, catalog_profile, catalog_evaluate, catalog_drift]
 
 QUERIES = {}
 ORACLES = {}
