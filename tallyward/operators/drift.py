@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +19,27 @@ PSI_WATCH = 0.10
 KS_ALERT = 0.10
 
 
-def psi_edges(reference: DataFrame, features: Sequence[str], n_bins: int = 10, approx: bool = False) -> DataFrame:
-    """Distinct quantile edges per feature; a row per feature.
+@dataclass(frozen=True)
+class PsiReference:
+    """Fitted bins of one feature: distinct edges and the reference's shares."""
 
-    Exact edges order all distinct values of all features once. ``approx``
-    trades that shuffle for a sketch on very wide-ranging features.
+    feature: str
+    edges: tuple[float, ...]
+    shares: tuple[float, ...]
+
+    @property
+    def degenerate(self) -> bool:
+        return len(self.edges) < 3
+
+
+def fit_psi_reference(
+    reference: DataFrame, features: Sequence[str], n_bins: int = 10, approx: bool = False
+) -> list[PsiReference]:
+    """Quantile bins and shares of the reference, fitted once and reused per batch.
+
+    Exact edges order all distinct values of all features together. ``approx``
+    trades that shuffle for a sketch on wide-ranging features. What returns to
+    the driver is at most ``n_bins + 1`` numbers per feature.
     """
     long = to_long(reference, [], features, "double")
     probs = [i / n_bins for i in range(n_bins + 1)]
@@ -30,74 +47,84 @@ def psi_edges(reference: DataFrame, features: Sequence[str], n_bins: int = 10, a
         q = long.groupBy("variable").agg(F.percentile_approx("value", probs, 10_000).alias("quantiles"))
     else:
         q = exact_quantiles(long, "value", probs, ["variable"])
-    return q.select("variable", F.array_sort(F.array_distinct("quantiles")).alias("edges"))
+    found = {r["variable"]: tuple(sorted(set(r["quantiles"]))) for r in q.collect()}
+    edges = {f: found.get(f, ()) for f in features}
+    counts: dict[str, dict[int, int]] = {f: {} for f in features}
+    for r in _cell_counts(reference, edges, []).collect():
+        counts[r["feature"]][r["cell"]] = r["c"]
+    fitted = []
+    for f in features:
+        inside = [counts[f].get(i, 0) for i in range(1, len(edges[f]))]
+        total = sum(inside)
+        fitted.append(PsiReference(f, edges[f], tuple(c / total for c in inside) if total else ()))
+    return fitted
 
 
-def psi(
-    reference: DataFrame,
-    current: DataFrame,
-    features: Sequence[str],
-    period: str,
-    n_bins: int = 10,
-    edges: DataFrame | None = None,
-) -> DataFrame:
-    """PSI per (period, feature) of ``current`` against ``reference``.
+def _cell_counts(df: DataFrame, edges: Mapping[str, Sequence[float]], keep: Sequence[str]) -> DataFrame:
+    """Counts per (keep, feature, cell), combined on the map side.
+
+    The cell of a value is 1-based, [e_i, e_i+1) with the last one closed; 0 or
+    one past the end lies outside. Cells are plain comparisons with literals.
+    """
+    cells = {}
+    for f, cuts in edges.items():
+        v = F.col(f).cast("double")
+        cell = F.lit(0)
+        for e in cuts:
+            cell = cell + F.when(v >= F.lit(e), 1).otherwise(0)
+        if cuts:
+            cell = cell - F.when(v == F.lit(cuts[-1]), 1).otherwise(0)
+        cells[f] = F.when(v.isNotNull(), cell)
+    slim = df.select(*keep, *[c.alias(f) for f, c in cells.items()])
+    long = slim.unpivot(list(keep), list(cells), "feature", "cell").where("cell IS NOT NULL")
+    return long.groupBy(*keep, "feature", "cell").agg(F.count("*").alias("c"))
+
+
+def psi(reference: Sequence[PsiReference], current: DataFrame, period: str) -> DataFrame:
+    """PSI per (period, feature) of ``current`` against fitted bins.
 
     Values outside the reference range are left out of both counts, shares are
     floored and not renormalised. Fewer than three distinct edges give 0 and
-    ``degenerate``; no value inside the range gives NULL.
+    ``degenerate``; no value inside the range gives NULL. One pass over
+    ``current``; what is shuffled are counts per period, feature and bin.
     """
-    edges = edges if edges is not None else psi_edges(reference, features, n_bins)
-    ref = to_long(reference.withColumn("__p", F.lit(None).cast(current.schema[period].dataType)), ["__p"], features, "double")
-    cur = to_long(current.withColumn("__p", F.col(period)).where(F.col(period).isNotNull()), ["__p"], features, "double")
-    both = ref.withColumn("is_ref", F.lit(True)).unionByName(cur.withColumn("is_ref", F.lit(False)))
-    # one row per feature on the right, bounded by the table's width
-    placed = both.join(F.broadcast(edges), "variable")
-    at = lambda i: F.get("edges", F.lit(i))
-    cell = F.lit(0)
-    for i in range(n_bins + 1):
-        cell = cell + F.when(F.col("value") >= at(i), 1).otherwise(0)
-    last = F.col("value") == F.element_at("edges", -1)
-    counts = (
-        placed.withColumn("cell", cell - F.when(last, 1).otherwise(0))
-        .groupBy("is_ref", "__p", "variable", "cell")
-        .agg(F.count("*").alias("c"))
+    edges = {ref.feature: ref.edges for ref in reference}
+    expected = F.create_map(
+        *[
+            x
+            for ref in reference
+            for x in (
+                F.lit(ref.feature),
+                F.array(*[F.lit(max(s, PSI_FLOOR)) for s in ref.shares]).cast("array<double>"),
+            )
+        ]
     )
-    inside = counts.join(F.broadcast(edges), "variable").where(
-        (F.col("cell") >= 1) & (F.col("cell") < F.size("edges"))
+    degenerate = [ref.feature for ref in reference if ref.degenerate]
+    counted = (
+        _cell_counts(current.where(F.col(period).isNotNull()), edges, [period])
+        .groupBy(period, "feature")
+        .agg(F.map_from_entries(F.collect_list(F.struct("cell", "c"))).alias("cells"))
+        .withColumn("expected", F.try_element_at(expected, F.col("feature")))
     )
-    ref_counts = inside.where("is_ref").select("variable", "cell", F.col("c").alias("e"))
-    ref_total = ref_counts.groupBy("variable").agg(F.sum("e").alias("te"))
-    cur_counts = inside.where("NOT is_ref").select("__p", "variable", "cell", F.col("c").alias("a"))
-    cur_total = cur_counts.groupBy("__p", "variable").agg(F.sum("a").alias("ta"))
-
-    pairs = counts.where("NOT is_ref").select("__p", "variable").distinct()
-    axis = pairs.join(F.broadcast(edges), "variable").withColumn("degenerate", F.size("edges") < 3)
-    dense = axis.select(
-        "__p", "variable", "degenerate",
-        F.explode(F.sequence(F.lit(1), F.greatest(F.size("edges") - 1, F.lit(1)))).alias("cell"),
+    actual = F.transform(
+        F.col("expected"), lambda _, i: F.coalesce(F.try_element_at("cells", (i + 1).cast("int")), F.lit(0))
     )
-    joined = (
-        dense.join(cur_counts, ["__p", "variable", "cell"], "left")
-        .join(ref_counts, ["variable", "cell"], "left")
-        .join(cur_total, ["__p", "variable"], "left")
-        .join(ref_total, ["variable"], "left")
-    )
-    e = F.greatest(F.coalesce("e", F.lit(0)) / F.col("te"), F.lit(PSI_FLOOR))
-    a = F.greatest(F.coalesce("a", F.lit(0)) / F.col("ta"), F.lit(PSI_FLOOR))
-    term = F.when(F.col("ta").isNotNull() & F.col("te").isNotNull(), (a - e) * F.log(a / e))
-    return (
-        joined.groupBy("__p", "variable", "degenerate")
-        .agg(F.sum(term).alias("raw"))
-        .select(
-            F.col("__p").alias(period),
-            F.col("variable").alias("feature"),
-            F.when(F.col("degenerate"), 0.0).otherwise(F.col("raw")).alias("psi"),
-            "degenerate",
-        )
+    flag = F.col("feature").isin(*degenerate) if degenerate else F.lit(False)
+    return counted.withColumn("actual", actual).select(
+        period,
+        "feature",
+        F.when(flag, 0.0).otherwise(_psi_value(F.col("actual"), F.col("expected"))).alias("psi"),
+        flag.alias("degenerate"),
     )
 
 
+def _psi_value(counts: Column, expected: Column) -> Column:
+    total = F.aggregate(counts, F.lit(0).cast("long"), lambda acc, c: acc + c)
+    shares = F.transform(counts, lambda c: F.greatest(c / total, F.lit(PSI_FLOOR)))
+    terms = F.zip_with(shares, expected, lambda a, e: (a - e) * F.log(a / e))
+    return F.when(total > 0, F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t))
+
+
 def ks_by_period(
     reference: DataFrame, current: DataFrame, score: str, period: str, periods: Sequence
 ) -> DataFrame:
@@ -156,12 +183,13 @@ def drift_report(
     features: Sequence[str],
     n_batches: int = 4,
     tau: float = 0.12,
-    edges: DataFrame | None = None,
+    psi_reference: Sequence[PsiReference] | None = None,
 ) -> DataFrame:
     """One row per ordered batch: size, AUC, rates, KS, PSI map, mean PSI, alert.
 
     All batches come from the same few passes; batch numbers start at 1. The
-    mean PSI includes degenerate features as 0.
+    mean PSI includes degenerate features as 0. ``psi_reference`` takes bins
+    fitted earlier, so a monitoring run reads the reference for its scores only.
     """
     batched = ordered_batches(current, key, n_batches).withColumn("batch", F.col("batch") + 1)
     numbers = list(range(1, n_batches + 1))
@@ -170,8 +198,9 @@ def drift_report(
         auc_agg().alias("auc_roc"), *[e.alias(n) for n, e in flagged_aggs(tau).items()]
     )
     ks = ks_by_period(reference, batched, score, "batch", numbers).select("batch", "ks_stat", "ks_pval")
+    fitted = psi_reference if psi_reference is not None else fit_psi_reference(reference, features)
     shifts = (
-        psi(reference, batched, features, "batch", edges=edges)
+        psi(fitted, batched, "batch")
         .groupBy("batch")
         .agg(
             F.avg("psi").alias("mean_psi"),

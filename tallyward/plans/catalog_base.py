@@ -59,7 +59,8 @@ def features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def mart(spark: SparkSession, d: str) -> DataFrame:
-    return build_mart(raw(spark, d), ["prob"])
+    """The mart as a stored table: several passes read it, each its own columns."""
+    return build_mart(raw(spark, d), ["prob"], materialized=True)
 
 
 def any_of(col: Column, *values) -> Column:

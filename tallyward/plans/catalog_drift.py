@@ -66,7 +66,7 @@ BASE = {"tr": "SELECT * FROM mart WHERE split_group = 'train'", "ho": SQL_BATCHE
 )
 def _(spark, d):
     train, holdout = batches(spark, d)
-    return rounded(D.psi(train, holdout, FEATURES, "batch"), "psi")
+    return rounded(D.psi(D.fit_psi_reference(train, FEATURES), holdout, "batch"), "psi")
 
 
 @query(
@@ -75,8 +75,8 @@ def _(spark, d):
     + ", ".join(
         f"{n} AS MATERIALIZED ({q})"
         for n, q in {
-            "tr": "SELECT * FROM lineitem WHERE l_shipdate < DATE '1995-01-01'",
-            "ho": "SELECT *, CAST(YEAR(l_shipdate) AS INTEGER) AS yr FROM lineitem WHERE l_shipdate >= DATE '1995-01-01'",
+            "tr": "SELECT * FROM lineitem WHERE l_shipdate < DATE '1997-01-01'",
+            "ho": "SELECT *, CAST(YEAR(l_shipdate) AS INTEGER) AS yr FROM lineitem WHERE l_shipdate >= DATE '1997-01-01'",
             **psi_steps("tr", "ho", "yr", ["l_quantity", "l_extendedprice", "l_discount"]),
         }.items()
     )
@@ -84,9 +84,10 @@ def _(spark, d):
 )
 def _(spark, d):
     items = table(spark, d, "lineitem").withColumn("yr", F.year("l_shipdate"))
-    before = items.where(F.col("l_shipdate") < F.to_timestamp_ntz(F.lit("1995-01-01 00:00:00")))
-    after = items.where(F.col("l_shipdate") >= F.to_timestamp_ntz(F.lit("1995-01-01 00:00:00")))
-    return rounded(D.psi(before, after, ["l_quantity", "l_extendedprice", "l_discount"], "yr"), "psi")
+    before = items.where(F.col("l_shipdate") < F.to_timestamp_ntz(F.lit("1997-01-01 00:00:00")))
+    after = items.where(F.col("l_shipdate") >= F.to_timestamp_ntz(F.lit("1997-01-01 00:00:00")))
+    fitted = D.fit_psi_reference(before, ["l_quantity", "l_extendedprice", "l_discount"])
+    return rounded(D.psi(fitted, after, "yr"), "psi")
 
 
 SQL_KS = {

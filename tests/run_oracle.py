@@ -22,8 +22,12 @@ if __name__ == "__main__":
     bad = 0
     for name in names or queries:
         start = time.time()
+        built = ran = 0.0
         try:
             df = queries[name](spark, data)
+            built = time.time() - start
+            df.write.format("noop").mode("overwrite").save()
+            ran = time.time() - start
             if name in oracles:
                 problems = compare(df, con, oracles[name])
             else:
@@ -32,7 +36,7 @@ if __name__ == "__main__":
         except Exception as err:  # report and go on
             problems = [f"{type(err).__name__}: {str(err)[:600]}"]
         bad += bool(problems)
-        print(f"{'FAIL' if problems else 'ok  '} {name:28s} {time.time() - start:6.2f}s", "" if name in oracles else "(rows only)", flush=True)
+        print(f"{'FAIL' if problems else 'ok  '} {name:28s} build {built:5.2f} spark {ran:6.2f} total {time.time() - start:6.2f}", "" if name in oracles else "(rows only)", flush=True)
         for p in problems:
             print("    ", p)
     print(f"{bad} failing of {len(names or queries)}")
