@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from tallyward.plans import (
+    catalog_causal,
     catalog_cohort,
     catalog_drift,
     catalog_evaluate,
     catalog_profile,
 )
 
-_TOPICS = [catalog_cohort, catalog_profile, catalog_evaluate, catalog_drift]
+_TOPICS = [catalog_cohort, catalog_profile, catalog_evaluate, catalog_drift, catalog_causal]
 
 QUERIES = {}
 ORACLES = {}
