@@ -85,7 +85,8 @@ def block_randomize(df: DataFrame, key: str, strata: Sequence[str], block: int =
     numbered = running_totals(df, key, {"one": F.count("*")}, strata).select(
         *strata, key, F.floor((F.col("cum_one") - 1) / block).alias("block")
     )
-    order = Window.partitionBy(*strata, "block").orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key))
+    shuffled = F.md5(F.concat_ws(":", F.col(key), F.lit(seed)))
+    order = Window.partitionBy(*strata, "block").orderBy(shuffled, F.col(key))
     return numbered.withColumn("arm", F.when(F.row_number().over(order) <= block // 2, 1).otherwise(0))
 
 

@@ -88,7 +88,17 @@ def psi(reference: Sequence[PsiReference], current: DataFrame, period: str) -> D
     ``degenerate``; no value inside the range gives NULL. One pass over
     ``current``; what is shuffled are counts per period, feature and bin.
     """
+    return psi_from_counts(reference, cell_counts(reference, current, period), period)
+
+
+def cell_counts(reference: Sequence[PsiReference], current: DataFrame, period: str) -> DataFrame:
+    """Rows (period, feature, cell, c): the additive state behind :func:`psi`."""
     edges = {ref.feature: ref.edges for ref in reference}
+    return _cell_counts(current.where(F.col(period).isNotNull()), edges, [period])
+
+
+def psi_from_counts(reference: Sequence[PsiReference], counts: DataFrame, period: str) -> DataFrame:
+    """PSI from counts per bin, however they were gathered."""
     expected = F.create_map(
         *[
             x
@@ -101,8 +111,7 @@ def psi(reference: Sequence[PsiReference], current: DataFrame, period: str) -> D
     )
     degenerate = [ref.feature for ref in reference if ref.degenerate]
     counted = (
-        _cell_counts(current.where(F.col(period).isNotNull()), edges, [period])
-        .groupBy(period, "feature")
+        counts.groupBy(period, "feature")
         .agg(F.map_from_entries(F.collect_list(F.struct("cell", "c"))).alias("cells"))
         .withColumn("expected", F.try_element_at(expected, F.col("feature")))
     )

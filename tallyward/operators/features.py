@@ -112,9 +112,16 @@ def fit_features(
     scale: dict[str, tuple[float, float]] = {}
     if numeric:
         row = train.agg(
-            *[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c) for c in numeric]
+            *[
+                F.struct(
+                    F.avg(c).alias("m"),
+                    # a constant column: its computed deviation may be rounding noise
+                    F.when(F.min(c) < F.max(c), F.stddev_pop(c)).alias("s"),
+                ).alias(c)
+                for c in numeric
+            ]
         ).first()
-        scale = {c: (float(row[c]["m"] or 0.0), float(row[c]["s"] or 0.0) or 1.0) for c in numeric}
+        scale = {c: (float(row[c]["m"] or 0.0), float(row[c]["s"] or 1.0)) for c in numeric}
     return FeaturePlan(
         scale=scale,
         ordinals=[(g, c, tuple(o)) for g, c, o in ordinal if c in known],

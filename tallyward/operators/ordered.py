@@ -243,8 +243,7 @@ def fraction_split(
     first count whose ratio reaches f, that is when its key is at most the key
     at position t - 1. Ties therefore stay together. A NULL key sorts last.
 
-    The labels become plain comparisons with two literals: no shuffle, and a
-    filter on the label still reaches the scan.
+    The labels become plain comparisons with literals: no row is shuffled.
     """
 
     def position(limit: float) -> Callable[[int], int]:

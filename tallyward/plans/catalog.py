@@ -7,10 +7,11 @@ from tallyward.plans import (
     catalog_cohort,
     catalog_drift,
     catalog_evaluate,
+    catalog_models,
     catalog_profile,
 )
 
-_TOPICS = [catalog_cohort, catalog_profile, catalog_evaluate, catalog_drift, catalog_causal]
+_TOPICS = [catalog_cohort, catalog_profile, catalog_evaluate, catalog_drift, catalog_causal, catalog_models]
 
 QUERIES = {}
 ORACLES = {}

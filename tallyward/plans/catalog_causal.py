@@ -204,6 +204,21 @@ def _(spark, d):
     return matched(spark, d)[1]
 
 
+@query(
+    "psm_equal_scores",
+    with_steps(
+        "features",
+        "SELECT t.encounter_id AS treated, c.encounter_id AS control, 0.0::DOUBLE AS distance FROM r t JOIN r c ON t.prob = c.prob AND t.k = c.k WHERE t.a = 1 AND c.a = 0",
+        r="SELECT *, ROW_NUMBER() OVER (PARTITION BY prob, a ORDER BY encounter_id) AS k FROM "
+        "(SELECT encounter_id, prob, CASE WHEN insulin IN ('Up', 'Down') THEN 1 ELSE 0 END AS a FROM features)",
+    ),
+)
+def _(spark, d):
+    # caliper 0: only equal scores pair, which SQL can say with row numbers
+    df = features(spark, d).select("encounter_id", "prob", flag(F.col("insulin").isin("Up", "Down")).alias("a"))
+    return M.match_pairs(df, "encounter_id", "a", "prob", caliper_sd=0.0)
+
+
 @query("psm_counts")
 def _(spark, d):
     df, pairs = matched(spark, d)
@@ -347,7 +362,15 @@ def _(spark, d):
     return X.feasibility(sizes, "pct_flagged", 5000).drop("risk", "pct_flagged", "n_total")
 
 
-@query("block_randomize")
+@query(
+    "block_randomize",
+    with_steps(
+        "features",
+        "SELECT age_group, admission_type_group, encounter_id, block, CASE WHEN ROW_NUMBER() OVER (PARTITION BY age_group, admission_type_group, block "
+        "ORDER BY md5(encounter_id || ':1'), encounter_id) <= 2 THEN 1 ELSE 0 END AS arm FROM ("
+        "SELECT age_group, admission_type_group, encounter_id, (ROW_NUMBER() OVER (PARTITION BY age_group, admission_type_group ORDER BY encounter_id) - 1) // 4 AS block FROM features)",
+    ),
+)
 def _(spark, d):
     return X.block_randomize(features(spark, d), "encounter_id", ["age_group", "admission_type_group"], 4)
 
