@@ -7,21 +7,71 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import RFormula
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.stats import e_value, t_two_sided
+from tallyward.operators.features import category_levels, sql_text
 from tallyward.operators.ordered import running_totals
 from tallyward.operators.profile import to_long
+from tallyward.session import materialize
 
+TERM = "__t_"  # keeps design columns apart from the table's own
 SMD_LIMIT = 0.1
 Z_95 = 1.959963984540054  # fixed value: 97.5 % point of the standard normal
 
 
+def design(df: DataFrame, covariates: Sequence[str], interactions: Sequence[str] = ()) -> dict[str, str]:
+    """Treatment-coded terms as SQL expressions, in formula order.
+
+    Strings get one 0/1 term per level but the alphabetically first, found in
+    one pass for all columns; a level unseen here reads as the baseline. A
+    NULL stays NULL in its terms. ``interactions`` name products: ``a:b``.
+    """
+    types = dict(df.dtypes)
+    parts = {c for term in interactions for c in term.split(":")}
+    used = list(dict.fromkeys([*covariates, *sorted(parts)]))
+    text = [c for c in used if types[c] in ("string", "boolean")]
+    levels = category_levels(df, text) if text else {}
+
+    def terms(c: str) -> dict[str, str]:
+        if c not in levels:
+            return {c: f"CAST(`{c}` AS DOUBLE)"}
+        return {
+            f"{c}_{v}": f"CAST(CAST(`{c}` AS STRING) = {sql_text(v)} AS DOUBLE)" for v in levels[c][1:]
+        }
+
+    out: dict[str, str] = {}
+    for c in covariates:
+        out.update(terms(c))
+    for term in interactions:
+        crossed = {"": "1.0D"}
+        for c in term.split(":"):
+            crossed = {
+                (f"{n}:{m}" if n else m): f"{e} * {g}" for n, e in crossed.items() for m, g in terms(c).items()
+            }
+        out.update(crossed)
+    return out
+
+
+def design_stages(terms: dict[str, str], out: str = "__x") -> list:
+    """Native ML stages assembling the terms; rows with a NULL term are left out."""
+    select = ", ".join(f"{e} AS `{n}`" for n, e in _prefixed(terms).items())
+    names = list(_prefixed(terms))
+    return [
+        SQLTransformer(statement=f"SELECT *, {select} FROM __THIS__"),
+        VectorAssembler(inputCols=names, outputCol=out, handleInvalid="skip"),
+        SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(f'`{n}`' for n in names)}) FROM __THIS__"),
+    ]
+
+
+def _prefixed(terms: dict[str, str]) -> dict[str, str]:
+    return {f"{TERM}{n}": e for n, e in terms.items()}
+
+
 def fit_logit(
     df: DataFrame,
     response: str,
@@ -32,39 +82,33 @@ def fit_logit(
 ) -> PipelineModel:
     """Logistic GLM with treatment-coded categories.
 
-    The alphabetically first level is the baseline. ``interactions`` are
-    formula terms such as ``treated:age_group``.
+    The design is written once in the shared folder: every reweighting step
+    of the fit reads the matrix, not the plan behind it.
     """
-    formula = f"{response} ~ " + " + ".join([*covariates, *interactions])
-    encode = RFormula(
-        formula=formula,
-        featuresCol="__x",
-        labelCol="__y",
-        stringIndexerOrderType="alphabetDesc",
-        handleInvalid="skip",
-    )
+    stages = PipelineModel(design_stages(design(df, covariates, interactions)))
+    keep = [F.col(response).cast("double").alias("__y"), "__x", *([weight] if weight else [])]
+    matrix = materialize(stages.transform(df.where(F.col(response).isNotNull())).select(*keep), "design")
     glm = GeneralizedLinearRegression(
-        family="binomial", link="logit", featuresCol="__x", labelCol="__y", predictionCol=output, maxIter=50
+        family="binomial", link="logit", featuresCol="__x", labelCol="__y", predictionCol=output, maxIter=25
     )
     if weight:
         glm = glm.setWeightCol(weight)
-    return Pipeline(stages=[encode, glm]).fit(df)
+    return PipelineModel([*stages.stages, glm.fit(matrix)])
 
 
 def propensity(df: DataFrame, treatment: str, covariates: Sequence[str], out: str = "ps") -> DataFrame:
     """Fitted treatment probability on every row."""
     model = fit_logit(df, treatment, covariates, output=out)
-    return model.transform(df).drop("__x", "__y")
+    return model.transform(df).drop("__x")
 
 
 def coefficient_table(model: PipelineModel) -> DataFrame:
     """Term, estimate, standard error, statistic and p-value; a row per term."""
     glm = model.stages[-1]
     summary = glm.summary
+    assembler = model.stages[-3]
+    terms = [n.removeprefix(TERM) for n in assembler.getInputCols()] + ["(Intercept)"]
     # the summary orders terms as features first, intercept last
-    attrs = summary.predictions.schema["__x"].metadata["ml_attr"]["attrs"]
-    names = {a["idx"]: a.get("name", str(a["idx"])) for group in attrs.values() for a in group}
-    terms = [names[i] for i in sorted(names)] + ["(Intercept)"]
     values = list(glm.coefficients) + [glm.intercept]
     rows = [
         (t, float(v), float(se), float(z), float(p))
@@ -229,7 +273,7 @@ def aipw(df: DataFrame, treatment: str, outcome: str, ps: str, m1: str, m0: str)
 def toggled_predictions(model: PipelineModel, df: DataFrame, treatment: str, out1: str = "m1", out0: str = "m0") -> DataFrame:
     """Every row scored as treated and as control by one fitted model, no join."""
     fitted = model.stages[-1].getPredictionCol()
-    extra = ["__x", "__y", fitted]
+    extra = ["__x", fitted]
     actual = df.withColumn("__actual", F.col(treatment))
     once = model.transform(actual.withColumn(treatment, F.lit(1))).withColumn(out1, F.col(fitted)).drop(*extra)
     twice = model.transform(once.withColumn(treatment, F.lit(0))).withColumn(out0, F.col(fitted)).drop(*extra)
@@ -264,12 +308,7 @@ def summarize_analyses(rows: Sequence[tuple[str, str, str, str, DataFrame, str]]
 
 def design_array(df: DataFrame, response: str, covariates: Sequence[str], out: str) -> DataFrame:
     """Treatment-coded covariates with an intercept as an array column."""
-    formula = RFormula(
-        formula=f"{response} ~ " + " + ".join(covariates),
-        featuresCol="__x",
-        labelCol="__y",
-        stringIndexerOrderType="alphabetDesc",
-        handleInvalid="skip",
-    )
-    encoded = formula.fit(df).transform(df)
-    return encoded.withColumn(out, F.concat(F.array(F.lit(1.0)), vector_to_array("__x"))).drop("__x", "__y")
+    terms = design(df, covariates)
+    complete = df.where(F.col(response).isNotNull())
+    wide = complete.withColumn(out, F.array(F.lit(1.0), *[F.expr(e) for e in terms.values()]))
+    return wide.where(~F.exists(out, lambda v: v.isNull()))

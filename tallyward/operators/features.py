@@ -37,7 +37,8 @@ def category_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LE
     return {c: sorted(v) for c, v in levels.items()}
 
 
-def _text(value: str) -> str:
+def sql_text(value: str) -> str:
+    """Quoted SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -62,11 +63,11 @@ class FeaturePlan:
         for c, (mean, sd) in self.scale.items():
             out[f"numeric__{c}"] = f"(CAST(`{c}` AS DOUBLE) - {mean!r}D) / {sd!r}D"
         for group, c, order in self.ordinals:
-            arms = " ".join(f"WHEN {_text(v)} THEN {i}.0D" for i, v in enumerate(order))
+            arms = " ".join(f"WHEN {sql_text(v)} THEN {i}.0D" for i, v in enumerate(order))
             out[f"{group}__{c}"] = f"CASE `{c}` {arms} ELSE -1.0D END"
         for c, values in self.levels.items():
             for v in values[1:]:
-                out[f"nominal__{c}_{v}"] = f"IF(CAST(`{c}` AS STRING) <=> {_text(v)}, 1.0D, 0.0D)"
+                out[f"nominal__{c}_{v}"] = f"IF(CAST(`{c}` AS STRING) <=> {sql_text(v)}, 1.0D, 0.0D)"
         return out
 
     def columns(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:

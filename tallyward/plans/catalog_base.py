@@ -58,9 +58,12 @@ def features(spark: SparkSession, d: str) -> DataFrame:
     return derive_features(cohort(staged(spark, d)), ["prob"])
 
 
-def mart(spark: SparkSession, d: str) -> DataFrame:
-    """The mart as a stored table: several passes read it, each its own columns."""
-    return build_mart(raw(spark, d), ["prob"], materialized=True)
+def mart(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """The mart as a stored table: several passes read it, each its own columns.
+
+    With ``columns`` only those (and the key and split) are built.
+    """
+    return build_mart(raw(spark, d), ["prob"], materialized=True, columns=columns or None)
 
 
 def any_of(col: Column, *values) -> Column:

@@ -175,7 +175,8 @@ PS_COVARIATES = ["age_midpoint", "admission_type_group", "num_medications", "num
 
 
 def train_rows(spark, d):
-    return mart(spark, d).where("split_group = 'train'").select(
+    m = mart(spark, d, R.LABEL, "number_inpatient", "time_in_hospital", "a1cresult", "insulin", *PS_COVARIATES)
+    return m.where("split_group = 'train'").select(
         "encounter_id", F.col(R.LABEL).alias("y"), "number_inpatient", "time_in_hospital",
         flag(F.col("a1cresult") != "None").alias("tested"),
         flag(F.col("insulin").isin("Up", "Down")).alias("adjusted"),
@@ -270,17 +271,18 @@ SQL_ENROL = (
 
 @query("enrolment_sweep", with_steps("mart", SQL_ENROL))
 def _(spark, d):
-    holdout = mart(spark, d).where("split_group = 'holdout'")
+    holdout = mart(spark, d, R.LABEL, "prob").where("split_group = 'holdout'")
     return rounded(X.enrolment_sweep(threshold_sweep(holdout, "prob", R.LABEL, ENROL_TAUS)), "pct_flagged", "baseline_risk")
 
 
 @query("enrolment_sweep_fitted")
 def _(spark, d):
-    m = mart(spark, d)
-    model = C.fit_logit(
-        m.where("split_group = 'train'"), R.LABEL,
-        ["number_inpatient", "num_medications", "number_diagnoses", "time_in_hospital", "age_midpoint", "diag_1_group", "admission_type_group"],
-    )
+    covariates = [
+        "number_inpatient", "num_medications", "number_diagnoses", "time_in_hospital", "age_midpoint", "diag_1_group",
+        "admission_type_group",
+    ]
+    m = mart(spark, d, R.LABEL, *covariates)
+    model = C.fit_logit(m.where("split_group = 'train'"), R.LABEL, covariates)
     scored = model.transform(m.where("split_group = 'holdout'"))
     return X.enrolment_sweep(threshold_sweep(scored, "fitted", R.LABEL, ENROL_TAUS))
 
@@ -293,7 +295,7 @@ SQL_SEGMENTS = {
 
 
 def segments(spark, d):
-    holdout = mart(spark, d).where("split_group = 'holdout' AND admission_type_group IS NOT NULL")
+    holdout = mart(spark, d, R.LABEL, "prob", "admission_type_group").where("split_group = 'holdout' AND admission_type_group IS NOT NULL")
     over = F.col("prob") >= R.TRAINING_TAU
     return holdout.groupBy(F.col("admission_type_group").alias("segment")).agg(
         F.avg(F.when(over, F.col(R.LABEL))).alias("risk"), F.avg(F.when(over, 1).otherwise(0)).alias("pct_flagged")

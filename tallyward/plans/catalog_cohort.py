@@ -214,7 +214,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    return rounded(split_summary(mart(spark, d), R.SPLIT, R.LABEL, R.SPLIT_ORDER), "positive_rate")
+    return rounded(split_summary(mart(spark, d, R.LABEL), R.SPLIT, R.LABEL, R.SPLIT_ORDER), "positive_rate")
 
 
 def _sql_rules(rules, src):

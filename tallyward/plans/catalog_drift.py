@@ -46,7 +46,7 @@ def psi_steps(ref: str, cur: str, period: str, features, n_bins=10) -> dict:
 
 
 def batches(spark, d):
-    m = mart(spark, d)
+    m = mart(spark, d, R.LABEL, "prob", *FEATURES)
     train = m.where("split_group = 'train'")
     holdout = D.ordered_batches(m.where("split_group = 'holdout'"), R.KEY, N_BATCHES)
     return train, holdout.withColumn("batch", F.col("batch") + 1)
@@ -118,7 +118,7 @@ def _(spark, d):
 
 
 def report(spark, d):
-    m = mart(spark, d)
+    m = mart(spark, d, R.LABEL, "prob", *FEATURES)
     return D.drift_report(
         m.where("split_group = 'train'"),
         m.where("split_group = 'holdout'"),

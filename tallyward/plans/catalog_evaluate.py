@@ -23,7 +23,7 @@ def scored(body: str, **more: str) -> str:
 
 
 def scores(spark, d):
-    return mart(spark, d).select(
+    return mart(spark, d, R.LABEL, "prob", "race", "age_group", "diag_1_group", "gender").select(
         "split_group", F.col(R.LABEL).alias("y"), F.col("prob").alias("s"), "race", "age_group", "diag_1_group", "gender"
     )
 
@@ -329,10 +329,11 @@ EXPECTED = [("number_inpatient", 1), ("time_in_hospital", 1), ("number_diagnoses
 )
 def _(spark, d):
     # coefficient stand-in: the slope of the label on each feature, one pass
-    train = mart(spark, d).where("split_group = 'train'")
+    fitted = [f for f, _ in EXPECTED if f != "not_fitted"]
+    train = mart(spark, d, R.LABEL, *fitted).where("split_group = 'train'")
     slopes = train.agg(F.array(*[
         F.struct(F.lit(f).alias("feature"), (F.covar_pop(R.LABEL, f) / F.var_pop(f)).alias("coefficient"))
-        for f, _ in EXPECTED if f != "not_fitted"
+        for f in fitted
     ]).alias("r")).select(F.inline("r"))
     expected = spark.createDataFrame(EXPECTED, "feature string, expected_sign int")
     return rounded(E.direction_check(expected, slopes, "feature"), "coefficient")

@@ -37,7 +37,7 @@ def train(df):
     ),
 )
 def _(spark, d):
-    m = mart(spark, d)
+    m = mart(spark, d, *SCALED)
     plan = fit_features(train(m), SCALED, [], [])
     return rounded(plan.columns(m, ["encounter_id"]), *plan.names())
 
@@ -62,7 +62,7 @@ ORDINALS = [
     with_steps("mart", "SELECT encounter_id, " + ", ".join(f"{_sql_ordinal(c, o)} AS {g}__{c}" for g, c, o in ORDINALS) + " FROM mart"),
 )
 def _(spark, d):
-    m = mart(spark, d)
+    m = mart(spark, d, *[c for _, c, _ in ORDINALS])
     return fit_features(train(m), [], ORDINALS, []).columns(m, ["encounter_id"])
 
 
@@ -81,7 +81,7 @@ HOT = ["race", "admission_type_group", "age_group"]
 )
 def _(spark, d):
     # wide dummies opened to rows, so that SQL need not know the names
-    m = mart(spark, d)
+    m = mart(spark, d, *HOT)
     plan = fit_features(train(m), [], [], HOT)
     wide = plan.columns(m, ["encounter_id"])
     names = F.create_map(*[
@@ -182,7 +182,7 @@ def _(spark, d):
 )
 def _(spark, d):
     # every row lands in exactly one fold: fold sizes add up to the class size
-    folds = M.stratified_fold(train(mart(spark, d)), "encounter_id", R.LABEL, 5)
+    folds = M.stratified_fold(train(mart(spark, d, R.LABEL)), "encounter_id", R.LABEL, 5)
     per_fold = folds.groupBy(R.LABEL, "fold").agg(F.count("*").alias("c"))
     return per_fold.groupBy(R.LABEL).agg(F.sum("c").alias("n"))
 
@@ -236,7 +236,7 @@ REQUEST_SCHEMA = T.StructType(
 
 def small_model(spark, d):
     """A saved and reloaded feature-and-logistic model on the request columns."""
-    m = mart(spark, d)
+    m = mart(spark, d, R.LABEL, *[c for c in REQUEST_COLUMNS if c != R.KEY])
     plan = fit_features(
         train(m), ["age_midpoint", "time_in_hospital", "number_inpatient"],
         [("med_ord", "insulin", R.MEDICATION_ORDER)], ["race"],

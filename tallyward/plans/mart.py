@@ -6,6 +6,8 @@ the temporal split adds column-pruned scans but moves no row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,14 +124,22 @@ def assign_split(df: DataFrame) -> DataFrame:
     return fraction_split(df, R.KEY, R.SPLIT_LIMITS, R.SPLIT_LAST, R.SPLIT)
 
 
-def build_mart(raw: DataFrame, extra: list[str] | None = None, materialized: bool = False) -> DataFrame:
+def build_mart(
+    raw: DataFrame,
+    extra: list[str] | None = None,
+    materialized: bool = False,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
     """Raw rows to the feature mart.
 
     With ``materialized`` the features are written once to the shared folder
     before the split, so that at scale the de-duplication shuffle runs once
-    and the split's passes are scans of one column.
+    and the split's passes are scans of one column. ``columns`` keeps a mart
+    for one purpose narrow: what it leaves out is never shuffled or written.
     """
     features = derive_features(cohort(stage(raw, extra)), extra)
+    if columns is not None:
+        features = features.select(R.KEY, *[c for c in columns if c != R.KEY])
     if materialized:
         features = materialize(features, "mart")
     return assign_split(features)
