@@ -25,9 +25,15 @@ def outcome_share(df: DataFrame, col: str) -> DataFrame:
 
 
 def two_way_share(df: DataFrame, group: str, col: str) -> DataFrame:
-    """Count per (group, value) with the share inside the group."""
+    """Count per (group, value) with the share inside the group.
+
+    Group sizes come from their own aggregate instead of a window, so a group
+    with very many values is never gathered in one task.
+    """
     counts = df.groupBy(group, col).agg(F.count("*").alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(group)))
+    sizes = df.groupBy(F.col(group).alias("__g")).agg(F.count("*").alias("__t"))
+    joined = counts.join(sizes, F.col(group).eqNullSafe(F.col("__g")))
+    return joined.select(group, col, "n", (F.col("n") / F.col("__t")).alias("share"))
 
 
 def missingness(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -91,8 +97,7 @@ def near_zero_variance(df: DataFrame, cols: Sequence[str], threshold: float = 0.
 def status_counts(df: DataFrame, cols: Sequence[str], exclude_value: str) -> DataFrame:
     """Counts of every other status per column, with the share inside the column."""
     long = to_long(df, [], cols, "string").where(F.col("value") != exclude_value)
-    counts = long.groupBy("variable", F.col("value").alias("status")).agg(F.count("*").alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("variable")))
+    return two_way_share(long.withColumnRenamed("value", "status"), "variable", "status")
 
 
 def histogram_by_label(df: DataFrame, cols: Sequence[str], label: str, bins: int = 30) -> DataFrame:

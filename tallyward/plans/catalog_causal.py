@@ -244,6 +244,20 @@ def _(spark, d):
     return C.fit_aipw(train_rows(spark, d), "prior", "y", [*PS_COVARIATES, "time_in_hospital"])
 
 
+@query("causal_summary")
+def _(spark, d):
+    df = train_rows(spark, d)
+    tested = C.stabilised_weights(C.propensity(df, "tested", PS_COVARIATES), "tested", "ps")
+    adjusted = C.propensity(df, "adjusted", PS_COVARIATES)
+    pairs = M.match_pairs(adjusted, "encounter_id", "adjusted", "ps")
+    pairs_rows = M.matched_rows(adjusted, "encounter_id", pairs)
+    return C.summarize_analyses([
+        ("lab tested", "ATE", "stabilised weighting", "odds ratio", C.weighted_odds_ratio(tested, "tested", "y", "iptw"), "odds_ratio"),
+        ("insulin adjusted", "ATT", "1:1 matching", "odds ratio", C.weighted_odds_ratio(pairs_rows, "adjusted", "y"), "odds_ratio"),
+        ("prior inpatient", "ATE", "doubly robust", "risk difference", C.fit_aipw(df, "prior", "y", PS_COVARIATES), "risk_difference"),
+    ])
+
+
 @query("aipw_bootstrap")
 def _(spark, d):
     df = train_rows(spark, d)

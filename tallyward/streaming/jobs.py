@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyward.operators.drift import PsiReference, cell_counts
+from tallyward.operators.drift import PsiReference, cell_counts, drift_report
 from tallyward.sources.readers import parse_requests
 
 
@@ -107,6 +107,38 @@ def window_cell_counts(
     return cell_counts(reference, w, "__w").select(F.col("__w.start").alias("window_start"), "feature", "cell", "c")
 
 
+def run_drift_reports(
+    stream: DataFrame,
+    reference: DataFrame,
+    psi_reference: Sequence[PsiReference],
+    key: str,
+    score: str,
+    label: str,
+    tau: float,
+    checkpoint: str,
+    sink: str,
+) -> StreamingQuery:
+    """A drift report per arriving batch of scored rows against a stored reference.
+
+    The bins are fitted beforehand. Each report is one row in a directory
+    named by its batch, so a replay after a failure replaces it.
+    """
+    features = [ref.feature for ref in psi_reference]
+
+    def report(df: DataFrame, batch_id: int) -> None:
+        out = drift_report(reference, df, key, score, label, features, 1, tau, psi_reference)
+        upsert_batches(sink)(out.drop("batch"), batch_id)
+
+    query = (
+        stream.writeStream.foreachBatch(report)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows the state operators of a finished query dropped for being late."""
     return sum(

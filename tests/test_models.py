@@ -3,6 +3,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from tallyward.operators import models as M
+from tallyward.operators.drift import fit_psi_reference
 from tallyward.operators.evaluate import auc
 from tallyward.operators.features import category_levels, fit_features, safe_names
 from tallyward.sources import sinks
@@ -121,6 +122,22 @@ def test_streamed_scores_equal_batch(spark, rows, tmp_path):
     assert got == {r.id: (r.probability, r.flagged) for r in batch.collect()} and len(got) == 1500
 
 
+def test_drift_report_per_arriving_batch(spark, tmp_path):
+    base = spark.range(300).select(
+        F.col("id").alias("k"), (F.col("id") % 50).cast("double").alias("f"), (F.col("id") % 61 / 61).alias("s"),
+        (F.col("id") % 4 == 0).cast("int").alias("y"),
+    )
+    fitted = fit_psi_reference(base, ["f"])
+    inbox, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    base.coalesce(1).write.parquet(inbox)
+    base.withColumn("f", F.col("f") * 0.2).coalesce(1).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    S.run_drift_reports(stream, base, fitted, "k", "s", "y", 0.12, str(tmp_path / "ck"), sink)
+    rows = spark.read.parquet(sink).collect()
+    assert sorted(r.drift_alert for r in rows) == [False, True]
+    assert {r.n_rows for r in rows} == {300}
+
+
 def test_windows_update_and_drop_late_rows(spark, tmp_path):
     src = tmp_path / "events"
     src.mkdir()
