@@ -266,5 +266,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` without the near duplicates of another: the least id of each group stays.
+
+    Of rows that repeat an id one stays; rows without an id all stay. Ids to
+    drop are broadcast if their counted number allows it, so that texts do not
+    travel; otherwise the anti join shuffles.
+    """
+    found = near_duplicates(docs, id_col, text_col)
+    gone = materialize(found.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct(), "dropped")
+    gone = maybe_broadcast(gone, gone.count())
+    rest = docs.join(gone, F.col(f"`{id_col}`") == F.col("gone"), "left_anti")
+    ids = docs.select(F.col(f"`{id_col}`").alias("id")).where("id IS NOT NULL")
+    if ids.groupBy("id").count().where("count > 1").head(1):
+        named = rest.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col])
+        rest = named.unionByName(rest.where(F.col(f"`{id_col}`").isNull()))
+    return rest
+
+
 def op4_neardup(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs)

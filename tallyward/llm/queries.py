@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.llm.common import read_table
+from tallyward.llm.fingerprints import op2_fingerprints
+from tallyward.llm.licenses import OP10_SQL, op10_licenses
+from tallyward.llm.mixing import op7_mixing
 from tallyward.llm.neardup import op4_neardup
+from tallyward.llm.pieces import op3_pieces
 from tallyward.llm.quality import OP1_SQL, op1_quality
 from tallyward.llm.suffixes import op9_suffix
+from tallyward.llm.toxicity import op6_toxicity
+from tallyward.llm.urlrules import OP8_SQL, op8_urls
+from tallyward.llm.warc import op5_warc
 
 
 def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -18,10 +25,19 @@ def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[Spa
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": _on("documents", op1_quality),
+    "op2_fingerprints": _on("documents", op2_fingerprints),
+    "op3_pieces": _on("documents", op3_pieces),
     "op4_neardup": _on("documents", op4_neardup),
+    "op5_warc": _on("pages", op5_warc),
+    "op6_toxicity": lambda spark, d: op6_toxicity(read_table(spark, d, "documents"), read_table(spark, d, "labels")),
+    "op7_mixing": _on("documents", op7_mixing),
+    "op8_urls": _on("pages", op8_urls),
     "op9_suffix": _on("documents", op9_suffix),
+    "op10_licenses": _on("documents", op10_licenses),
 }
 
 ORACLES: dict[str, str] = {
     "op1_quality": OP1_SQL,
+    "op8_urls": OP8_SQL,
+    "op10_licenses": OP10_SQL,
 }

@@ -38,7 +38,7 @@ from tallyward.llm.winnow import GRAM, anchors, span_hashes
 from tallyward.session import materialize
 
 LENGTH = 100
-SLICE = 1 << 20
+SLICE = 1 << 19
 #: Documents whose anchors are looked at to place the splitters (they only balance load).
 SAMPLE_DOCS = 2000
 ANCHORS_PER_BUCKET = 150_000
@@ -421,7 +421,8 @@ def _merged(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(begin[at].tolist(), end[last].tolist()))
 
 
-def _removed(length: int):
+def _removed(length: int, as_text: bool):
+    """Runs and what stays of each text; as text, characters that a border cuts in two go as a whole."""
     reach = length - GRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -431,7 +432,7 @@ def _removed(length: int):
         def flush():
             picked = pa.array(rows, pa.int64())
             columns = [pa.array(x) for x in zip(*out)]
-            columns[4] = pa.array([x[4] for x in out], pa.binary())
+            columns[4] = pa.array([x[4] for x in out], pa.string() if as_text else pa.binary())
             return pa.RecordBatch.from_arrays(
                 [source.column("d").take(picked), *columns, *([source.column("carry").take(picked)] if "carry" in source.schema.names else [])],
                 ["d", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"] + ["carry"] * ("carry" in source.schema.names),
@@ -456,7 +457,8 @@ def _removed(length: int):
                 at = e
             kept = b"".join([*kept, text[at:]])
             rows.append(k)
-            out.append((n, n - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept))
+            body = kept.decode("utf-8", "ignore") if as_text else kept
+            out.append((n, n - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), body))
             load += n
         if rows:
             yield flush()
@@ -485,9 +487,14 @@ def _ordered(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> D
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None
+    docs: DataFrame,
+    length: int = LENGTH,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: list[str] | None = None,
+    as_text: bool = False,
 ) -> DataFrame:
-    """Per document: carry (struct), n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes that stay).
+    """Per document: carry (struct), n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes that stay, or a text).
 
     Defined results: null is empty; texts under ``length`` bytes stay whole;
     rows with equal ids are separate documents in the order of their texts,
@@ -564,8 +571,9 @@ def remove_repeats(
         spans = spans.unionByName(again.select("d", "start").mapInArrow(_span_blobs(length, places), _EVENTS))
     final = with_texts(events.where(F.col("kind") == COVERED).unionByName(spans), True)
     out = final.mapInArrow(
-        _removed(length),
-        "d long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, carry " + carry_type,
+        _removed(length, as_text),
+        "d long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+        f"kept {'string' if as_text else 'binary'}, carry {carry_type}",
     )
     return out.drop("d")
 
