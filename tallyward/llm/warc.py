@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyward.llm.common import maybe_broadcast
 from tallyward.session import materialize, scratch_path
 
 #: Payload bytes per archive, about; one longer payload has an archive of its own.
@@ -45,7 +46,9 @@ def _records(pages: DataFrame, min_bytes: int) -> DataFrame:
     first = base.where(F.col("page_id").isNotNull() & (F.col("size") >= min_bytes)).groupBy("sha").agg(
         F.min("page_id").alias("first"), F.count("*").alias("copies")
     ).where("copies > 1").select("sha", "first")
-    typed = base.join(first, "sha", "left")
+    first = materialize(first, "warc-first")
+    # within the bound the payloads need not travel to meet their first copy
+    typed = base.join(maybe_broadcast(first, first.count()), "sha", "left")
     revisit = F.col("page_id") != F.col("first")
     clean = F.regexp_replace("url", "[\\r\\n]", "")
     head = lambda name, value: F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n"))
@@ -134,7 +137,6 @@ def merge_runs(runs: list[list]) -> Iterator:
 
     # leaves are k .. 2k-1; inner node p holds the loser of its match, node 0 the winner
     losers = [0] * k
-    winner = list(range(-k, k))
     winner = [0] * k + list(range(k))
     for p in range(k - 1, 0, -1):
         a, b = winner[2 * p], winner[2 * p + 1]
