@@ -32,7 +32,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
 BYTE_WEIGHT = 1e-7
 SEED = 7
-SLICE = 1 << 20
+SLICE = 3 << 20
 #: Chunks up to this length are filtered side by side, longer ones alone.
 WIDE = 64
 _CHUNK = re.compile(rb" *[^ ]+| +")
@@ -66,6 +66,12 @@ class Pieces:
         for key, i in by_size.pop(1, []):
             self.single[key], self.single_weight[key] = i, weight[i]
         self.sizes = sorted(by_size)
+        # longest piece by its first three bytes: most places start none of the longer ones
+        self.reach = np.zeros(1 << 24, np.uint8)
+        for size in self.sizes:
+            for _, i in by_size[size] if size > 3 else ():
+                a, b, c = self.text[i][:3]
+                self.reach[a << 16 | b << 8 | c] = size
         self.keys, self.ids, self.weights = {}, {}, {}
         for size, pairs in by_size.items():
             keys = np.array([k for k, _ in pairs], np.uint64)
@@ -107,9 +113,10 @@ class Lattice:
         end, start, piece, share = (np.concatenate(x) for x in zip(*found))
         order = np.argsort(end, kind="stable")
         self.start, self.piece = start[order], piece[order]
-        share = share[order]
+        # whole numbers: sums do not depend on what else is in the lattice
+        share = np.rint(share[order] * 2.0**32).astype(np.int64)
         self.first = np.searchsorted(end[order], np.arange(nodes + 1))
-        total = np.concatenate([[0.0], np.cumsum(share)])
+        total = np.concatenate([[0], np.cumsum(share)])
         begin = total[self.first[:-1]][end[order]]
         self.upto = total[1:] - begin
 
@@ -123,16 +130,21 @@ class Lattice:
             edges[p + 1].append((every, p, vocab.single[grid[:, p]], vocab.single_weight[grid[:, p]]))
         wide = grid.astype(np.uint64)
         key = wide.copy()
+        if width > 3:
+            three = grid[:, :-2].astype(np.int32) << 16 | grid[:, 1:-1].astype(np.int32) << 8 | grid[:, 2:]
+            reach = vocab.reach[three]
         for size in range(2, min(width, vocab.sizes[-1] if vocab.sizes else 1) + 1):
             key = key[:, :-1] * np.uint64(257) + wide[:, size - 1 :]
             if size not in vocab.keys:
                 continue
             table = vocab.keys[size]
-            at = np.minimum(np.searchsorted(table, key), len(table) - 1)
-            row, p = np.nonzero(table[at] == key)
-            if not len(row):
+            row, p = np.nonzero(reach[:, : key.shape[1]] >= size) if size > 3 else (x.ravel() for x in np.indices(key.shape))
+            wanted = key[row, p]
+            at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
+            hit = np.flatnonzero(table[at] == wanted)
+            if not len(hit):
                 continue
-            which = at[row, p]
+            row, p, which = row[hit], p[hit], at[hit]
             if size > 7:
                 good = [vocab.text[vocab.ids[size][w]] == grid[r, q : q + size].tobytes() for r, q, w in zip(row, p, which)]
                 row, p, which = row[good], p[good], which[good]
@@ -168,7 +180,8 @@ class Lattice:
         step = 0
         while len(live):
             step += 1
-            draw = (mix(seed[live] + np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+            salt = np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+            draw = (mix(seed[live] + salt) >> np.uint64(32)).astype(np.int64)
             at, last = self.first[node[live]].copy(), self.first[node[live] + 1] - 1
             left = np.flatnonzero((at < last) & (self.upto[at] <= draw))
             while len(left):
