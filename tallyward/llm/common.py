@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,28 @@ def maybe_broadcast(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> Da
     return F.broadcast(df) if rows <= bound else df
 
 
+def _release() -> None:
+    """Hand freed memory back to the system: an idle worker counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library: nothing to trim
+        pass
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The batch function, giving memory back after every few results and at its end."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, out in enumerate(run(batches)):
+            yield out
+            if k % 8 == 7:
+                _release()
+        _release()
+
+    return wrapped
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit of 64-bit integers."""
     h = h ^ (h >> np.uint64(33))

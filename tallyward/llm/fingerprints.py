@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.llm.common import lean
+
 GRID = 32
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (911_382_323, 972_663_749)
@@ -196,7 +198,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     both = placed.unionByName(ahead).repartition(max(parts, 1), "part")
     ordered = both.sortWithinPartitions("part", "ahead", F.col("doc_id").desc_nulls_last(), "tie")
     return ordered.select("part", "doc_id", "text").mapInArrow(
-        _edited,
+        lean(_edited),
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string,"
         " near_edited double, near_next double",
     )

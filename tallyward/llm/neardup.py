@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import distinct_sorted, maybe_broadcast, mix, shingles, slices, words
+from tallyward.llm.common import distinct_sorted, lean, maybe_broadcast, mix, shingles, slices, words
 from tallyward.llm.components import components
 from tallyward.session import materialize
 
@@ -212,7 +212,7 @@ def _checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     """
     sig = classes.select(F.col("id"), F.col("signature"))
     similar = materialize(
-        pairs.join(sig.toDF("a", "x"), "a").join(sig.toDF("b", "y"), "b").mapInArrow(_similar, "a long, b long"),
+        pairs.join(sig.toDF("a", "x"), "a").join(sig.toDF("b", "y"), "b").mapInArrow(lean(_similar), "a long, b long"),
         "similar",
     )
     return _confirm(similar, docs)
@@ -225,7 +225,7 @@ def _confirm(similar: DataFrame, docs: DataFrame) -> DataFrame:
     texts = materialize(docs.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts")
     with_left = similar.join(texts.toDF("a", "x"), "a")
     both = with_left.join(texts.toDF("b", "y"), "b")
-    return materialize(both.mapInArrow(_confirmed, "a long, b long"), "links")
+    return materialize(both.mapInArrow(lean(_confirmed), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -239,7 +239,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     base = materialize(
-        slim.mapInArrow(_sketches, "id long, n long, s1 long, s2 long, bands array<long>, signature binary"),
+        slim.mapInArrow(lean(_sketches), "id long, n long, s1 long, s2 long, bands array<long>, signature binary"),
         "minhash",
     )
     usable = base.where("n > 0 AND id IS NOT NULL")
@@ -266,7 +266,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "band", "k", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component"
     ).join(classes.select("id", "n", "signature", F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("marks")), "id")
     parted = placed.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "id")
-    across = materialize(parted.mapInArrow(_across, "a long, b long"), "across")
+    across = materialize(parted.mapInArrow(lean(_across), "a long, b long"), "across")
     more = _confirm(across, slim)
     if more.head(1):
         joined = components(links.union(more))

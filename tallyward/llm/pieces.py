@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import mix, slices
+from tallyward.llm.common import lean, mix, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Weight of a piece of rank r is (r + 2) ** -ALPHA; of a single byte outside the vocabulary BYTE_WEIGHT.
 ALPHA = 1.0
 BYTE_WEIGHT = 1e-7
 SEED = 7
-SLICE = 3 << 20
+SLICE = 1 << 20
 #: Chunks up to this length are filtered side by side, longer ones alone.
 WIDE = 64
 _CHUNK = re.compile(rb" *[^ ]+| +")
@@ -268,7 +268,7 @@ def sample_pieces(
                 )
 
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, pieces array<int>, decoded binary")
+    return slim.mapInArrow(lean(run), "doc_id long, pieces array<int>, decoded binary")
 
 
 def op3_pieces(docs: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import mix, powers, slices
+from tallyward.llm.common import lean, mix, powers, slices
 from tallyward.llm.winnow import GRAM, anchors, span_hashes
 from tallyward.session import materialize
 
@@ -519,7 +519,7 @@ def remove_repeats(
 
     bytes_total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(4, int(bytes_total * 0.03 / ANCHORS_PER_BUCKET))
-    drawn = sampled.mapInArrow(sampled_anchors, "a long, c long").toArrow()
+    drawn = sampled.mapInArrow(lean(sampled_anchors), "a long, c long").toArrow()
     a, c = (drawn.column(k).to_numpy().view(np.uint64) for k in ("a", "c"))
     order = np.lexsort((c, a))
     at = order[np.linspace(0, len(order), buckets + 1).astype(int)[1:-1]] if len(order) > buckets else order[:0]
@@ -531,9 +531,9 @@ def remove_repeats(
     split_c = np.where(lone, np.uint64(0), split_c)
 
     names = ["d", "text"]
-    dealt = slim.select(*names).mapInArrow(_anchor_blobs(length, split_a, split_c, places), _EVENTS)
+    dealt = slim.select(*names).mapInArrow(lean(_anchor_blobs(length, split_a, split_c, places)), _EVENTS)
     events = materialize(
-        dealt.repartition("place").sortWithinPartitions("place", "kind").mapInArrow(_named(heavy, places), _EVENTS),
+        dealt.repartition("place").sortWithinPartitions("place", "kind").mapInArrow(lean(_named(heavy, places)), _EVENTS),
         "suffix-names",
     )
     typed = slim.select(F.lit(TEXT).alias("kind"), "d", "text", "carry")
@@ -547,7 +547,7 @@ def remove_repeats(
 
         cols = ["kind", "d", "text"] + ["carry"] * with_carry
         kind = f"{_EVENTS}, d long, size long" + (f", carry {carry_type}" if with_carry else "")
-        return typed.select(*cols).mapInArrow(run, kind)
+        return typed.select(*cols).mapInArrow(lean(run), kind)
 
     def with_texts(found: DataFrame, with_carry: bool) -> DataFrame:
         both = texts(with_carry).unionByName(found, allowMissingColumns=True)
@@ -555,23 +555,23 @@ def remove_repeats(
 
     opened = events.where(F.col("kind") == OPEN)
     contexts_n = max(4, int(bytes_total * 0.003 / CONTEXTS_PER_BUCKET))
-    around = with_texts(opened, False).mapInArrow(_contexts(length, contexts_n), _EVENTS)
+    around = with_texts(opened, False).mapInArrow(lean(_contexts(length, contexts_n)), _EVENTS)
     compared = materialize(
-        around.repartition("place").sortWithinPartitions("place").mapInArrow(_compared(length, places), _EVENTS),
+        around.repartition("place").sortWithinPartitions("place").mapInArrow(lean(_compared(length, places)), _EVENTS),
         "suffix-spans",
     )
     spans = compared.where(F.col("kind") == SPANS)
     if compared.where(F.col("kind") == OPEN).head(1):
         firsts = materialize(
-            compared.where(F.col("kind") == OPEN).mapInArrow(_deferred_rows, "h1 long, h2 long, d long, start long"),
+            compared.where(F.col("kind") == OPEN).mapInArrow(lean(_deferred_rows), "h1 long, h2 long, d long, start long"),
             "suffix-firsts",
         )
         least = firsts.groupBy("h1", "h2").agg(F.min(F.struct("d", "start")).alias("least"))
         again = firsts.join(least, ["h1", "h2"]).where(F.struct("d", "start") != F.col("least"))
-        spans = spans.unionByName(again.select("d", "start").mapInArrow(_span_blobs(length, places), _EVENTS))
+        spans = spans.unionByName(again.select("d", "start").mapInArrow(lean(_span_blobs(length, places)), _EVENTS))
     final = with_texts(events.where(F.col("kind") == COVERED).unionByName(spans), True)
     out = final.mapInArrow(
-        _removed(length, as_text),
+        lean(_removed(length, as_text)),
         "d long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
         f"kept {'string' if as_text else 'binary'}, carry {carry_type}",
     )

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import maybe_broadcast, mix, slices, words
+from tallyward.llm.common import lean, maybe_broadcast, mix, slices, words
 
 BITS = 20
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.1
@@ -122,7 +122,7 @@ def train(
     rows = slim.join(picked, F.col("id") == F.col("l_id")).withColumn("shard", F.pmod(F.hash("draw"), F.lit(shards)))
     # other order than the deal, so that a shard is not learned in the order of its ids
     dealt = rows.select("shard", "toxic", "text", "draw").repartition("shard").sortWithinPartitions("shard", "draw")
-    learned = dealt.mapInArrow(_learner(alpha, beta, l1, l2, epochs), "rows long, cells array<long>, weights array<double>").collect()
+    learned = dealt.mapInArrow(lean(_learner(alpha, beta, l1, l2, epochs)), "rows long, cells array<long>, weights array<double>").collect()
     out, seen = np.zeros((1 << BITS) + 1), max(1, sum(r["rows"] for r in learned))
     for r in sorted(learned, key=lambda r: (r["rows"], len(r["cells"]), r["weights"][:1])):
         out[np.array(r["cells"], np.int64)] += np.array(r["weights"]) * (r["rows"] / seen)
@@ -159,7 +159,7 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
                 )
 
     slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, score double, predicted int")
+    return slim.mapInArrow(lean(run), "doc_id long, score double, predicted int")
 
 
 def op6_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
