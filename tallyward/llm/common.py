@@ -36,6 +36,13 @@ def maybe_broadcast(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> Da
     return F.broadcast(df) if rows <= bound else df
 
 
+def text_batches(spark, rows: int = 2000) -> None:
+    """Arrow batches of at most ``rows`` rows in this session: the default of 10,000 texts is too much for a task."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def _release() -> None:
     """Hand freed memory back to the system: an idle worker counts against its executor."""
     pa.default_memory_pool().release_unused()

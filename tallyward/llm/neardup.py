@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import distinct_sorted, lean, maybe_broadcast, mix, shingles, slices, words
+from tallyward.llm.common import distinct_sorted, lean, maybe_broadcast, mix, shingles, slices, text_batches, words
 from tallyward.llm.components import components
 from tallyward.session import materialize
 
@@ -237,6 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the one with the least hash; a null id stays null and is kept; an empty
     table gives an empty result; other columns are not read.
     """
+    text_batches(docs.sparkSession)
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     base = materialize(
         slim.mapInArrow(lean(_sketches), "id long, n long, s1 long, s2 long, bands array<long>, signature binary"),

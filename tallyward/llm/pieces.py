@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import lean, mix, slices
+from tallyward.llm.common import lean, mix, slices, text_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Weight of a piece of rank r is (r + 2) ** -ALPHA; of a single byte outside the vocabulary BYTE_WEIGHT.
 ALPHA = 1.0
 BYTE_WEIGHT = 1e-7
 SEED = 7
-SLICE = 1 << 20
+SLICE = 1 << 19
 #: Chunks up to this length are filtered side by side, longer ones alone.
 WIDE = 64
 _CHUNK = re.compile(rb" *[^ ]+| +")
@@ -110,15 +110,18 @@ class Lattice:
             width = int(self.sizes[group[0]])
             grid = np.frombuffer(b"".join([chunks[k] for k in group]), np.uint8).reshape(len(group), width)
             found += self._filtered(vocab, grid, self.base[group])
-        end, start, piece, share = (np.concatenate(x) for x in zip(*found))
-        order = np.argsort(end, kind="stable")
-        self.start, self.piece = start[order], piece[order]
+        parts = list(zip(*found))
+        del found
+        end = np.concatenate(parts[0])
+        order = np.argsort(end, kind="stable").astype(np.int32)
+        end = end[order]
+        self.start, self.piece = np.concatenate(parts[1])[order], np.concatenate(parts[2])[order]
         # whole numbers: sums do not depend on what else is in the lattice
-        share = np.rint(share[order] * 2.0**32).astype(np.int64)
-        self.first = np.searchsorted(end[order], np.arange(nodes + 1))
-        total = np.concatenate([[0], np.cumsum(share)])
-        begin = total[self.first[:-1]][end[order]]
-        self.upto = total[1:] - begin
+        share = np.concatenate(parts[3])[order]
+        del parts, order
+        self.first = np.searchsorted(end, np.arange(nodes + 1, dtype=np.int32)).astype(np.int32)
+        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(share)])
+        self.upto = total[1:] - total[self.first[:-1]][end]
 
     @staticmethod
     def _filtered(vocab: Pieces, grid: np.ndarray, base: np.ndarray):
@@ -167,7 +170,9 @@ class Lattice:
             mass = np.exp(value - top[row])
             total = np.bincount(row, weights=mass, minlength=rows)
             log_sum[:, e] = top + np.log(total)
-            out.append((base[row] + e, base[row] + start, piece, mass / total[row]))
+            share = np.rint(mass / total[row] * 2.0**32).astype(np.int64)
+            at = base[row]
+            out.append(tuple(x.astype(np.int32) for x in (at + e, at + start, piece)) + (share,))
         return out
 
     def sampled(self, chunk: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -267,6 +272,7 @@ def sample_pieces(
                     ["doc_id", "pieces", "decoded"],
                 )
 
+    text_batches(docs.sparkSession)
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     return slim.mapInArrow(lean(run), "doc_id long, pieces array<int>, decoded binary")
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import lean, mix, powers, slices
+from tallyward.llm.common import lean, mix, powers, slices, text_batches
 from tallyward.llm.winnow import GRAM, anchors, span_hashes
 from tallyward.session import materialize
 
@@ -502,6 +502,7 @@ def remove_repeats(
     gives an empty result. ``length`` must be over the gram of 24 bytes.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     slim = _ordered(docs, id_col, text_col, carry or [])
     n = slim.count()
     places = max(8, -(-n // DOCS_PER_BUCKET))

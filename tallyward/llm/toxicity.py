@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import lean, maybe_broadcast, mix, slices, words
+from tallyward.llm.common import lean, maybe_broadcast, mix, slices, text_batches, words
 
 BITS = 20
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.1
@@ -140,6 +140,7 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
     Only nonzero weights travel to the tasks; their number is bounded by the
     hash space. Null and empty texts get the score of the intercept.
     """
+    text_batches(docs.sparkSession)
     at = np.flatnonzero(weights).astype(np.int32)
     shared = docs.sparkSession.sparkContext.broadcast((at, weights[at]))
 
