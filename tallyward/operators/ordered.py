@@ -75,6 +75,17 @@ def quantile_limits(df: DataFrame, key: str, buckets: int) -> Column:
     return df.agg(F.percentile_approx(key, cuts, max(200, 10 * buckets)).alias("l")).scalar()
 
 
+def _join_groups(left: DataFrame, right: DataFrame, groups: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Inner join on groups, where NULL equals NULL, and on plain keys; columns of ``right`` are not repeated."""
+    renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in [*groups, *keys]})
+    same = F.lit(True)
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"__r_{g}"))
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"__r_{k}"))
+    return left.join(renamed, same).drop(*[f"__r_{c}" for c in [*groups, *keys]])
+
+
 def running_totals(
     df: DataFrame,
     key: str,
@@ -88,7 +99,7 @@ def running_totals(
 
     ``measures`` maps a name to an additive aggregate such as ``F.count('*')``.
     The output holds groups, key, the measures and ``cum_<measure>``, summed
-    along the key in the chosen direction. Group columns must not be NULL.
+    along the key in the chosen direction. NULL is a group like any other.
     ``limits`` replaces the quantile sketch where the caller has one already.
     """
     groups = list(groups)
@@ -116,7 +127,7 @@ def running_totals(
     )
     # no hint: the window already placed rows by (groups, bucket), and AQE
     # broadcasts the offsets only when their measured size allows it
-    joined = local.join(offsets, [*groups, "__bucket"])
+    joined = _join_groups(local, offsets, groups, ["__bucket"])
     return joined.select(
         *groups,
         key,
@@ -305,7 +316,7 @@ def exact_quantiles(
     present = df.where(F.col(value).isNotNull())
     cum = running_totals(present, value, {"n": F.count("*")}, groups)
     sizes = present.groupBy(*groups).agg(F.count("*").alias("total"))
-    joined = cum.join(sizes, groups) if groups else cum.withColumn("total", sizes.scalar())
+    joined = _join_groups(cum, sizes, groups) if groups else cum.withColumn("total", sizes.scalar())
     aggs = []
     for p in probs:
         pos = F.lit(p) * (F.col("total") - 1)

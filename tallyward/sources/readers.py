@@ -106,9 +106,9 @@ METRICS_SCHEMA = (
 )
 
 
-def read_metrics(spark: SparkSession, path: str, schema: str = METRICS_SCHEMA) -> DataFrame:
-    """Metric rows from JSON, either a list in one document or one row per line."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_metrics(spark: SparkSession, path: str, schema: str = METRICS_SCHEMA, document: bool = False) -> DataFrame:
+    """Metric rows from JSON: one row per line, or with ``document`` one list per file."""
+    return spark.read.schema(schema).option("multiLine", document).json(path)
 
 
 def read_importance(spark: SparkSession, path: str, value: str = "mean_abs") -> DataFrame:

@@ -101,3 +101,12 @@ def test_bins(spark):
     inclusive = [r.b for r in O.with_bin(df, "s", edges, "b", inclusive=True).orderBy("s").collect()]
     assert strict == [0, 0, 1, 2, 3]
     assert inclusive == [0, 1, 1, 3, 3]
+
+
+def test_null_groups_are_kept(spark):
+    rows = [("a", 1), ("a", 3), (None, 2), (None, 5)]
+    df = spark.createDataFrame(rows, "g string, k int")
+    got = O.running_totals(df, "k", {"n": F.count("*")}, ["g"]).collect()
+    assert {(r.g, r.k, r.cum_n) for r in got} == {("a", 1, 1), ("a", 3, 2), (None, 2, 1), (None, 5, 2)}
+    quantiles = {r.g: r.quantiles for r in O.exact_quantiles(df, "k", [0.5], ["g"]).collect()}
+    assert quantiles == {"a": [2.0], None: [3.5]}

@@ -61,9 +61,13 @@ def test_splits_prune_partitions(spark, tmp_path):
 
 
 def test_reports_round_trip(spark, tmp_path):
-    metrics = spark.createDataFrame([("train", 10, 0.1, 0.7)], "split string, n long, tau double, auc_roc double")
+    rows = [("train", 10, 0.1, 0.7), ("validation", 5, 0.1, 0.6), ("holdout", 4, 0.1, 0.5)]
+    metrics = spark.createDataFrame(rows, "split string, n long, tau double, auc_roc double").coalesce(1)
     sinks.write_metrics(metrics, str(tmp_path / "m"))
-    assert readers.read_metrics(spark, str(tmp_path / "m")).first()["auc_roc"] == 0.7
+    back = readers.read_metrics(spark, str(tmp_path / "m")).select(*metrics.columns).collect()
+    assert sorted(map(tuple, back)) == sorted(rows)
+    (tmp_path / "list.json").write_text('[{"split": "a", "n": 1}, {"split": "b", "n": 2}]')
+    assert readers.read_metrics(spark, str(tmp_path / "list.json"), document=True).count() == 2
     ranked = spark.createDataFrame([("a", 0.1), ("b", 0.9)], "feature string, mean_abs double")
     sinks.write_ranked(ranked, str(tmp_path / "r"), "mean_abs")
     assert {r.feature: r.mean_abs for r in readers.read_importance(spark, str(tmp_path / "r")).collect()} == {"a": 0.1, "b": 0.9}
