@@ -6,36 +6,22 @@ order. A score held by a third of all rows is then one row with a large count.
 
 Pairs are taken in order of smallest distance (ties: lower score first). That
 greedy result is unique and equals repeated rounds in which scores that choose
-each other pair up, which is how the large part runs; once few scores remain,
-one bounded task finishes the same greedy exactly.
+each other pair up, which is how it runs at every size. A score without an
+opposite one inside the caliper leaves after its round: others only get fewer.
 """
 
 from __future__ import annotations
 
-import heapq
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.operators.ordered import default_buckets, quantile_limits, running_totals, with_bucket
 from tallyward.session import cut_lineage
 
-FINISH_ROWS = 200_000  # distinct scores one task may finish, about 10 MB
 CHUNK = 100_000  # pairs expanded per row
 
-SEGMENTS = "score_t double, rank_t long, score_c double, rank_c long, m long"
-
 
-def match_pairs(
-    df: DataFrame,
-    key: str,
-    treatment: str,
-    score: str,
-    caliper_sd: float = 0.1,
-    finish_rows: int = FINISH_ROWS,
-) -> DataFrame:
+def match_pairs(df: DataFrame, key: str, treatment: str, score: str, caliper_sd: float = 0.1) -> DataFrame:
     """Pairs ``(treated, control, distance)`` within ``caliper_sd`` score deviations."""
     base = df.dropna(subset=[key, treatment, score]).select(
         F.col(key).alias("id"), F.col(treatment).cast("int").alias("arm"), F.col(score).cast("double").alias("score")
@@ -58,29 +44,27 @@ def match_pairs(
         F.abs(F.col("n1") - F.col("n0")).alias("cnt"),
         F.col("m").alias("next"),
     )
-    while (size := rest.count()) > finish_rows:
-        found = cut_lineage(_mutual_nearest(rest, limit))
+    while True:
+        step = cut_lineage(_mutual_nearest(rest, limit))
+        found = step.where("m > 0 AND arm = 1")
         if found.isEmpty():
-            size = 0
-            break
-        segments = segments.unionByName(found)
-        used = found.select(F.col("score_t").alias("score"), "m").unionByName(
-            found.select(F.col("score_c").alias("score"), "m")
+            return _expand(base, segments)
+        segments = segments.unionByName(
+            found.select(
+                F.col("score").alias("score_t"), F.col("next").alias("rank_t"),
+                F.col("choice").alias("score_c"), F.col("choice_next").alias("rank_c"), "m",
+            )
         )
-        rest = cut_lineage(
-            rest.join(used, "score", "left")
-            .withColumn("m", F.coalesce("m", F.lit(0)))
-            .select("score", "arm", (F.col("cnt") - F.col("m")).alias("cnt"), (F.col("next") + F.col("m")).alias("next"))
-            .where("cnt > 0")
+        rest = step.where("cnt > m").select(
+            "score", "arm", (F.col("cnt") - F.col("m")).alias("cnt"), (F.col("next") + F.col("m")).alias("next")
         )
-    if size:
-        # bounded by finish_rows, checked by the count above
-        segments = segments.unionByName(rest.coalesce(1).mapInPandas(_greedy_finish(limit), SEGMENTS))
-    return _expand(base, segments)
 
 
 def _mutual_nearest(rest: DataFrame, limit: float) -> DataFrame:
-    """Segments between scores that are each other's nearest opposite score."""
+    """Scores with an opposite one inside the limit, their nearest and the rows ``m`` they pair with it.
+
+    ``m`` is 0 where the nearest score has another one nearer to it.
+    """
     buckets = default_buckets(rest)
     b = with_bucket(rest, "score", quantile_limits(rest, "score", buckets), buckets)
     up = Window.partitionBy("__bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
@@ -117,61 +101,15 @@ def _mutual_nearest(rest: DataFrame, limit: float) -> DataFrame:
     chosen = near.select("score", "arm", "cnt", "next", choice.alias("choice")).where(
         F.abs(F.col("choice") - F.col("score")) <= F.lit(limit)
     )
-    t, c = chosen.where("arm = 1").alias("t"), chosen.where("arm = 0").alias("c")
-    both = t.join(c, (F.col("t.choice") == F.col("c.score")) & (F.col("c.choice") == F.col("t.score")))
-    return both.select(
-        F.col("t.score").alias("score_t"),
-        F.col("t.next").alias("rank_t"),
-        F.col("c.score").alias("score_c"),
-        F.col("c.next").alias("rank_c"),
-        F.least("t.cnt", "c.cnt").alias("m"),
+    other = chosen.select(
+        F.col("score").alias("o_score"), F.col("choice").alias("o_choice"), F.col("cnt").alias("o_cnt"),
+        F.col("next").alias("choice_next"),
+    )
+    mutual = (F.col("choice") == F.col("o_score")) & (F.col("score") == F.col("o_choice"))
+    return chosen.join(other, mutual, "left").select(
+        "score", "arm", "cnt", "next", "choice", "choice_next",
+        F.when(F.col("o_cnt").isNotNull(), F.least("cnt", "o_cnt")).otherwise(0).alias("m"),
     )
-
-
-def _greedy_finish(limit: float):
-    """Closest adjacent opposite scores first, until none is within the caliper."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frames = list(batches)
-        if not frames:
-            return
-        rows = pd.concat(frames).sort_values("score", ignore_index=True)
-        score, arm = rows["score"].tolist(), rows["arm"].tolist()
-        left_over, rank = rows["cnt"].tolist(), rows["next"].tolist()
-        n = len(score)
-        prev, nxt = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap: list = []
-
-        def offer(i: int, j: int) -> None:
-            if i >= 0 and j < n and arm[i] != arm[j] and score[j] - score[i] <= limit:
-                heapq.heappush(heap, (score[j] - score[i], score[i], i, j))
-
-        for i in range(n - 1):
-            offer(i, i + 1)
-        out = []
-        while heap:
-            _, _, i, j = heapq.heappop(heap)
-            if not (left_over[i] and left_over[j] and nxt[i] == j):
-                continue
-            m = min(left_over[i], left_over[j])
-            t, c = (i, j) if arm[i] == 1 else (j, i)
-            out.append((score[t], rank[t], score[c], rank[c], m))
-            for k in (i, j):
-                left_over[k] -= m
-                rank[k] += m
-                if not left_over[k]:
-                    before, after = prev[k], nxt[k]
-                    if before >= 0:
-                        nxt[before] = after
-                    if after < n:
-                        prev[after] = before
-            low = i if left_over[i] else prev[i]
-            high = nxt[low] if low >= 0 else -1
-            if low >= 0 and high < n:
-                offer(low, high)
-        yield pd.DataFrame(out, columns=["score_t", "rank_t", "score_c", "rank_c", "m"])
-
-    return run
 
 
 def _expand(base: DataFrame, segments: DataFrame) -> DataFrame:
