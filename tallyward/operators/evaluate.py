@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from tallyward.operators.ordered import running_totals, with_bin
 
 
-def score_curve(df: DataFrame, score: str, label: str, groups: Sequence[str] = ()) -> DataFrame:
+def score_curve(df: DataFrame, score: str, label: str, groups: Sequence[str] = (), totals: bool = False) -> DataFrame:
     """Rows (groups, score, pos, neg, cum_pos, cum_neg), sums by descending score.
 
-    Rows without a score, a label or a group take no part.
+    Rows without a score, a label or a group take no part. ``totals`` adds the
+    group's total_pos and total_neg.
     """
     needed = [score, label, *groups]
     complete = df.dropna(subset=needed).select(*groups, F.col(score).alias("score"), F.col(label).alias("label"))
@@ -27,7 +28,7 @@ def score_curve(df: DataFrame, score: str, label: str, groups: Sequence[str] = (
         "pos": F.sum(F.col("label").cast("long")),
         "neg": F.sum(1 - F.col("label").cast("long")),
     }
-    return running_totals(complete, "score", measures, groups, descending=True)
+    return running_totals(complete, "score", measures, groups, descending=True, totals=totals)
 
 
 def auc_agg() -> Column:
@@ -184,41 +185,38 @@ def reliability(df: DataFrame, score: str, label: str, bins: int = 10, groups: S
 
 
 def roc_points(df: DataFrame, score: str, label: str, groups: Sequence[str] = ()) -> DataFrame:
-    """One (fpr, tpr) point per distinct score; groups with one class have none."""
+    """One (fpr, tpr) point per distinct score, and the start (0, 0) with a NULL threshold.
+
+    Groups with one class have no points.
+    """
     return _curve_points(
         df, score, label, groups,
-        fpr=F.col("cum_neg") / F.col("t_neg"),
-        tpr=F.col("cum_pos") / F.col("t_pos"),
+        fpr=(0.0, F.col("cum_neg") / F.col("total_neg")),
+        tpr=(0.0, F.col("cum_pos") / F.col("total_pos")),
     )
 
 
 def pr_points(df: DataFrame, score: str, label: str, groups: Sequence[str] = ()) -> DataFrame:
-    """One (precision, recall) point per distinct score."""
+    """One (precision, recall) point per distinct score, and the end (1, 0) with a NULL threshold."""
     return _curve_points(
         df, score, label, groups,
-        precision=F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")),
-        recall=F.col("cum_pos") / F.col("t_pos"),
+        precision=(1.0, F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))),
+        recall=(0.0, F.col("cum_pos") / F.col("total_pos")),
     )
 
 
-def _curve_points(df, score, label, groups, **points: Column) -> DataFrame:
-    groups = list(groups)
-    curve = score_curve(df, score, label, groups)
-    totals = (
-        df.dropna(subset=[score, label, *groups])
-        .groupBy(*groups)
-        .agg(
-            F.count_if(F.col(label) == 1).alias("t_pos"),
-            F.count_if(F.col(label) == 0).alias("t_neg"),
-        )
-        .where("t_pos > 0 AND t_neg > 0")
+def _curve_points(df, score, label, groups, **points: tuple[float, Column]) -> DataFrame:
+    """Points by name: the value above every score, and the value at a score."""
+    curve = score_curve(df, score, label, groups, totals=True).where("total_pos > 0 AND total_neg > 0")
+    # the highest score of a group is where the sums hold that row alone
+    highest = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+    copies = F.when(highest, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
+    rows = curve.withColumn("__end", F.explode(copies))
+    return rows.select(
+        *groups,
+        F.when(~F.col("__end"), F.col("score")).alias("threshold"),
+        *[F.when(F.col("__end"), F.lit(end)).otherwise(at).alias(n) for n, (end, at) in points.items()],
     )
-    if groups:
-        joined = curve.join(totals, groups)
-    else:
-        one = totals.select(F.struct("t_pos", "t_neg").alias("t")).scalar()
-        joined = curve.withColumn("t", one).where("t IS NOT NULL").select("*", "t.*")
-    return joined.select(*groups, F.col("score").alias("threshold"), *[e.alias(n) for n, e in points.items()])
 
 
 def split_gap(metrics: DataFrame, model: str, split: str, metric: str, first: str, second: str) -> DataFrame:

@@ -75,7 +75,7 @@ def quantile_limits(df: DataFrame, key: str, buckets: int) -> Column:
     return df.agg(F.percentile_approx(key, cuts, max(200, 10 * buckets)).alias("l")).scalar()
 
 
-def _join_groups(left: DataFrame, right: DataFrame, groups: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def join_groups(left: DataFrame, right: DataFrame, groups: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Inner join on groups, where NULL equals NULL, and on plain keys; columns of ``right`` are not repeated."""
     renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in [*groups, *keys]})
     same = F.lit(True)
@@ -94,6 +94,7 @@ def running_totals(
     descending: bool = False,
     buckets: int | None = None,
     limits: Column | None = None,
+    totals: bool = False,
 ) -> DataFrame:
     """Per distinct (groups, key): each measure and its inclusive running sum.
 
@@ -101,6 +102,8 @@ def running_totals(
     The output holds groups, key, the measures and ``cum_<measure>``, summed
     along the key in the chosen direction. NULL is a group like any other.
     ``limits`` replaces the quantile sketch where the caller has one already.
+    ``totals`` adds ``total_<measure>``, the sum of the whole group; it comes
+    with the bucket offsets, so that no caller joins rows on the group alone.
     """
     groups = list(groups)
     buckets = buckets or default_buckets(df)
@@ -119,20 +122,23 @@ def running_totals(
     # at most `buckets` rows per group, so this window is small by construction
     bucket_order = F.col("__bucket").desc() if descending else F.col("__bucket").asc()
     before = Window.partitionBy(*groups).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*groups)
+    group_totals = {f"total_{n}": F.sum(f"__t_{n}").over(whole) for n in measures} if totals else {}
     offsets = (
         bucketed.groupBy(*groups, "__bucket")
         .agg(*[F.sum(n).alias(f"__t_{n}") for n in measures])
-        .withColumns({f"__o_{n}": F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)) for n in measures})
-        .select(*groups, "__bucket", *[f"__o_{n}" for n in measures])
+        .withColumns({f"__o_{n}": F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)) for n in measures} | group_totals)
+        .select(*groups, "__bucket", *[f"__o_{n}" for n in measures], *group_totals)
     )
     # no hint: the window already placed rows by (groups, bucket), and AQE
     # broadcasts the offsets only when their measured size allows it
-    joined = _join_groups(local, offsets, groups, ["__bucket"])
+    joined = join_groups(local, offsets, groups, ["__bucket"])
     return joined.select(
         *groups,
         key,
         *measures,
         *[(F.col(f"cum_{n}") + F.col(f"__o_{n}")).alias(f"cum_{n}") for n in measures],
+        *group_totals,
     )
 
 
@@ -314,12 +320,10 @@ def exact_quantiles(
     """
     groups = list(groups)
     present = df.where(F.col(value).isNotNull())
-    cum = running_totals(present, value, {"n": F.count("*")}, groups)
-    sizes = present.groupBy(*groups).agg(F.count("*").alias("total"))
-    joined = _join_groups(cum, sizes, groups) if groups else cum.withColumn("total", sizes.scalar())
+    cum = running_totals(present, value, {"n": F.count("*")}, groups, totals=True)
     aggs = []
     for p in probs:
-        pos = F.lit(p) * (F.col("total") - 1)
+        pos = F.lit(p) * (F.col("total_n") - 1)
         lo, hi = F.floor(pos), F.ceil(pos)
 
         def at(position: Column) -> Column:
@@ -328,7 +332,7 @@ def exact_quantiles(
 
         share = F.max(pos - lo)
         aggs.append(at(lo) + share * (at(hi) - at(lo)))
-    return joined.groupBy(*groups).agg(F.array(*aggs).alias("quantiles"))
+    return cum.groupBy(*groups).agg(F.array(*aggs).alias("quantiles"))
 
 
 def ecdf_grid(df: DataFrame, value: str, grid_start: float, grid_end: float, points: int,

@@ -170,7 +170,7 @@ def _(spark, d):
     "roc_points",
     scored(
         "SELECT split_group, s AS threshold, ROUND(fp / SUM(neg) OVER g, 6) AS fpr, ROUND(tp / SUM(pos) OVER g, 6) AS tpr "
-        "FROM cum WINDOW g AS (PARTITION BY split_group)",
+        "FROM cum WINDOW g AS (PARTITION BY split_group) UNION ALL SELECT DISTINCT split_group, CAST(NULL AS DOUBLE), 0.0, 0.0 FROM cum",
         cum=SQL_CUM.format(g="split_group", src="sc"),
     ),
 )
@@ -182,7 +182,7 @@ def _(spark, d):
     "pr_points",
     scored(
         'SELECT split_group, s AS threshold, ROUND(tp / (tp + fp), 6) AS "precision", ROUND(tp / SUM(pos) OVER g, 6) AS recall '
-        "FROM cum WINDOW g AS (PARTITION BY split_group)",
+        "FROM cum WINDOW g AS (PARTITION BY split_group) UNION ALL SELECT DISTINCT split_group, CAST(NULL AS DOUBLE), 1.0, 0.0 FROM cum",
         cum=SQL_CUM.format(g="split_group", src="sc"),
     ),
 )
@@ -270,34 +270,33 @@ def _(spark, d):
     return E.disparity_extremes(E.disparity(scores(spark, d), "s", "y", R.DEPLOYED_TAU, "race"))
 
 
-# attributions stand-in: mean price of each part type under three brands
-RANK_MODELS = ["Brand#11", "Brand#22", "Brand#33"]
-SQL_ATTR = "SELECT p_brand AS model, p_type AS feature, AVG(p_retailprice) AS value FROM part GROUP BY 1, 2"
+# attributions stand-in: mean price of each line number and quantity under
+# every return flag; the three flags are the column's whole domain
+RANK_MODELS = ["A", "N", "R"]
+SQL_ATTR = (
+    "SELECT l_returnflag AS model, CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_quantity AS INTEGER) AS feature, "
+    "ROUND(AVG(l_extendedprice), 6) AS value FROM lineitem GROUP BY 1, 2"
+)
 
 
 def attributions(spark, d):
-    return table(spark, d, "part").groupBy(F.col("p_brand").alias("model"), F.col("p_type").alias("feature")).agg(
-        F.avg("p_retailprice").alias("value")
+    feature = F.concat(F.col("l_linenumber").cast("string"), F.lit("-"), F.col("l_quantity").cast("int").cast("string"))
+    return table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("model"), feature.alias("feature")).agg(
+        F.round(F.avg("l_extendedprice"), 6).alias("value")
     )
 
 
-def brands(spark, d):
-    """First, second and third brand by name: the catalog's three 'models'."""
-    return [r[0] for r in table(spark, d, "part").select("p_brand").distinct().orderBy("p_brand").limit(3).collect()]
-
-
 @query(
     "rank_compare",
-    "WITH a AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY model ORDER BY value DESC, feature) AS rk FROM (" + SQL_ATTR + ")), "
-    "m AS (SELECT model, ROW_NUMBER() OVER (ORDER BY model) AS i FROM (SELECT DISTINCT model FROM a)), "
-    "w AS (SELECT feature, MIN(rk) FILTER (WHERE i = 1) AS r1, MIN(rk) FILTER (WHERE i = 2) AS r2, MIN(rk) FILTER (WHERE i = 3) AS r3 FROM a JOIN m USING (model) GROUP BY 1) "
-    "SELECT feature, CAST(r1 AS INTEGER) AS rank_1, CAST(COALESCE(r2, 75) AS INTEGER) AS rank_2, CAST(COALESCE(r3, 75) AS INTEGER) AS rank_3 FROM w WHERE r1 <= 10",
+    "WITH a AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY model ORDER BY value DESC, feature) AS rk FROM (" + SQL_ATTR + ")) "
+    "SELECT feature, " + ", ".join(
+        f"CAST(COALESCE(MIN(rk) FILTER (WHERE model = '{m}'), 75) AS INTEGER) AS rank_{i + 1}" for i, m in enumerate(RANK_MODELS)
+    ) + f" FROM a GROUP BY 1 HAVING MIN(rk) FILTER (WHERE model = '{RANK_MODELS[0]}') <= 10",
 )
 def _(spark, d):
-    names = brands(spark, d)
     ranked = E.rank_features(attributions(spark, d), "model", "feature", "value")
-    out = E.compare_ranks(ranked, "model", "feature", names, names[0], 10, 75)
-    return out.toDF("feature", *[f"rank_{i + 1}" for i in range(len(names))])
+    out = E.compare_ranks(ranked, "model", "feature", RANK_MODELS, RANK_MODELS[0], 10, 75)
+    return out.toDF("feature", *[f"rank_{i + 1}" for i in range(len(RANK_MODELS))])
 
 
 @query(

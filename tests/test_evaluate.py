@@ -65,6 +65,15 @@ def test_sweep_equals_single_thresholds(spark):
         assert sweep[tau].precision_tau == pytest.approx(single.precision_tau)
 
 
+def test_curves_reach_their_ends(spark):
+    df = scored(spark, [("a", 0.9, 1), ("a", 0.5, 0), ("a", 0.5, 1), ("a", 0.1, 0), ("one", 0.3, 1)])
+    roc = {(r.threshold, r.fpr, r.tpr) for r in E.roc_points(df, "s", "y", ["g"]).where("g = 'a'").collect()}
+    assert roc == {(None, 0.0, 0.0), (0.9, 0.0, 0.5), (0.5, 0.5, 1.0), (0.1, 1.0, 1.0)}
+    pr = E.pr_points(df.where("g = 'a'"), "s", "y").collect()
+    assert {(r.threshold, r.precision, r.recall) for r in pr} == {(None, 1.0, 0.0), (0.9, 1.0, 0.5), (0.5, 2 / 3, 1.0), (0.1, 0.5, 1.0)}
+    assert E.roc_points(df, "s", "y", ["g"]).where("g = 'one'").isEmpty()
+
+
 def test_reliability_bins_are_right_closed(spark):
     df = scored(spark, [("a", 0.0, 0), ("a", 0.1, 1), ("a", 0.1000001, 1), ("a", 1.0, 1)])
     assert {r.bin: r.n for r in E.reliability(df, "s", "y").collect()} == {0: 2, 1: 1, 9: 1}
