@@ -11,8 +11,10 @@ from __future__ import annotations
 import itertools
 import random
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Estimator, Model
+from pyspark import inheritable_thread_target
+from pyspark.ml import Model
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
@@ -21,11 +23,13 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyward.operators.evaluate import auc
+from tallyward.operators.ordered import join_groups, running_totals
 from tallyward.operators.profile import with_class_weight
+from tallyward.session import cut_lineage
 
 
 def logistic(label: str, features: str, c: float, l1_ratio: float, total_weight: float, weight: str = "class_weight") -> LogisticRegression:
@@ -80,12 +84,19 @@ def raw_margin(model: Model, df: DataFrame, out: str = "margin") -> DataFrame:
 
 
 def stratified_fold(df: DataFrame, key: str, label: str, k: int, seed: int = 0, out: str = "fold") -> DataFrame:
-    """Fold by a seeded hash of (label, key): no shuffle, stable under retries.
+    """Fold by position: rows of a class, in the order of a seeded hash, are dealt to k folds in turn.
 
-    Within each class the hash spreads rows evenly, so folds keep the class
-    ratio up to sampling noise.
+    Class sizes differ by one row at most between folds. Rows that repeat a
+    key share its fold. The hash is 60 bits of MD5, so other engines can
+    repeat the order; the numbering is the two-level one, so a class may hold
+    any share of the rows.
     """
-    return df.withColumn(out, F.pmod(F.xxhash64(F.col(label), F.col(key), F.lit(seed)), F.lit(k)).cast("int"))
+    digest = F.md5(F.concat_ws(":", F.col(key), F.lit(seed)))
+    hashed = df.withColumn("__h", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
+    numbered = running_totals(hashed, "__h", {"__one": F.count("*")}, [label]).select(
+        label, "__h", ((F.col("cum___one") - F.col("__one")) % k).cast("int").alias(out)
+    )
+    return join_groups(hashed, numbered, [label], ["__h"]).drop("__h")
 
 
 # --- search -----------------------------------------------------------------
@@ -99,33 +110,54 @@ def random_grid(space: Mapping[str, Sequence], trials: int, seed: int = 0) -> li
     return [dict(zip(names, c)) for c in combos[:trials]]
 
 
+Fit = Callable[[DataFrame], Model]
+FitParams = Callable[[dict, DataFrame], Model]
+Trials = list[tuple[dict, float]]
+
+
+def _in_parallel(spark: SparkSession, task: Callable, items: Sequence, workers: int) -> list:
+    """Results in the order of the items; jobs of several trials share the cluster."""
+    with ThreadPoolExecutor(workers) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(task), items))
+
+
+def _held_out_auc(model: Model, held: DataFrame, label: str) -> float:
+    value = auc(positive_probability(model, held), "prob", label).first()["auc_roc"]
+    return float("nan") if value is None else value
+
+
+def _best(trials: Trials) -> tuple[dict, float, Trials]:
+    params, score = max(trials, key=lambda r: (r[1] == r[1], r[1]))
+    return params, score, trials
+
+
 def search(
-    build: Callable[[dict], Estimator], grid: Sequence[dict], train: DataFrame, valid: DataFrame, label: str
-) -> tuple[dict, float, list[tuple[dict, float]]]:
-    """Parameters with the best exact validation AUC, and every trial's score."""
-    results = []
-    for params in grid:
-        model = build(params).fit(train)
-        value = auc(positive_probability(model, valid), "prob", label).first()["auc_roc"]
-        results.append((params, float("nan") if value is None else value))
-    best = max(results, key=lambda r: (r[1] == r[1], r[1]))
-    return best[0], best[1], results
+    fit: FitParams, grid: Sequence[dict], train: DataFrame, valid: DataFrame, label: str, workers: int = 4
+) -> tuple[dict, float, Trials]:
+    """Parameters with the best exact validation AUC, its value and every trial's."""
+    scores = _in_parallel(
+        train.sparkSession, lambda params: _held_out_auc(fit(params, train), valid, label), grid, workers
+    )
+    return _best(list(zip(grid, scores)))
 
 
 def search_cv(
-    build: Callable[[dict], Estimator], grid: Sequence[dict], df: DataFrame, fold: str, k: int, label: str
-) -> tuple[dict, float]:
-    """Parameters with the best mean AUC over k held-out folds."""
-    best, best_score = None, float("-inf")
-    for params in grid:
-        total = 0.0
-        for i in range(k):
-            model = build(params).fit(df.where(F.col(fold) != i))
-            held = positive_probability(model, df.where(F.col(fold) == i))
-            total += auc(held, "prob", label).first()["auc_roc"] or 0.0
-        if total / k > best_score:
-            best, best_score = params, total / k
-    return best, best_score
+    fit: FitParams, grid: Sequence[dict], df: DataFrame, fold: str, k: int, label: str, workers: int = 4
+) -> tuple[dict, float, Trials]:
+    """Parameters with the best mean AUC over k held-out folds, its value and every trial's.
+
+    ``fit`` sees the rows of the other folds only, so weights and penalties
+    follow from them. A fold with one class leaves its trial without a value.
+    """
+
+    def trial(at: tuple[dict, int]) -> float:
+        params, i = at
+        model = fit(params, df.where(F.col(fold) != i))
+        return _held_out_auc(model, df.where(F.col(fold) == i), label)
+
+    pairs = [(params, i) for params in grid for i in range(k)]
+    scores = _in_parallel(df.sparkSession, trial, pairs, workers)
+    return _best([(params, sum(scores[j * k : (j + 1) * k]) / k) for j, params in enumerate(grid)])
 
 
 # --- calibration ------------------------------------------------------------
@@ -166,23 +198,23 @@ def fit_sigmoid(df: DataFrame, margin: str, label: str) -> tuple[float, float]:
     return float(fit.coefficients[0]), float(fit.intercept)
 
 
-def platt_ensemble(estimator: Estimator, df: DataFrame, key: str, label: str, k: int = 5, seed: int = 0) -> PlattEnsemble:
+def platt_ensemble(fit: Fit, df: DataFrame, key: str, label: str, k: int = 5, seed: int = 0) -> PlattEnsemble:
     """Fit on k - 1 folds, calibrate on the held-out one, for each fold."""
-    folded = stratified_fold(df, key, label, k, seed)
+    folded = cut_lineage(stratified_fold(df, key, label, k, seed))
     members = []
     for i in range(k):
-        model = estimator.fit(folded.where(F.col("fold") != i))
+        model = fit(folded.where(F.col("fold") != i))
         held = raw_margin(model, folded.where(F.col("fold") == i))
         members.append((model, *fit_sigmoid(held, "margin", label)))
     return PlattEnsemble(members)
 
 
-def out_of_fold(estimator: Estimator, df: DataFrame, key: str, label: str, k: int = 5, seed: int = 0, out: str = "prob") -> DataFrame:
+def out_of_fold(fit: Fit, df: DataFrame, key: str, label: str, k: int = 5, seed: int = 0, out: str = "prob") -> DataFrame:
     """Every row scored by the model that did not see its fold."""
-    folded = stratified_fold(df, key, label, k, seed)
+    folded = cut_lineage(stratified_fold(df, key, label, k, seed))
     parts = None
     for i in range(k):
-        model = estimator.fit(folded.where(F.col("fold") != i))
+        model = fit(folded.where(F.col("fold") != i))
         held = positive_probability(model, folded.where(F.col("fold") == i), out)
         parts = held if parts is None else parts.unionByName(held)
     return parts

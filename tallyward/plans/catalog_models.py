@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +15,7 @@ from tallyward.plans import encounter_rules as R
 from tallyward.plans import risk_model as K
 from tallyward.plans.catalog_base import Catalog, mart, rounded, with_steps
 from tallyward.plans.catalog_drift import psi_steps
-from tallyward.session import scratch_path
+from tallyward.session import cut_lineage, scratch_path
 from tallyward.sources.fixtures import table
 from tallyward.sources.readers import to_requests
 from tallyward.streaming import jobs as S
@@ -142,12 +144,13 @@ def _(spark, d):
 
 @query("lr_search")
 def _(spark, d):
+    # every point of the grid, each by the mean AUC of five held-out folds
     x = K.build_matrix(mart(spark, d))
-    rows, total = M.prepare(x.split("train"), R.LABEL)
-    grid = M.random_grid({"c": [0.001, 0.01, 0.1, 1.0], "l1_ratio": [0.0, 0.5, 1.0]}, trials=4, seed=3)
-    build = lambda p: M.logistic(R.LABEL, "features", p["c"], p["l1_ratio"], total)
-    _, _, trials = M.search(build, grid, rows, x.split("validation"), R.LABEL)
-    return spark.createDataFrame([(p["c"], p["l1_ratio"], v) for p, v in trials], "c double, l1_ratio double, validation_auc double")
+    folded = cut_lineage(M.stratified_fold(x.split("train"), R.KEY, R.LABEL, 5))
+    space = {"c": [0.001, 0.01, 0.1, 1.0], "l1_ratio": [0.0, 0.5, 1.0]}
+    grid = M.random_grid(space, trials=math.prod(map(len, space.values())), seed=3)
+    _, _, trials = M.search_cv(lambda p, rows: K.fit_logistic(rows, **p), grid, folded, "fold", 5, R.LABEL, workers=8)
+    return spark.createDataFrame([(p["c"], p["l1_ratio"], v) for p, v in trials], "c double, l1_ratio double, mean_auc double")
 
 
 @query("gbt_scores")
@@ -178,31 +181,27 @@ def _(spark, d):
 
 @query(
     "stratified_folds",
-    with_steps("mart", "SELECT readmitted_30day, COUNT(*) AS n FROM mart WHERE split_group = 'train' GROUP BY 1"),
+    with_steps(
+        "mart",
+        "SELECT encounter_id, readmitted_30day, CAST((ROW_NUMBER() OVER (PARTITION BY readmitted_30day "
+        "ORDER BY substr(md5(encounter_id || ':0'), 1, 15)) - 1) % 5 AS INTEGER) AS fold FROM mart WHERE split_group = 'train'",
+    ),
 )
 def _(spark, d):
-    # every row lands in exactly one fold: fold sizes add up to the class size
-    folds = M.stratified_fold(train(mart(spark, d, R.LABEL)), "encounter_id", R.LABEL, 5)
-    per_fold = folds.groupBy(R.LABEL, "fold").agg(F.count("*").alias("c"))
-    return per_fold.groupBy(R.LABEL).agg(F.sum("c").alias("n"))
+    return M.stratified_fold(train(mart(spark, d, R.LABEL)), "encounter_id", R.LABEL, 5).select("encounter_id", R.LABEL, "fold")
 
 
 @query("platt_calibrated")
 def _(spark, d):
     x = K.build_matrix(mart(spark, d))
-    rows, total = M.prepare(x.split("train"), R.LABEL)
-    ensemble = M.platt_ensemble(
-        M.logistic(R.LABEL, "features", K.LOGISTIC_C, K.LOGISTIC_L1_RATIO, total), rows, R.KEY, R.LABEL
-    )
+    ensemble = M.platt_ensemble(K.fit_logistic, x.split("train"), R.KEY, R.LABEL)
     return ensemble.transform(x.rows).select(*K.KEEP, "prob")
 
 
 @query("isotonic_calibrated")
 def _(spark, d):
     x = K.build_matrix(mart(spark, d))
-    rows, total = M.prepare(x.split("train"), R.LABEL)
-    estimator = M.logistic(R.LABEL, "features", K.LOGISTIC_C, K.LOGISTIC_L1_RATIO, total)
-    curve = M.fit_isotonic(M.out_of_fold(estimator, rows, R.KEY, R.LABEL), "prob", R.LABEL)
+    curve = M.fit_isotonic(M.out_of_fold(K.fit_logistic, x.split("train"), R.KEY, R.LABEL), "prob", R.LABEL)
     scored = K.score(K.train_logistic(x), x.rows)
     return M.apply_isotonic(curve, scored)
 

@@ -44,9 +44,14 @@ def build_matrix(mart: DataFrame) -> Matrix:
     return Matrix(plan, materialize(rows, "matrix", [R.SPLIT]))
 
 
-def train_logistic(matrix: Matrix, c: float = LOGISTIC_C, l1_ratio: float = LOGISTIC_L1_RATIO) -> Model:
-    train, total = M.prepare(matrix.split("train"), R.LABEL)
-    return M.logistic(R.LABEL, "features", c, l1_ratio, total).fit(train)
+def fit_logistic(rows: DataFrame, c: float = LOGISTIC_C, l1_ratio: float = LOGISTIC_L1_RATIO) -> Model:
+    """Logistic model; class weights and penalty follow from the given rows."""
+    weighted, total = M.prepare(rows, R.LABEL)
+    return M.logistic(R.LABEL, "features", c, l1_ratio, total).fit(weighted)
+
+
+def train_logistic(matrix: Matrix) -> Model:
+    return fit_logistic(matrix.split("train"))
 
 
 def train_boosted(matrix: Matrix, **params) -> Model:

@@ -71,14 +71,28 @@ def test_models_learn_and_rank_features(spark, fitted):
     assert lin["numeric__x"] > lin["numeric__noise"]
 
 
+def fit_lr(params, rows):
+    weighted, total = M.prepare(rows, "y")
+    return M.logistic("y", "features", params["c"], params["l1"], total).fit(weighted)
+
+
+def test_folds_deal_each_class_evenly(spark, rows):
+    folds = M.stratified_fold(rows.select("id", "y"), "id", "y", 4)
+    got = folds.groupBy("y", "fold").count().collect()
+    for y in (0, 1):
+        sizes = [r["count"] for r in got if r.y == y]
+        assert len(sizes) == 4 and max(sizes) - min(sizes) <= 1
+    unlabelled = spark.createDataFrame([(i, None) for i in range(6)], "id long, y int")
+    assert M.stratified_fold(unlabelled, "id", "y", 2).groupBy("fold").count().count() == 2
+
+
 def test_calibration(fitted):
     _, matrix = fitted
-    weighted, total = M.prepare(matrix, "y")
-    est = M.logistic("y", "features", 10.0, 0.0, total)
-    platt = M.platt_ensemble(est, weighted, "id", "y", k=3).transform(matrix)
+    fit = lambda rows: fit_lr({"c": 10.0, "l1": 0.0}, rows)
+    platt = M.platt_ensemble(fit, matrix, "id", "y", k=3).transform(matrix)
     stats = platt.agg(F.avg("prob"), F.avg("y"), F.min("prob"), F.max("prob")).first()
     assert stats[0] == pytest.approx(stats[1], abs=0.03) and 0 < stats[2] < stats[3] < 1
-    oof = M.out_of_fold(est, weighted, "id", "y", k=3)
+    oof = M.out_of_fold(fit, matrix, "id", "y", k=3)
     assert oof.count() == matrix.count()
     curve = M.fit_isotonic(oof, "prob", "y")
     iso = M.apply_isotonic(curve, oof)
@@ -88,13 +102,12 @@ def test_calibration(fitted):
 
 def test_search_prefers_the_better_penalty(fitted):
     _, matrix = fitted
-    weighted, total = M.prepare(matrix, "y")
-    grid = [{"c": 1e-6}, {"c": 1.0}]
-    build = lambda p: M.logistic("y", "features", p["c"], 1.0, total)
-    best, score, trials = M.search(build, grid, weighted, matrix, "y")
-    assert best == {"c": 1.0} and score > 0.65 and len(trials) == 2
-    folded = M.stratified_fold(weighted, "id", "y", 3)
-    assert M.search_cv(build, grid, folded, "fold", 3, "y")[0] == {"c": 1.0}
+    grid = [{"c": 1e-6, "l1": 1.0}, {"c": 1.0, "l1": 1.0}]
+    best, score, trials = M.search(fit_lr, grid, matrix, matrix, "y")
+    assert best == grid[1] and score > 0.65 and [p for p, _ in trials] == grid
+    folded = M.stratified_fold(matrix, "id", "y", 3)
+    best, score, trials = M.search_cv(fit_lr, grid, folded, "fold", 3, "y")
+    assert best == grid[1] and score > 0.65 and [p for p, _ in trials] == grid
     assert len(M.random_grid({"a": [1, 2, 3], "b": [1, 2]}, 4, seed=2)) == 4
 
 
