@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyward.operators.evaluate import auc
-from tallyward.operators.ordered import join_groups, running_totals
+from tallyward.operators.ordered import default_buckets, join_groups, running_totals
 from tallyward.operators.profile import with_class_weight
 from tallyward.session import cut_lineage
 
@@ -266,20 +266,27 @@ def linear_attribution(model: LogisticRegressionModel, df: DataFrame, features:
 
 
 def permutation_importance(
-    model: Model, df: DataFrame, key: str, label: str, features: str, names: Sequence[str], seed: int = 0, buckets: int | None = None
+    model: Model, df: DataFrame, key: str, label: str, features: str, names: Sequence[str], seed: int = 0
 ) -> DataFrame:
     """AUC lost when one feature is shuffled, all features in one job.
 
-    Rows form rings by a seeded hash of the key; a row's partner is the next
-    one in its ring, whose value replaces the feature. Many small rings keep
-    every sort bounded, and one shuffle serves all features.
+    A row's partner is the next one in the order of a seeded hash of the key,
+    the first one after the last; its value replaces the feature. Ranges of
+    the hash are sorted apart and only balance the load: the last row of a
+    range takes the first row of the next, so that any cut gives the same
+    partners. One shuffle serves all features.
     """
-    if buckets is None:
-        buckets = max(1, df.count() // 10_000)
+    ranges = default_buckets(df)
     base = df.select(F.col(key).alias("k"), F.col(label).alias("y"), vector_to_array(features).alias("x"))
-    hashed = base.withColumn("h", F.xxhash64(F.col("k"), F.lit(seed))).withColumn("ring", F.pmod("h", F.lit(buckets)))
-    order = Window.partitionBy("ring").orderBy(F.xxhash64("h"), "k")
-    partnered = hashed.withColumn("z", F.coalesce(F.lead("x").over(order), F.first("x").over(order)))
+    hashed = base.withColumn("h", F.xxhash64(F.col("k"), F.lit(seed))).withColumn(
+        "range", F.shiftright("h", 65 - ranges.bit_length())
+    )
+    order = Window.partitionBy("range").orderBy("h", "k")
+    # a row per range
+    across = Window.partitionBy(F.lit(1)).orderBy("range")
+    firsts = hashed.groupBy("range").agg(F.min_by("x", F.struct("h", "k")).alias("x"))
+    following = firsts.select("range", F.coalesce(F.lead("x").over(across), F.first("x").over(across)).alias("after"))
+    partnered = hashed.withColumn("z", F.lead("x").over(order)).join(following, "range").withColumn("z", F.coalesce("z", "after"))
 
     def swap(j: Column) -> Column:
         return F.transform("x", lambda v, i: F.when(i == j, F.element_at("z", (j + 1).cast("int"))).otherwise(v))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
@@ -9,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tallyward.operators.drift import PsiReference, cell_counts, drift_report
 from tallyward.sources.readers import parse_requests
@@ -139,8 +141,34 @@ def run_drift_reports(
     return query
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the state operators of a finished query dropped for being late."""
-    return sum(
-        op.numRowsDroppedByWatermark for progress in query.recentProgress for op in progress.stateOperators
-    )
+class LateRows(StreamingQueryListener):
+    """Rows that state operators dropped for being late, added up over every batch of a run.
+
+    Register it before the query starts. The progress a query keeps itself
+    covers its last batches only.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._sums: dict[str, int] = defaultdict(int)
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self._sums[str(progress.runId)] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def total(self, query: StreamingQuery, timeout: float = 60.0) -> int:
+        """Sum of a finished run; its end is the last event that the listener sees."""
+        run = str(query.runId)
+        if not self._ended[run].wait(timeout):
+            raise TimeoutError(f"run {run} has not ended")
+        return self._sums[run]

@@ -71,6 +71,18 @@ def test_models_learn_and_rank_features(spark, fitted):
     assert lin["numeric__x"] > lin["numeric__noise"]
 
 
+def test_permutation_does_not_depend_on_the_partitioning(spark, fitted):
+    plan, matrix = fitted
+    lr = fit_lr({"c": 1.0, "l1": 0.0}, matrix)
+    few = matrix.where("id < 40")
+    kept, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for partitions in ("2", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        got.append({tuple(r) for r in M.permutation_importance(lr, few, "id", "y", "features", plan.names()).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", kept)
+    assert got[0] == got[1] and any(drop for _, drop in got[0])
+
+
 def fit_lr(params, rows):
     weighted, total = M.prepare(rows, "y")
     return M.logistic("y", "features", params["c"], params["l1"], total).fit(weighted)
@@ -170,7 +182,9 @@ def test_windows_update_and_drop_late_rows(spark, tmp_path):
     arrive("b", "('2024-01-06', 'k', 4), ('2024-01-20', 'k', 8)")
     S.run_updates(stream(), ck, sink)
     arrive("c", "('2024-01-04', 'k', 100), ('2024-01-21', 'k', 16)")  # first row is far behind the watermark
+    late = S.LateRows(spark)
     query = S.run_updates(stream(), ck, sink)
     got = {str(r.window_start)[:10]: (r.n, r.total) for r in S.latest(spark, sink, ["window_start", "kind"], ["n", "total"]).collect()}
     assert got == {"2024-01-04": (3, 7.0), "2024-01-18": (2, 24.0)}
-    assert S.late_rows(query) >= 1
+    assert late.total(query) >= 1
+    spark.streams.removeListener(late)
