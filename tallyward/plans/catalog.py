@@ -7,11 +7,12 @@ from tallyward.plans import (
     catalog_cohort,
     catalog_drift,
     catalog_evaluate,
+    catalog_files,
     catalog_models,
     catalog_profile,
 )
 
-_TOPICS = [catalog_cohort, catalog_profile, catalog_evaluate, catalog_drift, catalog_causal, catalog_models]
+_TOPICS = [catalog_cohort, catalog_profile, catalog_evaluate, catalog_drift, catalog_causal, catalog_models, catalog_files]
 
 QUERIES = {}
 ORACLES = {}

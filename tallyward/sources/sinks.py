@@ -12,10 +12,13 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", **options: str)
     df.write.mode("overwrite").format(fmt).options(**options).saveAsTable(name)
 
 
-def publish(df: DataFrame, name: str, layer: str, materialized: str, database: str | None = None) -> DataFrame:
+def publish(
+    df: DataFrame, name: str, layer: str, materialized: str, database: str | None = None, **options: str
+) -> DataFrame:
     """Staging models become views, mart models tables named by layer.
 
-    With ``database`` the table lives in ``<database>_<layer>``.
+    With ``database`` the table lives in ``<database>_<layer>``; ``options``
+    are the table's.
     """
     spark = df.sparkSession
     if materialized == "view":
@@ -27,7 +30,7 @@ def publish(df: DataFrame, name: str, layer: str, materialized: str, database: s
         schema = f"{database}_{layer}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
         name = f"{schema}.{name}"
-    write_table(df, name)
+    write_table(df, name, **options)
     return spark.table(name)
 
 
@@ -56,9 +59,10 @@ def write_manifest(names: DataFrame, path: str) -> None:
 
 
 def write_batches(df: DataFrame, path: str, batch: str = "batch") -> None:
-    """JSON lines per ordered batch, directories named ``batch_01`` and so on."""
+    """JSON lines per ordered batch, directories named ``batch_01`` and so on, files sized by AQE."""
     named = df.withColumn("__b", F.format_string("batch_%02d", F.col(batch)))
-    named.drop(batch).withColumnRenamed("__b", batch).write.mode("overwrite").partitionBy(batch).json(path)
+    named = named.drop(batch).withColumnRenamed("__b", batch).hint("rebalance", F.col(batch))
+    named.write.mode("overwrite").partitionBy(batch).json(path)
 
 
 def save_model(model: PipelineModel, root: str, version: str) -> str:
