@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyward.functions.scalar import flag
-from tallyward.functions.stats import HART_DEN, HART_LIMIT, HART_NUM, SQRT_TWO_PI
 from tallyward.operators import bootstrap as B
 from tallyward.operators import causal as C
 from tallyward.operators import design as X
@@ -13,7 +12,7 @@ from tallyward.operators import matching as M
 from tallyward.operators.evaluate import threshold_sweep
 from tallyward.operators.features import category_levels
 from tallyward.plans import encounter_rules as R
-from tallyward.plans.catalog_base import Catalog, features, mart, rounded, staged, with_steps
+from tallyward.plans.catalog_base import Catalog, features, mart, rounded, sql_normal_upper, staged, with_steps
 
 catalog = Catalog()
 query = catalog.query
@@ -107,24 +106,6 @@ def _(spark, d):
     return rounded(balance(spark, d).select("covariate", "ks", "ks_weighted"), "ks", "ks_weighted")
 
 
-def sql_normal_upper(x: str) -> str:
-    """Hart's tail in SQL, term by term as in the column expression."""
-
-    def horner(coefs):
-        acc = repr(coefs[0])
-        for c in coefs[1:]:
-            acc = f"({acc} * ABS({x}) + {c!r})"
-        return acc
-
-    near = f"EXP(-ABS({x}) * ABS({x}) / 2) * {horner(HART_NUM)} / {horner(HART_DEN)}"
-    frac = f"(ABS({x}) + 0.65)"
-    for k in (4.0, 3.0, 2.0, 1.0):
-        frac = f"(ABS({x}) + {k} / {frac})"
-    far = f"EXP(-ABS({x}) * ABS({x}) / 2) / {frac} / {SQRT_TWO_PI}"
-    tail = f"(CASE WHEN ABS({x}) > 37 THEN 0.0 WHEN ABS({x}) < {HART_LIMIT} THEN {near} ELSE {far} END)"
-    return f"(CASE WHEN {x} > 0 THEN {tail} ELSE 1 - {tail} END)"
-
-
 SQL_OR = {
     **SQL_TREATED,
     "os": "SELECT COUNT(*) AS n, SUM(iptw) FILTER (WHERE a = 1) AS w1, SUM(iptw) FILTER (WHERE a = 0) AS w0, "
@@ -270,10 +251,34 @@ def _(spark, d):
     return B.normal_interval(point, reps)
 
 
-@query("subgroup_interaction")
+# saturated model: coefficients are differences of the cells' log odds
+_CELL = " UNION ALL ".join(
+    f"SELECT '{name}' AS term, {value} AS estimate, SQRT({var}) AS std_error FROM w"
+    for name, value, var in (
+        ("(Intercept)", "l00", "v00"),
+        ("tested", "l10 - l00", "v10 + v00"),
+        ("gender_Male", "l01 - l00", "v01 + v00"),
+        ("tested:gender_Male", "l11 - l10 - l01 + l00", "v11 + v10 + v01 + v00"),
+    )
+)
+
+
+@query(
+    "subgroup_interaction",
+    with_steps(
+        "mart",
+        "SELECT term, ROUND(estimate, 5) AS estimate, ROUND(std_error, 5) AS std_error FROM terms",
+        c="SELECT CAST(a1cresult <> 'None' AS INTEGER) AS a, CAST(gender = 'Male' AS INTEGER) AS g, "
+        "LN(SUM(readmitted_30day) / SUM(1 - readmitted_30day)) AS l, 1 / SUM(readmitted_30day) + 1 / SUM(1 - readmitted_30day) AS v "
+        "FROM mart WHERE split_group = 'train' GROUP BY 1, 2",
+        w="SELECT " + ", ".join(f"MAX({x}) FILTER (WHERE a = {a} AND g = {g}) AS {x}{a}{g}" for x in "lv" for a in (0, 1) for g in (0, 1)) + " FROM c",
+        terms=_CELL,
+    ),
+)
 def _(spark, d):
     model = C.fit_logit(train_rows(spark, d), "y", ["tested", "gender"], ["tested:gender"])
-    return C.coefficient_table(model)
+    out = C.coefficient_table(model)
+    return out.select("term", F.round("estimate", 5).alias("estimate"), F.round("std_error", 5).alias("std_error"))
 
 
 # --- experiment design -------------------------------------------------------

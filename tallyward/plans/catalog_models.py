@@ -97,7 +97,7 @@ def _(spark, d):
 def _manifest_sql():
     numeric = [f"SELECT {i} AS position, 'numeric__{c}' AS feature" for i, c in enumerate(R.NUMERIC_FEATURES)]
     n = len(numeric)
-    ords = [("med_ord", m) for m in R.MODELLED_MEDICATIONS if m in ("metformin", "repaglinide", "insulin")]
+    ords = [("med_ord", m) for m in R.MODELLED_MEDICATIONS]
     ords += [("a1c_ord", "a1cresult"), ("glu_ord", "max_glu_serum")]
     fixed = numeric + [f"SELECT {n + i}, '{g}__{c}'" for i, (g, c) in enumerate(ords)]
     levels = " UNION ALL ".join(

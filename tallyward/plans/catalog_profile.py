@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 from tallyward.functions.scalar import flag
 from tallyward.operators import profile as P
 from tallyward.plans import encounter_rules as R
-from tallyward.plans.catalog_base import Catalog, MEDS, features, rounded, staged, with_steps
+from tallyward.plans.catalog_base import MEDS, PRIOR, Catalog, features, mart, rounded, sql_normal_upper, staged, with_steps
 from tallyward.sources.fixtures import table
 
 catalog = Catalog()
 query = catalog.query
 
-MISSING_COLUMNS = ["race", "gender", "weight", "payer_code", "medical_specialty", "diag_1", "diag_2", "diag_3", "age"]
+TEXT_COLUMNS = ["race", "gender", "age", "weight", "payer_code", "medical_specialty"]
+DOSES = [*R.LAB_COLUMNS, *R.RAW_MEDICATIONS, "change", "diabetes_med", "readmitted_raw"]
+MISSING_COLUMNS = [
+    *R.ID_COLUMNS, *TEXT_COLUMNS, *R.COUNT_COLUMNS, "diag_1", "diag_2", "diag_3", *DOSES, "readmitted_30day", "readmitted_any",
+]
 SQL_MISSING = " UNION ALL ".join(
     f"SELECT '{c}' AS variable, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_missing, COUNT(*) AS total FROM staged"
     for c in MISSING_COLUMNS
@@ -59,7 +63,7 @@ def _(spark, d):
     )
 
 
-NZV_COLUMNS = ["race", "weight", "examide", "repaglinide", "metformin", "insulin", "max_glu_serum", "diabetes_med"]
+NZV_COLUMNS = [*TEXT_COLUMNS, *DOSES]
 
 
 @query(
@@ -126,22 +130,22 @@ def _(spark, d):
     return rounded(P.status_counts(staged(spark, d), MEDS, "No"), "share")
 
 
-HIST_COLUMNS = ["time_in_hospital", "num_lab_procedures", "num_medications", "number_diagnoses"]
+HIST_COLUMNS = [c for c in R.NUMERIC_FEATURES if c not in PRIOR]
 
 
 @query(
     "hist_by_label",
     with_steps(
-        "staged",
+        "features",
         " UNION ALL ".join(
             f"SELECT '{c}' AS variable, readmitted_30day, CAST(LEAST(FLOOR(CAST({c} - lo AS DOUBLE) / (hi - lo) * 30), 29) AS INTEGER) AS bin, "
-            f"COUNT(*) AS n FROM staged, (SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM staged) GROUP BY ALL"
+            f"COUNT(*) AS n FROM features, (SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM features) GROUP BY ALL"
             for c in HIST_COLUMNS
         ),
     ),
 )
 def _(spark, d):
-    return P.histogram_by_label(staged(spark, d), HIST_COLUMNS, "readmitted_30day", 30)
+    return P.histogram_by_label(features(spark, d), HIST_COLUMNS, "readmitted_30day", 30)
 
 
 @query(
@@ -154,15 +158,15 @@ def _(spark, d):
     return P.histogram_by_label(table(spark, d, "lineitem"), ["l_extendedprice"], "l_returnflag", 30)
 
 
-CAT_COLUMNS = ["race", "gender", "age_group", "admission_type_group", "specialty_group", "diag_1_group", "change"]
+CAT_COLUMNS = [*R.NOMINAL_FEATURES, *R.LAB_COLUMNS, *R.MEDICATIONS, "readmitted_raw", R.SPLIT]
 
 
-def _sql_table1_cat(cols):
-    long = " UNION ALL ".join(f"SELECT '{c}' AS variable, {c} AS level, readmitted_30day AS y FROM features WHERE {c} IS NOT NULL" for c in cols)
+def _sql_table1_cat(cols, digits=6):
+    long = " UNION ALL ".join(f"SELECT '{c}' AS variable, {c} AS level, readmitted_30day AS y FROM mart WHERE {c} IS NOT NULL" for c in cols)
     return with_steps(
-        "features",
+        "mart",
         "SELECT v.variable, level, n, ROUND(100 * n / t, 6) AS pct, n_0, ROUND(100 * n_0 / t0, 6) AS pct_0, "
-        "n_1, ROUND(100 * n_1 / t1, 6) AS pct_1, ROUND(chi2, 6) AS chi2, dof FROM v JOIN s USING (variable) JOIN x USING (variable)",
+        f"n_1, ROUND(100 * n_1 / t1, 6) AS pct_1, ROUND(chi2, {digits}) AS chi2, dof FROM v JOIN s USING (variable) JOIN x USING (variable)",
         l=long,
         v="SELECT variable, level, COUNT(*) AS n, COUNT(*) FILTER (WHERE y = 0) AS n_0, COUNT(*) FILTER (WHERE y = 1) AS n_1 FROM l GROUP BY 1, 2",
         s="SELECT variable, SUM(n) AS t, SUM(n_0) AS t0, SUM(n_1) AS t1, COUNT(*) AS k FROM v GROUP BY 1",
@@ -174,20 +178,33 @@ def _sql_table1_cat(cols):
 
 @query("table1_cat", _sql_table1_cat(CAT_COLUMNS))
 def _(spark, d):
-    out = P.table1_categorical(features(spark, d), CAT_COLUMNS, "readmitted_30day", [0, 1])
+    out = P.table1_categorical(mart(spark, d, R.LABEL, *[c for c in CAT_COLUMNS if c != R.SPLIT]), CAT_COLUMNS, "readmitted_30day", [0, 1])
     return rounded(out, "pct", "pct_0", "pct_1", "chi2").drop("p_value")
 
 
-@query("table1_cat_p")
+def _sql_chi2_upper(x: str, dof: str) -> str:
+    """Tail of chi-square with whole degrees of freedom, by the gamma function's finite sum."""
+    half, odd = f"({x} / 2)", f"({dof} % 2 / 2)"
+    series = f"COALESCE(list_sum([POW({half}, i + {odd}) / GAMMA(i + 1 + {odd}) FOR i IN range(0, {dof} // 2)]), 0)"
+    return (
+        f"(CASE WHEN {x} <= 0 THEN 1.0 ELSE LEAST(EXP(-{half}) * {series} + "
+        f"IF({dof} % 2 = 1, 2 * {sql_normal_upper(f'SQRT({x})')}, 0), 1.0) END)"
+    )
+
+
+@query(
+    "table1_cat_p",
+    f"SELECT DISTINCT variable, dof, ROUND({_sql_chi2_upper('chi2', 'dof')}, 6) AS p_value FROM ({_sql_table1_cat(CAT_COLUMNS, 12)})",
+)
 def _(spark, d):
-    out = P.table1_categorical(features(spark, d), CAT_COLUMNS, "readmitted_30day", [0, 1])
+    out = P.table1_categorical(mart(spark, d, R.LABEL, *[c for c in CAT_COLUMNS if c != R.SPLIT]), CAT_COLUMNS, "readmitted_30day", [0, 1])
     return rounded(out.select("variable", "dof", "p_value").distinct(), "p_value")
 
 
-CONT_COLUMNS = ["age_midpoint", "time_in_hospital", "num_lab_procedures", "num_medications", "number_inpatient"]
+CONT_COLUMNS = R.NUMERIC_FEATURES
 
 
-def _sql_table1_cont(cols):
+def _sql_table1_cont(cols, digits=6):
     long = " UNION ALL ".join(f"SELECT '{c}' AS variable, CAST({c} AS DOUBLE) AS v, readmitted_30day AS y FROM features WHERE {c} IS NOT NULL" for c in cols)
     stats = ", ".join(
         f"quantile_cont(v, {p}){f} AS {name}{s}"
@@ -196,7 +213,7 @@ def _sql_table1_cont(cols):
     )
     return with_steps(
         "features",
-        "SELECT q.*, CAST(1 AS INTEGER) AS dof, ROUND((12.0 / (t * (t + 1.0)) * (r0 * r0 / n0 + r1 * r1 / n1) - 3 * (t + 1.0)) / (1 - ties / (t * t * t - t)), 6) AS h "
+        f"SELECT q.*, CAST(1 AS INTEGER) AS dof, ROUND((12.0 / (t * (t + 1.0)) * (r0 * r0 / n0 + r1 * r1 / n1) - 3 * (t + 1.0)) / (1 - ties / (t * t * t - t)), {digits}) AS h "
         "FROM q JOIN k USING (variable) JOIN w USING (variable)",
         l=long,
         q=f"SELECT variable, {stats} FROM l GROUP BY 1",
@@ -213,13 +230,16 @@ def _(spark, d):
     return rounded(out, "h").drop("p_value")
 
 
-@query("table1_cont_p")
+@query(
+    "table1_cont_p",
+    f"SELECT variable, dof, ROUND({_sql_chi2_upper('h', 'dof')}, 6) AS p_value FROM ({_sql_table1_cont(CONT_COLUMNS, 12)})",
+)
 def _(spark, d):
     out = P.table1_continuous(features(spark, d), CONT_COLUMNS, "readmitted_30day", [0, 1])
     return rounded(out, "p_value").select("variable", "dof", "p_value")
 
 
-RANK_COLUMNS = ["time_in_hospital", "num_medications", "number_inpatient", "number_diagnoses", "num_procedures", "age_midpoint"]
+RANK_COLUMNS = [*R.NUMERIC_FEATURES, R.LABEL]
 
 
 def _sql_spearman(cols):
@@ -238,7 +258,10 @@ def _(spark, d):
     return rounded(P.spearman(features(spark, d), RANK_COLUMNS), "rho")
 
 
-V_COLUMNS = ["race", "gender", "age_band", "admission_type_group", "specialty_group", "diag_1_group", "insulin", "max_glu_serum"]
+V_COLUMNS = [
+    *[c for c in R.NOMINAL_FEATURES if c != "age_band"], *R.LAB_COLUMNS,
+    *[m for m in R.MODELLED_MEDICATIONS if m not in ("repaglinide", "rosiglitazone")], R.LABEL,
+]
 
 
 def _sql_cramers(cols, src):

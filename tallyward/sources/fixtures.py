@@ -8,7 +8,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-ENCOUNTERS_SQL = """
+from tallyward.plans import encounter_rules as R
+
+_OWN_RULE = ["metformin", "insulin", "repaglinide", "examide"]
+
+
+def _medication(i: int, name: str) -> str:
+    """Doses of a medication: every few rows where the models use it, else rarely."""
+    period = (9 if name in R.MODELLED_MEDICATIONS else 89) + 2 * i
+    return (
+        f"CASE (o_orderkey + {i} * o_custkey) % {period} WHEN 0 THEN 'Steady' WHEN 1 THEN 'Up' "
+        f"WHEN 2 THEN 'Down' ELSE 'No' END AS {name}"
+    )
+
+
+_OTHER_MEDICATIONS = ",\n  ".join(_medication(i, m) for i, m in enumerate(R.RAW_MEDICATIONS) if m not in _OWN_RULE)
+
+ENCOUNTERS_SQL = f"""
 SELECT
   o_orderkey AS encounter_id,
   CAST(FLOOR(o_orderkey / 2) AS BIGINT) AS patient_nbr,
@@ -43,6 +59,7 @@ SELECT
   CASE o_custkey % 8 WHEN 0 THEN 'Up' WHEN 1 THEN 'Down' WHEN 2 THEN 'Steady' WHEN 3 THEN 'Steady' ELSE 'No' END AS insulin,
   CASE o_orderkey % 90 WHEN 0 THEN 'Steady' WHEN 1 THEN 'Up' ELSE 'No' END AS repaglinide,
   'No' AS examide,
+  {_OTHER_MEDICATIONS},
   CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Ch' ELSE 'No' END AS change,
   CASE WHEN o_orderpriority = '5-LOW' THEN 'No' ELSE 'Yes' END AS diabetesmed,
   CASE WHEN o_orderkey % 7 = 0 THEN '<30' WHEN o_orderstatus = 'O' THEN '>30' ELSE 'NO' END AS readmitted,
