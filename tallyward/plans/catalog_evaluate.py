@@ -190,6 +190,16 @@ def _(spark, d):
     return rounded(E.pr_points(scores(spark, d), "s", "y", GROUPS), "precision", "recall")
 
 
+def compare_models(scores, tau: float):
+    """Per model: AUC on training and validation rows, their gap, and recall and flags at the threshold."""
+    rows = E.metric_row(scores, "p", "y", tau, ["model", "split_group"])
+    gap = E.split_gap(rows, "model", "split_group", "auc_roc", "train", "validation")
+    at_tau = rows.where("split_group = 'validation'").select(
+        "model", F.col("recall_tau").alias("validation_recall"), F.col("flagged_rate").alias("validation_flagged_rate")
+    )
+    return gap.join(at_tau, "model")
+
+
 @query(
     "model_gap",
     scored(
@@ -212,13 +222,8 @@ def _(spark, d):
         F.struct(F.lit("score").alias("model"), F.col("s").alias("p")),
         F.struct(F.lit("squared").alias("model"), (F.col("s") * F.col("s")).alias("p")),
     )))
-    rows = E.metric_row(both, "p", "y", R.DEPLOYED_TAU, ["model", "split_group"])
-    gap = E.split_gap(rows, "model", "split_group", "auc_roc", "train", "validation")
-    at_tau = rows.where("split_group = 'validation'").select(
-        "model", F.col("recall_tau").alias("validation_recall"), F.col("flagged_rate").alias("validation_flagged_rate")
-    )
     return rounded(
-        gap.join(at_tau, "model"),
+        compare_models(both, R.DEPLOYED_TAU),
         "train_auc_roc", "validation_auc_roc", "gap", "validation_recall", "validation_flagged_rate",
     )
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyward.operators import evaluate as E
 from tallyward.operators import models as M
 from tallyward.operators.drift import fit_psi_reference, psi_from_counts
 from tallyward.operators.features import fit_features
@@ -15,7 +18,8 @@ from tallyward.plans import encounter_rules as R
 from tallyward.plans import risk_model as K
 from tallyward.plans.catalog_base import Catalog, mart, rounded, with_steps
 from tallyward.plans.catalog_drift import psi_steps
-from tallyward.session import cut_lineage, scratch_path
+from tallyward.plans.catalog_evaluate import compare_models
+from tallyward.session import cut_lineage, materialize, scratch_path
 from tallyward.sources.fixtures import table
 from tallyward.sources.readers import to_requests
 from tallyward.streaming import jobs as S
@@ -124,28 +128,45 @@ def _(spark, d):
     return plan.manifest(m)
 
 
+_MATRICES: dict[tuple[str, str], K.Matrix] = {}
+_MODELS: dict[tuple[str, str, str], Model] = {}
+
+
+def matrix(spark, d) -> K.Matrix:
+    """The matrix of a data directory, built once per application."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MATRICES:
+        _MATRICES[key] = K.build_matrix(mart(spark, d))
+    return _MATRICES[key]
+
+
+def fitted(spark, d, name: str) -> Model:
+    """A reported model, fitted once per application and data directory."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _MODELS:
+        _MODELS[key] = K.TRAINERS[name](matrix(spark, d))
+    return _MODELS[key]
+
+
 @query("lr_scores")
 def _(spark, d):
-    x = K.build_matrix(mart(spark, d))
-    return K.score(K.train_logistic(x), x.rows)
+    return K.score(fitted(spark, d, "logistic"), matrix(spark, d).rows)
 
 
 @query("lr_metrics")
 def _(spark, d):
-    x = K.build_matrix(mart(spark, d))
-    return K.report(K.score(K.train_logistic(x), x.rows))
+    return K.report(K.score(fitted(spark, d, "logistic"), matrix(spark, d).rows))
 
 
 @query("lr_coefficients")
 def _(spark, d):
-    x = K.build_matrix(mart(spark, d))
-    return M.coefficient_rank(K.train_logistic(x), x.plan.names(), spark)
+    return M.coefficient_rank(fitted(spark, d, "logistic"), matrix(spark, d).plan.names(), spark)
 
 
 @query("lr_search")
 def _(spark, d):
     # every point of the grid, each by the mean AUC of five held-out folds
-    x = K.build_matrix(mart(spark, d))
+    x = matrix(spark, d)
     folded = cut_lineage(M.stratified_fold(x.split("train"), R.KEY, R.LABEL, 5))
     space = {"c": [0.001, 0.01, 0.1, 1.0], "l1_ratio": [0.0, 0.5, 1.0]}
     grid = M.random_grid(space, trials=math.prod(map(len, space.values())), seed=3)
@@ -155,28 +176,23 @@ def _(spark, d):
 
 @query("gbt_scores")
 def _(spark, d):
-    x = K.build_matrix(mart(spark, d))
-    return K.score(K.train_boosted(x), x.rows)
+    return K.score(fitted(spark, d, "boosted"), matrix(spark, d).rows)
 
 
 @query("gbt_early_stopping")
 def _(spark, d):
-    x = K.build_matrix(mart(spark, d))
+    x = matrix(spark, d)
     return K.report(K.score(K.train_boosted_stopping(x), x.rows))
 
 
 @query("gbt_deep_scores")
 def _(spark, d):
-    x = K.build_matrix(mart(spark, d))
-    rows, _ = M.prepare(x.split("train"), R.LABEL)
-    model = M.boosted_trees_deep(R.LABEL, "features", maxIter=5, maxDepth=6, seed=7).fit(rows)
-    return K.score(model, x.rows)
+    return K.score(fitted(spark, d, "boosted_deep"), matrix(spark, d).rows)
 
 
 @query("mlp_scores")
 def _(spark, d):
-    x = K.build_matrix(mart(spark, d))
-    return K.score(K.train_perceptron(x, maxIter=30), x.rows)
+    return K.score(fitted(spark, d, "perceptron"), matrix(spark, d).rows)
 
 
 @query(
@@ -193,14 +209,14 @@ def _(spark, d):
 
 @query("platt_calibrated")
 def _(spark, d):
-    x = K.build_matrix(mart(spark, d))
+    x = matrix(spark, d)
     ensemble = M.platt_ensemble(K.fit_logistic, x.split("train"), R.KEY, R.LABEL)
     return ensemble.transform(x.rows).select(*K.KEEP, "prob")
 
 
 @query("isotonic_calibrated")
 def _(spark, d):
-    x = K.build_matrix(mart(spark, d))
+    x = matrix(spark, d)
     curve = M.fit_isotonic(M.out_of_fold(K.fit_logistic, x.split("train"), R.KEY, R.LABEL), "prob", R.LABEL)
     scored = K.score(K.train_logistic(x), x.rows)
     return M.apply_isotonic(curve, scored)
@@ -208,14 +224,50 @@ def _(spark, d):
 
 @query("permutation_importance")
 def _(spark, d):
-    x = K.build_matrix(mart(spark, d))
-    return M.permutation_importance(K.train_boosted(x, maxIter=5), x.split("validation"), R.KEY, R.LABEL, "features", x.plan.names())
+    return K.attribution("boosted", fitted(spark, d, "boosted"), matrix(spark, d)).select("feature", F.col("value").alias("auc_drop"))
 
 
 @query("linear_attribution")
 def _(spark, d):
-    x = K.build_matrix(mart(spark, d))
-    return M.linear_attribution(K.train_logistic(x), x.split("validation"), "features", x.plan.names())
+    return K.attribution("logistic", fitted(spark, d, "logistic"), matrix(spark, d)).select("feature", F.col("value").alias("mean_abs"))
+
+
+# --- the fitted models compared -----------------------------------------------
+
+
+def model_scores(spark, d):
+    """(encounter, model) to score and label, stored: every comparison reads it."""
+    x = matrix(spark, d)
+    parts = [K.score(fitted(spark, d, name), x.rows).withColumn("model", F.lit(name)) for name in K.TRAINERS]
+    return materialize(reduce(DataFrame.unionByName, parts), "model-scores")
+
+
+@query("fitted_model_gap")
+def _(spark, d):
+    scores = model_scores(spark, d).select("model", R.SPLIT, F.col(R.LABEL).alias("y"), F.col("prob").alias("p"))
+    return compare_models(scores, R.DEPLOYED_TAU)
+
+
+@query("fitted_rank_compare")
+def _(spark, d):
+    x = matrix(spark, d)
+    parts = [K.attribution(name, fitted(spark, d, name), x) for name in K.TRAINERS]
+    ranked = E.rank_features(materialize(reduce(DataFrame.unionByName, parts), "attributions"), "model", "feature", "value")
+    return E.compare_ranks(ranked, "model", "feature", list(K.TRAINERS), "boosted", 10, len(x.plan.names()) + 1)
+
+
+# Directions that the effect estimates and clinical knowledge suggest.
+DIRECTIONS = [
+    ("numeric__number_inpatient", 1), ("numeric__time_in_hospital", 1), ("a1c_ord__a1cresult", -1), ("med_ord__insulin", 1),
+    ("nominal__diag_1_group_Respiratory", -1), ("med_ord__metformin", -1),
+]
+
+
+@query("fitted_direction_check")
+def _(spark, d):
+    coefficients = M.coefficient_rank(fitted(spark, d, "logistic"), matrix(spark, d).plan.names(), spark)
+    expected = spark.createDataFrame(DIRECTIONS, "feature string, expected_sign int")
+    return E.direction_check(expected, coefficients.select("feature", "coefficient"), "feature")
 
 
 # --- streaming ----------------------------------------------------------------

@@ -151,3 +151,14 @@ def test_report_rounding_and_alerts(spark):
     assert all(r.drift_alert for r in rows)
     assert D.drift_alerts(rep).first()["psi_flags"] == ["f"]
     assert D.drift_summary(rep).first()["n_alerts"] == 3
+
+
+def test_models_compared_by_their_scores(spark):
+    from tallyward.plans.catalog_evaluate import compare_models
+
+    rows = [("m", "train", 1, 0.9), ("m", "train", 0, 0.1), ("m", "train", 0, 0.2)]
+    rows += [("m", "validation", 1, 0.3), ("m", "validation", 0, 0.5), ("m", "validation", 0, 0.05), ("m", "validation", 1, 0.6)]
+    got = compare_models(spark.createDataFrame(rows, "model string, split_group string, y int, p double"), 0.12).collect()
+    assert [(r.train_auc_roc, r.validation_auc_roc, r.gap, r.validation_recall, r.validation_flagged_rate) for r in got] == [
+        (1.0, 0.75, 0.25, 1.0, 0.75)
+    ]

@@ -58,3 +58,21 @@ def test_threshold_metrics_need_no_ordering(spark, data):
     df = encounters(spark, data).select("prob", (F.col("readmitted") == "<30").cast("int").alias("y"), "race")
     text = plan(E.threshold_metrics(df, "prob", "y", 0.1, ["race"]))
     assert "Sort" not in text and "Window" not in text
+
+
+def test_encounter_view_carries_every_medication(spark, data):
+    from tallyward.plans import encounter_rules as R
+    from tallyward.plans.risk_model import build_matrix
+    from tallyward.plans.catalog_base import mart
+
+    assert set(R.RAW_MEDICATIONS) <= set(encounters(spark, data).columns)
+    names = build_matrix(mart(spark, data)).plan.names()
+    assert {f"med_ord__{m}" for m in R.MODELLED_MEDICATIONS} <= set(names)
+
+
+def test_batch_files_are_not_one_per_task(spark, data, tmp_path):
+    from tallyward.sources import sinks
+
+    df = table(spark, data, "orders").select("o_orderkey", F.lit(1).alias("batch")).repartition(16)
+    sinks.write_batches(df, str(tmp_path / "b"))
+    assert len(list((tmp_path / "b" / "batch=batch_01").glob("*.json"))) < 16
