@@ -38,7 +38,7 @@ from tallyward.plans.mart import (
 )
 from tallyward.session import scratch_path
 from tallyward.sources.fixtures import table
-from tallyward.sources.readers import describe_load, normalize_columns, parse_requests, read_csv, to_requests
+from tallyward.sources.readers import RAW_SCHEMA, describe_load, normalize_columns, parse_requests, read_csv, to_requests
 
 catalog = Catalog()
 query = catalog.query
@@ -92,7 +92,7 @@ def _(spark, d):
     return read_csv(spark, path, CSV_SCHEMA, null_value="?")
 
 
-@query("load_summary", with_steps("enc", "SELECT COUNT(*) AS n_rows, 31 AS n_columns FROM enc"))
+@query("load_summary", with_steps("enc", f"SELECT COUNT(*) AS n_rows, {len(RAW_SCHEMA)} AS n_columns FROM enc"))
 def _(spark, d):
     return describe_load(raw(spark, d).drop("prob"))
 
