@@ -1,19 +1,27 @@
-"""License notices by digest of their canonical form.
+"""License notices and licence texts by digest of their canonical form.
 
-Canonical form: lower case, copyright lines dropped, equivalent spellings
-made one, everything but letters and digits turned into single spaces. The
-digests of a text's whole canonical form and of each of its lines are joined
-with the digests of known texts.
+Canonical form: lower case, copyright clauses dropped, equivalent spellings
+made one, everything but letters and digits turned into single spaces, so that
+line breaks do not count. Every run of words that is as long as a known text
+is looked up by a difference of prefix hashes; the SHA-256 digests of the runs
+found are joined with the digests of the known texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+import re
+from collections.abc import Iterator, Mapping
+from functools import cache
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyward.llm.common import maybe_broadcast
+from tallyward.llm.common import lean, maybe_broadcast, mix, powers, slices, text_batches, words
 
 # Public licence texts and notices, by SPDX name.
 KNOWN: dict[str, tuple[str, ...]] = {
@@ -70,54 +78,173 @@ SPELLINGS = (
 
 _COPYRIGHT = "(?i)^[^a-z0-9]*(copyright|\\(c\\)|©)"
 
+#: Titles that stand before a text or not, and where a text is also given without its front or end matter.
+TITLES = {
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+}
+STARTS = {"GPL": "Everyone is permitted to copy", "LGPL": "Everyone is permitted to copy", "CC0": "Statement of Purpose"}
+ENDS = ("END OF TERMS AND CONDITIONS", "For more information, please refer to <http")
+#: Wordings of a text that are in use side by side.
+WORDINGS = {
+    "BSD-2-Clause": (("COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR"),),
+    "BSD-3-Clause": (("COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR"),),
+    "ISC": (("and/or distribute", "and distribute"),),
+}
+#: A text's first paragraph that another licence's notice is a part of.
+OPENINGS = ("ISC",)
 
-def canonical(line: Column) -> Column:
-    """Canonical form of one line; empty for a copyright line."""
-    folded = F.trim(F.regexp_replace(F.lower(line), "[^a-z0-9]+", " "))
-    for seen, used in SPELLINGS:
+
+@cache
+def known_texts() -> dict[str, tuple[str, ...]]:
+    """KNOWN and the complete texts in ``license_texts/`` with their titles, numberings and wordings."""
+    out = {name: list(texts) for name, texts in KNOWN.items()}
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        name, full = path.stem, path.read_text("utf-8")
+        bodies = [full]
+        for end in ENDS:
+            bodies += [b[: b.index(end) + (len(end) if end.isupper() else 0)] for b in bodies if end in b]
+        start = STARTS.get(name.split("-")[0])
+        if start:
+            bodies += [b[b.index(start) :] for b in bodies]
+        for seen, used in WORDINGS.get(name, ()):
+            bodies += [re.sub(r"\s+".join(map(re.escape, seen.split())), used, b) for b in bodies]
+        if name.startswith("BSD"):
+            bodies += [re.sub(r"(?m)^\s*\d\.", "", b) for b in bodies]
+        texts = bodies + [f"{title}\n{b}" for title in TITLES.get(name, ()) for b in bodies]
+        if name in OPENINGS:
+            texts += [b.split("\n\n")[0] for b in bodies]
+        out.setdefault(name, []).extend(dict.fromkeys(texts))
+    return {name: tuple(texts) for name, texts in out.items()}
+
+
+def _openers(known: Mapping[str, tuple[str, ...]]) -> str:
+    """Pattern of the first two words of every known text."""
+    pairs = {tuple(re.findall("[a-z0-9]+", t.lower())[:2]) for texts in known.values() for t in texts}
+    return "|".join(sorted("[^a-z0-9]+".join(p).replace("licens", "licen[cs]").replace("licence", "licen[cs]e") for p in pairs))
+
+
+def _clause(known: Mapping[str, tuple[str, ...]]) -> str:
+    """Pattern of a copyright clause: from the start of a line to its end, or to where a known text may start.
+
+    A line of a wrapped text that goes on with "copyright holders" or the like is none.
+    """
+    term = "notices?|holders?|owners?|licen[cs]es?|laws?|and|or|statements?|interests?|treaty|in|is|on|to|for|of"
+    mark = rf"copyright\b(?![^a-z0-9]*(?:{term})\b)|\(c\)[^a-z0-9\n]*(?:\d{{4}}|copyright\b)|©"
+    end = rf"(?=\b(?:{_openers(known)})\b|\n|\z)"
+    return rf"(?i)(?<![^\n])[^a-z0-9\n]*(?:(?:{mark})[^\n]*?{end}|all rights reserved[^a-z0-9\n]*(?=\n|\z))"
+
+
+def canonical(text: Column, known: Mapping[str, tuple[str, ...]]) -> Column:
+    """Canonical form of a whole text."""
+    folded = F.trim(F.regexp_replace(F.lower(F.regexp_replace(text, _clause(known), " ")), "[^a-z0-9]+", " "))
+    for seen, used in (*SPELLINGS, ("https", "http")):
         folded = F.regexp_replace(folded, rf"\b{seen}\b", used)
-    return F.when(line.rlike(_COPYRIGHT), "").otherwise(folded)
+    return folded
 
 
-def known_digests(spark, known: Mapping[str, tuple[str, ...]] = KNOWN) -> DataFrame:
-    """(digest, license) of every known text."""
+def known_digests(spark, known: Mapping[str, tuple[str, ...]]) -> DataFrame:
+    """(digest, license, canon) of every known text."""
     rows = [(name, text) for name, texts in known.items() for text in texts]
     frame = spark.createDataFrame(rows, "license string, text string")
-    return frame.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license").distinct()
+    canon = frame.select(canonical(F.col("text"), known).alias("canon"), "license").where("canon <> ''").distinct()
+    return canon.select(F.sha2("canon", 256).alias("digest"), "license", "canon")
+
+
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Words of a run's start that are looked up before the whole run.
+START = 4
+
+
+def _prefixes(h: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum((h | np.uint64(1)) * powers(len(h), _BASE), out=total[1:])
+    return total
+
+
+def _runs(total: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the runs of ``size`` words from the places ``at``."""
+    return mix((total[at + size] - total[at]) * powers(len(total), _INVERSE)[at])
+
+
+def _finder(known: list[str]):
+    """Rows (doc_id, digest, whole) of the runs that are known texts and lie in no longer such run."""
+    by_start: dict[int, list[tuple[int, int]]] = {}
+    sizes = [len(c.split()) for c in known]
+    width = min([START, *sizes])
+    for canon, size in zip(known, sizes):
+        h, _ = words(np.frombuffer(canon.encode(), np.uint8), np.array([0, len(canon)]), lower=False)
+        total, zero = _prefixes(h), np.zeros(1, np.int64)
+        by_start.setdefault(int(_runs(total, zero, width)[0]), []).append((size, int(_runs(total, zero, size)[0])))
+    by_start = {k: sorted(set(v), reverse=True) for k, v in by_start.items()}
+    heads = np.array(sorted(by_start), np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, digests, whole = [], [], []
+            for lo, _, data, starts in slices(batch.column("canon")):
+                h, first = words(data, starts, lower=False)
+                if len(h) < width or not len(heads):
+                    continue
+                total = _prefixes(h)
+                hashed = _runs(total, np.arange(len(h) - width + 1), width)
+                near = np.minimum(np.searchsorted(heads, hashed), len(heads) - 1)
+                end, last = 0, -1
+                for at in np.flatnonzero(heads[near] == hashed):
+                    row = int(np.searchsorted(first, at, "right")) - 1
+                    if row != last:
+                        end, last, split = 0, row, None
+                    for size, full in by_start[int(hashed[at])]:
+                        # places ascend and sizes descend, so a run is inside another if it ends no later
+                        if end < at + size <= first[row + 1] and int(_runs(total, np.array([at]), size)[0]) == full:
+                            split = split or data[starts[row] : starts[row + 1]].tobytes().split(b" ")
+                            text = b" ".join(split[at - first[row] : at - first[row] + size])
+                            end = at + size
+                            rows.append(lo + row)
+                            digests.append(hashlib.sha256(text).hexdigest())
+                            whole.append(bool(size == first[row + 1] - first[row]))
+                            break
+            ids = batch.column("doc_id").take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(digests, pa.string()), pa.array(whole, pa.bool_())], ["doc_id", "digest", "whole"]
+            )
+
+    return run
 
 
 def scan_licenses(
-    docs: DataFrame, known: Mapping[str, tuple[str, ...]] = KNOWN, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, known: Mapping[str, tuple[str, ...]] | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per document: doc_id, licenses (sorted, comma-separated, null if none), n_notices, whole_text.
 
-    ``whole_text`` tells that the canonical whole text is a known one. Lines
-    that are equal inside a document count once. Only matches leave the scan:
-    digests are joined with the known ones where they are made.
+    A known text counts wherever its words follow each other, across line
+    breaks and inside other text, unless they are part of a longer known text.
+    ``whole_text`` tells that the canonical whole text is a known one. Equal
+    texts inside a document count once. Only matches leave the scan; their
+    digests are joined with the known ones.
 
-    Defined results: a null or empty text has no notice; an empty canonical
-    line never matches; rows that repeat an id share their notices; a null id
-    is its own group; an empty table gives an empty result.
+    Defined results: a null or empty text has no notice; rows that repeat an
+    id share their notices; a null id is its own group; an empty table gives
+    an empty result.
     """
     spark = docs.sparkSession
+    known = known_texts() if known is None else known
+    text_batches(spark)
     slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    table = known_digests(spark, known)
-    table = maybe_broadcast(table, sum(len(t) for t in known.values()))
-    lines = F.array_distinct(F.filter(F.transform(F.split("text", "\n"), canonical), lambda s: s != ""))
-    whole = F.array_join(F.filter(F.transform(F.split("text", "\n"), canonical), lambda s: s != ""), " ")
-    parts = slim.select(
-        "doc_id",
-        F.explode(
-            F.concat(
-                F.array(F.struct(F.sha2(whole, 256).alias("digest"), F.lit(True).alias("whole"))),
-                F.transform(lines, lambda s: F.struct(F.sha2(s, 256).alias("digest"), F.lit(False).alias("whole"))),
-            )
-        ).alias("part"),
-    ).select("doc_id", "part.*")
+    texts = known_digests(spark, known).collect()
+    table = spark.createDataFrame([(r["digest"], r["license"]) for r in texts], "digest string, license string")
+    table = maybe_broadcast(table, len(texts))
+    canon = slim.select("doc_id", canonical(F.col("text"), known).cast("binary").alias("canon"))
+    fields = [slim.schema["doc_id"], T.StructField("digest", T.StringType()), T.StructField("whole", T.BooleanType())]
+    parts = canon.mapInArrow(lean(_finder(sorted({r["canon"] for r in texts}))), T.StructType(fields))
     hits = parts.join(table, "digest")
     found = hits.groupBy("doc_id").agg(
         F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"),
-        F.countDistinct(F.when(~F.col("whole"), F.col("digest"))).alias("n_notices"),
+        F.countDistinct("digest").alias("n_notices"),
         F.max("whole").alias("whole_text"),
     )
     found = found.withColumnRenamed("doc_id", "hit_id")

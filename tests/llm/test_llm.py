@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyward.llm import fingerprints as fp
+from tallyward.llm import licenses
 from tallyward.llm.licenses import op10_licenses
 from tallyward.llm.mixing import mix_sources, op7_mixing
 from tallyward.llm.neardup import near_duplicates
@@ -221,6 +223,28 @@ def test_licenses(docs):
     assert got[0].licenses is None and got[7].n_notices == 0
 
 
+def test_license_texts(spark):
+    mit = licenses.known_texts()["MIT"][3]
+    wrapped = "\n".join(textwrap.wrap(" ".join(mit.split()), 37))
+    apache = next(t for t in licenses.known_texts()["Apache-2.0"] if "Definitions" in t)
+    bsd = next(t for t in licenses.known_texts()["BSD-3-Clause"] if "Redistributions" in t)
+    isc = next(t for t in licenses.known_texts()["ISC"] if "AS IS" in t)
+    texts = [
+        ("MIT License\n\nCopyright (c) 2020 X. Y.\n\n" + mit, "MIT", 1, True),
+        ("some words before\n# " + wrapped.replace("\n", "\n# ") + "\n# and behind", "MIT", 1, False),
+        ("Copyright 2020 X. Licensed under the MIT License.", "MIT", 1, True),
+        ("code\n * Licensed under the\n * MIT\n * License.\n", "MIT", 1, False),
+        (apache, "Apache-2.0", 1, True),
+        ("/* Copyright (c) 1999, A, Inc. All rights reserved.\n" + bsd + "*/ int x;\n" + apache + "end", "Apache-2.0,BSD-3-Clause", 2, False),
+        ("Copyright 2020 X\n" + isc, "ISC", 1, True),
+        (mit[: len(mit) // 3], None, 0, False),
+        ("Released under the MIT\nlicence or not. Released under the MIT License", "MIT", 1, False),
+        ("Licensed under the Apache License, Version\n2.0 (the \"License\");", "Apache-2.0", 1, True),
+    ]
+    got = op10_licenses(spark.createDataFrame([(i, t[0]) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
+    assert [tuple(r)[1:] for r in sorted(got)] == [t[1:] for t in texts]
+
+
 def test_pipeline(spark, docs, tmp_path):
     path = str(tmp_path)
     docs.write.parquet(f"{path}/documents.parquet")
