@@ -2,8 +2,9 @@
 
 Features are the presence of words, pairs of neighbours and pairs with one or
 two words between them, hashed into ``2**BITS`` cells. Each coordinate has its
-own rate, and the L1 penalty leaves most weights at zero. Shards of a bounded
-sample of labelled rows are learned apart and averaged.
+own rate, and the L1 penalty leaves most weights at zero. A bounded sample of
+the documents with a label is learned in one run: runs over parts of it, each
+with the whole penalty, lose the rare cells when their weights are averaged.
 """
 
 from __future__ import annotations
@@ -20,9 +21,9 @@ from tallyward.llm.common import lean, maybe_broadcast, mix, slices, text_batche
 BITS = 20
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.1
 EPOCHS = 3
-#: Labelled rows that are learned from at most (those of least hash), and the shards they are dealt to.
+#: Documents with a label that are learned from at most (those of least hash), and the shards they are dealt to.
 TRAIN_ROWS = 20_000
-SHARDS = 2
+SHARDS = 1
 HELD_OUT = 5
 _SKIPS = (1, 2, 3)
 
@@ -109,6 +110,7 @@ def train(
     l2: float = L2,
     epochs: int = EPOCHS,
     shards: int = SHARDS,
+    rows: int = TRAIN_ROWS,
 ) -> np.ndarray:
     """Weights per cell and the intercept in the last place, averaged over the shards.
 
@@ -117,11 +119,13 @@ def train(
     lab = labels.select(F.col("doc_id").alias("l_id"), F.col("toxic").cast("int").alias("toxic"))
     lab = lab.where("l_id IS NOT NULL AND toxic IS NOT NULL").where(fold("l_id") != 0)
     drawn = lab.groupBy("l_id").agg(F.max("toxic").alias("toxic")).withColumn("draw", F.xxhash64("l_id"))
-    picked = maybe_broadcast(drawn.orderBy("draw").limit(TRAIN_ROWS), TRAIN_ROWS)
+    # drawn among the labels that have a document, by ids alone
+    here = drawn.join(docs.select(F.col(f"`{id_col}`").alias("id")), F.col("l_id") == F.col("id"), "left_semi")
+    picked = maybe_broadcast(here.orderBy("draw").limit(rows), rows)
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
-    rows = slim.join(picked, F.col("id") == F.col("l_id")).withColumn("shard", F.pmod(F.hash("draw"), F.lit(shards)))
+    found = slim.join(picked, F.col("id") == F.col("l_id")).withColumn("shard", F.pmod(F.hash("draw"), F.lit(shards)))
     # other order than the deal, so that a shard is not learned in the order of its ids
-    dealt = rows.select("shard", "toxic", "text", "draw").repartition("shard").sortWithinPartitions("shard", "draw")
+    dealt = found.select("shard", "toxic", "text", "draw").repartition("shard").sortWithinPartitions("shard", "draw")
     learned = dealt.mapInArrow(lean(_learner(alpha, beta, l1, l2, epochs)), "rows long, cells array<long>, weights array<double>").collect()
     out, seen = np.zeros((1 << BITS) + 1), max(1, sum(r["rows"] for r in learned))
     for r in sorted(learned, key=lambda r: (r["rows"], len(r["cells"]), r["weights"][:1])):

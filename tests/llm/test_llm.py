@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyward.llm import fingerprints as fp
-from tallyward.llm import licenses
+from tallyward.llm import licenses, toxicity
 from tallyward.llm.licenses import op10_licenses
 from tallyward.llm.mixing import mix_sources, op7_mixing
 from tallyward.llm.neardup import near_duplicates
@@ -173,6 +173,25 @@ def test_toxicity(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
 
 
+def test_toxicity_sample(spark):
+    texts = [f"plain words {i % 7} here" + (" vile" if i % 4 == 0 else "") for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ids = [*range(40), *range(1000, 9000)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in ids], "doc_id long, toxic int")
+    # labels without a document take no place in the sample
+    assert np.array_equal(toxicity.train(docs, labels, l1=0.1, rows=40), toxicity.train(docs, labels.where("doc_id < 40"), l1=0.1))
+    assert toxicity.train(docs, labels, l1=0.1, rows=40).any()
+
+
+def test_toxicity_rare_cells(spark):
+    """A toxic word that a run over half of the rows each would lose to its penalty."""
+    texts = [f"v{i % 50} v{i % 31} v{i % 17}" + (f" vile{i % 3}" if i % 20 < 3 else "") for i in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 20 < 3)) for i in range(600)], "doc_id long, toxic int")
+    one, used = toxicity.train(docs, labels, shards=1), toxicity.train(docs, labels)
+    assert np.array_equal(one, used)
+
+
 def test_mixing(docs):
     got = op7_mixing(docs).collect()
     assert len(got) == docs.count()
