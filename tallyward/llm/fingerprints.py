@@ -7,13 +7,14 @@ primes below 2**31 are used side by side.
 
 A fingerprint holds the length, the hash of the whole text, and the prefix
 and suffix hashes at up to ``GRID`` multiples of a step that is a power of
-two. Two fingerprints are compared by binary search for the longest common
-prefix and suffix on the multiples that both hold.
+two. Two texts are compared by their prefix arrays: from anchors, spans chosen
+by their content, matches are extended to both sides by binary search.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,9 @@ from pyspark.sql import functions as F
 from tallyward.llm.common import lean
 
 GRID = 32
+#: Code points of an anchor, and how many spans there are to one anchor (a power of two).
+ANCHOR = 24
+THIN = 8
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (911_382_323, 972_663_749)
 _tables: dict[int, np.ndarray] = {}
@@ -108,34 +112,81 @@ def _inverse(k: int, at: np.ndarray) -> np.ndarray:
     return np.array([pow(base, int(x), PRIMES[k]) for x in at], np.int64)
 
 
-def likeness(a: str, b: str) -> float:
-    """Share of the longer text that the common prefix and suffix of two fingerprints cover, 0 to 1."""
-    (n, whole_a, pre_a, suf_a), (m, whole_b, pre_b, suf_b) = (x.split(":") for x in (a, b))
-    n, m = int(n), int(m)
-    if n == m and whole_a == whole_b:
+def anchors(p: list[np.ndarray]) -> dict[tuple[int, int], int]:
+    """Place of every anchor by (hash, which of the equal ones): spans of ANCHOR code points with a hash in 1 of THIN."""
+    n = len(p[0]) - ANCHOR
+    if n <= 0:
+        return {}
+    # moved to one place, the hashes of equal spans are equal
+    spans = [
+        (a[ANCHOR:] - a[:-ANCHOR]) % prime * _powers(k, n)[::-1] % prime for k, (a, prime) in enumerate(zip(p, PRIMES))
+    ]
+    spans = [h * int(pow(BASES[k], -(n - 1), PRIMES[k])) % PRIMES[k] for k, h in enumerate(spans)]
+    at = np.flatnonzero((spans[0] ^ spans[1]) * 0x9E3779B1 >> 16 & (THIN - 1) == 0)
+    times: dict[int, int] = {}
+    out = {}
+    for i, h in zip(at.tolist(), (spans[0][at] << 31 | spans[1][at]).tolist()):
+        times[h] = times.get(h, 0) + 1
+        out[h, times[h]] = i
+    return out
+
+
+def common_before(p: list[np.ndarray], i: int, q: list[np.ndarray], j: int, most: int) -> int:
+    """Longest length up to ``most`` for which the spans that end at i and at j agree, by binary search."""
+    lo, hi = 0, most
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        if same_span(p, i - mid, q, j - mid, mid):
+            lo = mid
+        else:
+            hi = mid - 1
+    return lo
+
+
+def _chain(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """A longest part of the pairs, sorted by their first places, in which the second ones ascend too."""
+    ends: list[int] = []
+    last: list[int] = []
+    back = []
+    for k, (_, j) in enumerate(pairs):
+        at = bisect_left(ends, j)
+        back.append(last[at - 1] if at else -1)
+        ends[at : at + 1], last[at : at + 1] = [j], [k]
+    out, k = [], last[-1] if last else -1
+    while k >= 0:
+        out.append(pairs[k])
+        k = back[k]
+    return out[::-1]
+
+
+def likeness(p: list[np.ndarray], q: list[np.ndarray], of_p: dict, of_q: dict) -> float:
+    """Share of the longer text that lies in common stretches which follow each other in both, 0 to 1.
+
+    The stretches are the common prefix and suffix and the extensions of the
+    anchors that both texts hold, in the longest chain that is in order in
+    both. A stretch without an anchor between two edits does not count.
+    """
+    n, m = len(p[0]) - 1, len(q[0]) - 1
+    if not max(n, m):
         return 1.0
-    if not min(n, m):
-        return 0.0
-    step_a, step_b = step_of(n), step_of(m)
-    step = max(step_a, step_b)
-    covered = 0
-    for x, y in ((pre_a, pre_b), (suf_a, suf_b)):
-        lo, hi = 0, min(n, m) // step
-        cell = lambda text, own, k: text[(k * step // own - 1) * 8 : (k * step // own) * 8]
-        while lo < hi:
-            mid = (lo + hi + 1) // 2
-            if cell(x, step_a, mid) == cell(y, step_b, mid):
-                lo = mid
-            else:
-                hi = mid - 1
-        covered += lo * step
-    return min(covered, min(n, m)) / max(n, m)
+    covered = i = j = common_extension(p, 0, q, 0)
+    tail = common_before(p, n, q, m, min(n, m) - covered)
+    stop_i, stop_j = n - tail, m - tail
+    inner = ((a, of_q[key]) for key, a in of_p.items() if key in of_q)
+    for a, b in _chain(sorted(x for x in inner if i <= x[0] < stop_i and j <= x[1] < stop_j)):
+        if a < i or b < j:
+            continue
+        left = common_before(p, a, q, b, min(a - i, b - j))
+        size = min(common_extension(p, a, q, b), stop_i - a, stop_j - b)
+        covered += left + size
+        i, j = a + size, b + size
+    return (covered + tail) / max(n, m)
 
 
 def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (part, order); the last row of a part is only looked ahead at."""
     out: list[tuple] = []
-    before: tuple | None = None  # (part, doc_id, text, arrays, fingerprint)
+    before: tuple | None = None  # (part, doc_id, text, arrays, fingerprint, anchors)
 
     def batch_of(rows):
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
@@ -145,15 +196,16 @@ def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "text"))):
             p = prefix_arrays(text)
-            now = (part, doc_id, text, p, fingerprint(p))
+            now = (part, doc_id, text, p, fingerprint(p), anchors(p))
             if before is not None and before[0] == part:
-                _, own_id, own, q, mark = before
+                _, own_id, own, q, mark, places = before
                 n = len(own)
                 keep, take = n - n // 2, min(n // 2, len(text))
                 edited = own[:keep] + text[:take]
-                other = fingerprint(joined(q, keep, p, take))
+                both = joined(q, keep, p, take)
                 sha = hashlib.sha256(edited.encode("utf-8")).hexdigest()
-                out.append((own_id, n, sha, mark, other, likeness(mark, other), likeness(mark, now[4])))
+                near = likeness(q, both, places, anchors(both)), likeness(q, p, places, now[5])
+                out.append((own_id, n, sha, mark, fingerprint(both), *near))
                 if len(out) == 2000:
                     yield batch_of(out)
                     out = []

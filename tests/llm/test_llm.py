@@ -68,6 +68,29 @@ def test_fingerprints(docs):
     assert fp.same_span(p, 0, p, 3, 3) and not fp.same_span(p, 0, p, 1, 3)
 
 
+def test_likeness_of_edits_at_both_ends(spark):
+    def near(a, b):
+        p, q = fp.prefix_arrays(a), fp.prefix_arrays(b)
+        return fp.likeness(p, q, fp.anchors(p), fp.anchors(q))
+
+    rng = np.random.default_rng(3)
+    base = [f"wört{x}" for x in rng.integers(0, 10**6, 200)]
+    text = " ".join(base)
+    edited = "X" + text[1:-1] + "Y"
+    assert near(text, edited) == near(edited, text) == (len(text) - 2) / len(text)
+    spread = list(base)
+    for i in (1, 60, 130, 198):
+        spread[i] = "#" * len(spread[i])
+    gone = sum(len(base[i]) for i in (1, 60, 130, 198))
+    assert (len(text) - gone - 40) / len(text) <= near(text, " ".join(spread)) <= (len(text) - gone) / len(text)
+    assert near(text, " ".join(base[:90] + base[95:])) > 0.95
+    other = " ".join(f"u{x}" for x in rng.integers(0, 10**6, 200))
+    assert near(text, other) < 0.05 and near(text, text) == near("", "") == 1 and near(text, "") == 0
+    docs = spark.createDataFrame([(1, edited), (2, text)], "doc_id long, text string")
+    got = {r.doc_id: r.near_next for r in fp.op2_fingerprints(docs).collect()}
+    assert got[2] == got[1] == (len(text) - 2) / len(text)
+
+
 def test_pieces_round_trip(docs):
     text = {(d.doc_id, d.text or "") for d in docs.collect()}
     got = sample_pieces(docs).collect()
