@@ -23,7 +23,7 @@ from tallyward.session import materialize
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules(docs).where("kept").select("doc.*")
+    return quality_rules(docs, supported=True).where("kept").select("doc.*")
 
 
 def drop_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,6 +31,12 @@ SLACK = {"word_milli": 1500, "symbols_milli": 200, "dup_lines_milli": 30}
 #: Sides of the fence that reject.
 LOW_SIDE = ("word_milli",)
 GROUPS_BOUND = 200_000
+#: Usable documents under which a group's quartiles are mixed with those of its parent (``supported_fences``).
+SUPPORT = 30
+#: A group's fence lies no farther out than this many reaches beyond the quartiles of its parent.
+FAR = 2
+#: Metrics that are not compared across languages: word lengths depend on the script.
+OF_LANGUAGE = ("word_milli",)
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
 
@@ -100,36 +106,89 @@ def _rates() -> dict[str, Column]:
     }
 
 
-def fences(metrics: DataFrame, groups: list[str]) -> DataFrame:
-    """Per group and metric the quartiles of the merged sketches and the fence around them."""
+def _sketch(metrics: DataFrame, groups: list[str]) -> DataFrame:
     cells = metrics.where(~F.col("base_failed")).select(
         *groups,
         F.explode(
             F.array(*[F.struct(F.lit(m).alias("metric"), _cell(c).alias("cell")) for m, c in _rates().items()])
         ).alias("x"),
     )
-    sketch = cells.groupBy(*groups, "x.metric", "x.cell").agg(F.count("*").alias("n"))
+    return cells.groupBy(*groups, "x.metric", "x.cell").agg(F.count("*").alias("n"))
+
+
+def _quartiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
     # a sketch has a few hundred cells at most, so these windows are small whatever the group holds
     upto = Window.partitionBy(*groups, "metric").orderBy("cell")
     whole = Window.partitionBy(*groups, "metric")
     ranked = sketch.withColumns({"upto": F.sum("n").over(upto), "total": F.sum("n").over(whole)})
     quartile = lambda p: F.min(F.when(F.col("upto") * 4 >= F.col("total") * p, F.col("cell")))
-    by_metric = ranked.groupBy(*groups, "metric").agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
-    slack = F.element_at(F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv]), F.col("metric"))
-    reach = SPREAD * (F.col("q3") - F.col("q1")) + slack
-    limits = by_metric.select(*groups, "metric", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))
+    return ranked.groupBy(*groups, "metric").agg(
+        quartile(1).alias("q1"), quartile(3).alias("q3"), F.max("total").alias("total")
+    )
+
+
+def _slack() -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv]), F.col("metric"))
+
+
+def _by_group(limits: DataFrame, groups: list[str]) -> DataFrame:
     return limits.groupBy(*groups).agg(
         *[F.max(F.when(F.col("metric") == m, F.col("high"))).alias(f"{m}_high") for m in SLACK],
         *[F.max(F.when(F.col("metric") == m, F.col("low"))).alias(f"{m}_low") for m in LOW_SIDE],
     )
 
 
-def quality_rules(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+def fences(metrics: DataFrame, groups: list[str]) -> DataFrame:
+    """Per group and metric the quartiles of the merged sketches and the fence around them."""
+    by_metric = _quartiles(_sketch(metrics, groups), groups)
+    reach = SPREAD * (F.col("q3") - F.col("q1")) + _slack()
+    limits = by_metric.select(*groups, "metric", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))
+    return _by_group(limits, groups)
+
+
+def supported_fences(metrics: DataFrame) -> DataFrame:
+    """Fences per (language, source) that hold with few documents and in groups of mostly junk.
+
+    The sketches of a language's groups are added, and those of all languages.
+    Quartiles of under SUPPORT documents are mixed with the parent's (the
+    language's, and for it all documents'), the documents weighing against
+    the rest of SUPPORT. No fence lies farther out than FAR reaches from the
+    parent's quartiles. OF_LANGUAGE metrics have no parent above the language.
+    """
+    sketch = _sketch(metrics, ["g_lang", "g_source"])
+    add = lambda keys: sketch.groupBy(*keys, "metric", "cell").agg(F.sum("n").alias("n"))
+    above = _quartiles(add([]), []).where(~F.col("metric").isin(*OF_LANGUAGE))
+
+    def under(own: DataFrame, parent: DataFrame, same: Column, keys: list[str]) -> DataFrame:
+        part = F.least(F.col("total") / SUPPORT, F.lit(1.0))
+        mixed = lambda q: F.when(
+            F.col(f"p_{q}").isNotNull(), part * F.col(q) + (1 - part) * F.col(f"p_{q}")
+        ).otherwise(F.col(q))
+        joined = own.join(parent.select(*[F.col(c).alias(f"p_{c}") for c in parent.columns]), same, "left")
+        rows = joined.select(*keys, "metric", "total", "p_q1", "p_q3", mixed("q1").alias("q1"), mixed("q3").alias("q3"))
+        reach = SPREAD * (F.col("q3") - F.col("q1")) + _slack()
+        far = FAR * (SPREAD * (F.col("p_q3") - F.col("p_q1")) + _slack())
+        # least and greatest pass over a missing parent
+        return rows.withColumns(
+            {"high": F.least(F.col("q3") + reach, F.col("p_q3") + far), "low": F.greatest(F.col("q1") - reach, F.col("p_q1") - far)}
+        )
+
+    metric = F.col("metric") == F.col("p_metric")
+    langs = under(_quartiles(add(["g_lang"]), ["g_lang"]), above, metric, ["g_lang"])
+    langs = langs.select("g_lang", "metric", "q1", "q3")
+    own = _quartiles(sketch, ["g_lang", "g_source"])
+    limits = under(own, langs, metric & F.col("g_lang").eqNullSafe(F.col("p_g_lang")), ["g_lang", "g_source"])
+    return _by_group(limits, ["g_lang", "g_source"])
+
+
+def quality_rules(docs: DataFrame, carry: list[str] | None = None, supported: bool = False) -> DataFrame:
     """Rows of ``docs`` as a struct ``doc`` of the carried columns, with metrics and verdict.
 
     The metrics are computed once and stored; the sketches and the join then
     read thin columns. The fences are broadcast when their counted number
-    allows it; otherwise the null-safe join shuffles both sides.
+    allows it; otherwise the null-safe join shuffles both sides. ``supported``
+    takes ``supported_fences``; op1_quality has those of its SQL twin, in which
+    a group of few documents rejects next to nothing.
     """
     carry = docs.columns if carry is None else carry
     m = docs.select(
@@ -146,7 +205,7 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     )
     stored = materialize(flat, "quality")
     groups = ["g_lang", "g_source"]
-    limits = materialize(fences(stored, groups), "quality-fences")
+    limits = materialize(supported_fences(stored) if supported else fences(stored, groups), "quality-fences")
     limits = limits.withColumnsRenamed({g: f"f_{g}" for g in groups})
     limits = maybe_broadcast(limits, limits.count(), GROUPS_BOUND)
     same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"f_{g}")) for g in groups])

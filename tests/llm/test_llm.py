@@ -50,6 +50,20 @@ def test_quality_metrics(docs):
         assert not (r.base_failed and r.kept)
 
 
+def test_quality_of_small_groups(spark):
+    """Junk in groups of two, and in one that is mostly junk; clean texts of small groups and rare languages stay."""
+    clean = lambda i: " ".join(f"word{(i * 37 + k * k) % 997}" for k in range(60))
+    junk = lambda i: " ".join(f"w{(i * 37 + k * k) % 997}#*|" for k in range(60))
+    data = [(i, clean(i), "en", "big") for i in range(150)]
+    data += [(1000, clean(100), "en", "two"), (1001, junk(101), "en", "two")]
+    data += [(200 + i, junk(200 + i), "en", "mostly") for i in range(40)] + [(250, clean(250), "en", "mostly")]
+    data += [(300, clean(300).replace("word", "verylongwordsofanotherscript"), "xx", "one"), (301, junk(301), "yy", "one")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id for r in corpus_pipeline.keep_quality(spark, docs, "").collect()}
+    assert set(range(150)) | {1000, 250, 300} <= kept
+    assert not kept & {1001, 301, *range(200, 240)}
+
+
 def test_fingerprints(docs):
     got = fp.op2_fingerprints(docs).collect()
     assert len(got) == docs.count()
