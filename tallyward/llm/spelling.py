@@ -8,10 +8,14 @@ one of two disjoint bigrams. So of two words one edit apart, take the one
 whose prefix ends earlier in the order: one of its pivots stands in the other
 word too, in that word's prefix, at a place that differs by one at most.
 
-Pivots are therefore looked up among prefixes by (gram, place, length), five
-exact keys to a pivot: same length and place, or one longer or shorter and the
-place unmoved or moved along. What meets is verified with a bounded edit
-distance.
+The edit lies behind the first pivot or before the second one, as they are
+disjoint. In the one case the other word starts alike up to the end of the
+first pivot, which stands at the same place; in the other it ends alike from
+the second one on, at the same place from the end. So each word is looked up
+by the hash of its start up to the first pivot and of its end from the second,
+among the starts and ends at the prefix places of the words that are as long,
+or one shorter or longer. What meets is compared by a mask of its grams and
+verified with a bounded edit distance.
 """
 
 from __future__ import annotations
@@ -97,19 +101,20 @@ def gram_order(words: DataFrame) -> dict[str, int]:
     return {r["gram"]: r["n"] for r in counts.collect()}
 
 
-def prefix_places(ranks: np.ndarray) -> np.ndarray:
+def prefix_places(ranks: list[int]) -> list[int]:
     """Places whose gram is among the first PREFIX places in the order, ties with the last of them included."""
     if len(ranks) <= PREFIX:
-        return np.arange(len(ranks))
-    return np.flatnonzero(ranks <= np.partition(ranks, PREFIX - 1)[PREFIX - 1])
+        return list(range(len(ranks)))
+    limit = sorted(ranks)[PREFIX - 1]
+    return [i for i, r in enumerate(ranks) if r <= limit]
 
 
-def pivots(places: np.ndarray, cost: np.ndarray) -> tuple[int, int]:
+def pivots(places: list[int], cost: list[int]) -> tuple[int, int]:
     """Two disjoint places (at least two apart) of least total cost, by dynamic programming along the word."""
     best: tuple[float, int, int] = (float("inf"), -1, -1)
-    one: list[tuple[float, int]] = []  # cheapest single place up to and with places[k]
+    one: list[tuple[int, int]] = []  # cheapest single place up to and with places[k]
     behind = 0  # places before this one are disjoint from the present one
-    for k, (p, c) in enumerate(zip(places.tolist(), cost.tolist())):
+    for p, c in zip(places, cost):
         while places[behind] <= p - 2:
             behind += 1
         if behind:
@@ -119,38 +124,50 @@ def pivots(places: np.ndarray, cost: np.ndarray) -> tuple[int, int]:
     return best[1], best[2]
 
 
+def _rolled(word: str) -> list[int]:
+    """Hash of each prefix of the word, the empty one first."""
+    h, out = 1, [1]
+    for c in word:
+        h = (h * 0x9E3779B97F4A7C15 + ord(c) * 0xC2B2AE3D27D4EB4F) & 0xFFFFFFFFFFFFFFFF
+        h ^= h >> 29
+        out.append(h)
+    return out
+
+
 def _signatures(order: dict[str, int]):
     ranked = {g: k for k, (_, g) in enumerate(sorted((n, g) for g, n in order.items()))}
-    count = np.array([order[g] for g in ranked], np.int64)
+    count = [order[g] for g in ranked]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: dict[str, list[np.ndarray]] = {c: [] for c in ("id", "gram", "place", "size", "pivot")}
+        out: list[tuple] = []
 
-            def put(wid, gram, place, size, pivot):
-                for c, x in zip(out, (wid, gram, place, size, pivot)):
-                    out[c].append(np.broadcast_to(np.asarray(x, np.int64), np.shape(gram)))
+        def flush() -> pa.RecordBatch:
+            wid, key, behind, size, mask, pivot = zip(*out) if out else ((),) * 6
+            out.clear()
+            signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(wid, pa.int64()), signed(key), pa.array(behind, pa.bool_()), pa.array(size, pa.int32()), signed(mask), pa.array(pivot, pa.bool_())],
+                ["id", "key", "behind", "size", "mask", "pivot"],
+            )
 
-            def flush():
-                cols = [np.concatenate(x) if x else np.empty(0, np.int64) for x in out.values()]
-                for x in out.values():
-                    x.clear()
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())
-                return pa.RecordBatch.from_arrays([pa.array(c.astype(bool) if k == pa.bool_() else c).cast(k) for c, k in zip(cols, kinds)], list(out))
-
-            held = 0
+        for batch in batches:
             for wid, word in zip(batch.column("id").to_pylist(), batch.column("word").to_pylist()):
                 n = len(word)
-                ranks = np.fromiter((ranked[word[i : i + 2]] for i in range(n - 1)), np.int64, n - 1)
+                ranks = [ranked[word[i : i + 2]] for i in range(n - 1)]
+                mask = 0
+                for r in ranks:
+                    mask |= 1 << (r & 63)
+                upto, back = _rolled(word), _rolled(word[::-1])
                 places = prefix_places(ranks)
-                put(wid, ranks[places], places, n, False)
-                for p in pivots(places, count[ranks[places]]):
-                    # the edit replaces; it makes the other word longer, before or behind p; or shorter, likewise
-                    put(wid, np.full(5, ranks[p]), np.array([p, p, p + 1, p, p - 1]), np.array([n, n + 1, n + 1, n - 1, n - 1]), True)
-                held += len(places)
-                if held > 200_000:
-                    yield flush()
-                    held = 0
+                for g in places:
+                    out.append((wid, upto[g + 2], False, n, mask, False))
+                    out.append((wid, back[n - g], True, n, mask, False))
+                    if len(out) > 100_000:
+                        yield flush()
+                p, q = pivots(places, [count[ranks[i]] for i in places])
+                for size in (n - 1, n, n + 1):
+                    out.append((wid, upto[p + 2], False, size, mask, True))
+                    out.append((wid, back[n - q], True, size, mask, True))
             yield flush()
 
     return run
@@ -159,12 +176,14 @@ def _signatures(order: dict[str, int]):
 def near_words(words: DataFrame) -> DataFrame:
     """(a, b) for the frame (id, word, ...): all pairs of ids, a < b, whose words are one edit apart."""
     signed = words.select("id", "word").mapInArrow(
-        lean(_signatures(gram_order(words))), "id long, gram int, place int, size int, pivot boolean"
+        lean(_signatures(gram_order(words))), "id long, key long, behind boolean, size int, mask long, pivot boolean"
     )
     signed = materialize(signed, "grams")
-    key = ["gram", "place", "size"]
-    looked = signed.where("pivot").select(*key, F.col("id").alias("x"))
-    found = looked.join(signed.where("NOT pivot").select(*key, F.col("id").alias("y")), key).where("x != y")
+    key = ["key", "behind", "size"]
+    looked = signed.where("pivot").select(*key, F.col("id").alias("x"), F.col("mask").alias("mx"))
+    placed = signed.where("NOT pivot").select(*key, F.col("id").alias("y"), F.col("mask").alias("my"))
+    # one edit takes two grams away at most and brings two
+    found = looked.join(placed, key).where("x != y AND bit_count(mx ^ my) <= 4")
     pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     spelled = words.select("id", "word")
     both = pairs.join(spelled.toDF("a", "wa"), "a").join(spelled.toDF("b", "wb"), "b")
