@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.stats import kolmogorov_p
-from tallyward.operators.evaluate import auc_agg, flagged_aggs, score_curve
-from tallyward.operators.ordered import exact_quantiles, ordered_batches, running_totals
+from tallyward.operators.ordered import exact_quantiles, ordered_batches
 from tallyward.operators.profile import to_long
+from tallyward.operators.tagged import score_counts, tagged_metrics
 
 PSI_FLOOR = 1e-4
 PSI_ALERT = 0.20
@@ -60,11 +60,10 @@ def fit_psi_reference(
     return fitted
 
 
-def _cell_counts(df: DataFrame, edges: Mapping[str, Sequence[float]], keep: Sequence[str]) -> DataFrame:
-    """Counts per (keep, feature, cell), combined on the map side.
+def cell_columns(edges: Mapping[str, Sequence[float]]) -> dict[str, Column]:
+    """Cell of each feature's value: 1-based, [e_i, e_i+1) with the last one closed; 0 or one past the end lies outside.
 
-    The cell of a value is 1-based, [e_i, e_i+1) with the last one closed; 0 or
-    one past the end lies outside. Cells are plain comparisons with literals.
+    Cells are plain comparisons with literals; NULL has none.
     """
     cells = {}
     for f, cuts in edges.items():
@@ -75,6 +74,12 @@ def _cell_counts(df: DataFrame, edges: Mapping[str, Sequence[float]], keep: Sequ
         if cuts:
             cell = cell - F.when(v == F.lit(cuts[-1]), 1).otherwise(0)
         cells[f] = F.when(v.isNotNull(), cell)
+    return cells
+
+
+def _cell_counts(df: DataFrame, edges: Mapping[str, Sequence[float]], keep: Sequence[str]) -> DataFrame:
+    """Counts per (keep, feature, cell), combined on the map side."""
+    cells = cell_columns(edges)
     slim = df.select(*keep, *[c.alias(f) for f, c in cells.items()])
     long = slim.unpivot(list(keep), list(cells), "feature", "cell").where("cell IS NOT NULL")
     return long.groupBy(*keep, "feature", "cell").agg(F.count("*").alias("c"))
@@ -137,44 +142,10 @@ def _psi_value(counts: Column, expected: Column) -> Column:
 def ks_by_period(
     reference: DataFrame, current: DataFrame, score: str, period: str, periods: Sequence
 ) -> DataFrame:
-    """Two-sample KS of each period's scores against the reference, with p-value.
-
-    All periods share one ordering of the distinct scores: a count column per
-    period, summed side by side.
-    """
-    ref = reference.where(F.col(score).isNotNull()).select(F.col(score).alias("s"), F.lit(-1).alias("p"))
-    index = F.lit(None).cast("int")
-    for i, p in enumerate(periods):
-        index = F.when(F.col(period) == p, i).otherwise(index)
-    cur = current.where(F.col(score).isNotNull()).select(F.col(score).alias("s"), index.alias("p"))
-    both = ref.unionByName(cur.where("p IS NOT NULL"))
-    measures = {"ref": F.count_if(F.col("p") == -1)}
-    measures.update({f"c{i}": F.count_if(F.col("p") == i) for i in range(len(periods))})
-    cum = running_totals(both, "s", measures)
-    sizes = both.agg(F.struct(*[e.alias(n) for n, e in measures.items()]).alias("t")).scalar()
-    sized = cum.withColumn("t", sizes)
-    stats = sized.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(p).alias(period),
-                    F.max("t.ref").alias("n_ref"),
-                    F.max(f"t.c{i}").alias("n_cur"),
-                    F.max(
-                        F.when(
-                            (F.col("t.ref") > 0) & (F.col(f"t.c{i}") > 0),
-                            F.abs(F.col("cum_ref") / F.col("t.ref") - F.col(f"cum_c{i}") / F.col(f"t.c{i}")),
-                        )
-                    ).alias("ks_stat"),
-                )
-                for i, p in enumerate(periods)
-            ]
-        ).alias("rows")
-    )
-    return (
-        stats.select(F.inline("rows"))
-        .where("n_cur > 0")
-        .withColumn("ks_pval", kolmogorov_p(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur")))
+    """Two-sample KS of each period's scores against the reference, with p-value."""
+    found = tagged_metrics(score_counts(reference, score), score_counts(current, score, tags=[period]), period, periods, 0.0)
+    return found.select(period, "n_ref", "n_cur", "ks_stat").withColumn(
+        "ks_pval", kolmogorov_p(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur"))
     )
 
 
@@ -184,7 +155,7 @@ def psi_band(value: Column) -> Column:
 
 
 def drift_report(
-    reference: DataFrame,
+    reference: DataFrame | None,
     current: DataFrame,
     key: str,
     score: str,
@@ -193,47 +164,43 @@ def drift_report(
     n_batches: int = 4,
     tau: float = 0.12,
     psi_reference: Sequence[PsiReference] | None = None,
+    score_reference: DataFrame | None = None,
 ) -> DataFrame:
     """One row per ordered batch: size, AUC, rates, KS, PSI map, mean PSI, alert.
 
-    All batches come from the same few passes; batch numbers start at 1. The
-    mean PSI includes degenerate features as 0. ``psi_reference`` takes bins
-    fitted earlier, so a monitoring run reads the reference for its scores only.
+    All batches come from the same few passes, their scores and the
+    reference's from one ordering; batch numbers start at 1. The mean PSI
+    includes degenerate features as 0. ``psi_reference`` takes bins and
+    ``score_reference`` score counts made earlier; with both the reference
+    itself is not read.
     """
     batched = ordered_batches(current, key, n_batches).withColumn("batch", F.col("batch") + 1)
-    numbers = list(range(1, n_batches + 1))
-    curve = score_curve(batched, score, label, ["batch"])
-    quality = curve.groupBy("batch").agg(
-        auc_agg().alias("auc_roc"), *[e.alias(n) for n, e in flagged_aggs(tau).items()]
-    )
-    ks = ks_by_period(reference, batched, score, "batch", numbers).select("batch", "ks_stat", "ks_pval")
     fitted = psi_reference if psi_reference is not None else fit_psi_reference(reference, features)
-    shifts = (
-        psi(fitted, batched, "batch")
-        .groupBy("batch")
-        .agg(
-            F.avg("psi").alias("mean_psi"),
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "psi")))).alias("psi_by_feature"),
-        )
+    scores = score_reference if score_reference is not None else score_counts(reference, score)
+    return report_periods(
+        scores, score_counts(batched, score, label, ["batch"]), psi(fitted, batched, "batch"), "batch", range(1, n_batches + 1), tau
     )
-    return (
-        quality.join(ks, "batch", "left")
-        .join(shifts, "batch", "left")
-        .select(
-            "batch",
-            F.col("n").alias("n_rows"),
-            "auc_roc",
-            (F.col("flagged_n") / F.col("n")).alias("flag_rate"),
-            (F.col("n_positive") / F.col("n")).alias("pos_rate"),
-            "ks_stat",
-            "ks_pval",
-            F.coalesce("mean_psi", F.lit(0.0)).alias("mean_psi"),
-            "psi_by_feature",
-            (
-                F.coalesce(F.col("mean_psi") > PSI_ALERT, F.lit(False))
-                | F.coalesce(F.col("ks_stat") > KS_ALERT, F.lit(False))
-            ).alias("drift_alert"),
-        )
+
+
+def report_periods(
+    reference: DataFrame, counts: DataFrame, shifts: DataFrame, period: str, periods: Sequence, tau: float
+) -> DataFrame:
+    """The report from score counts of the reference and of each period, and the periods' PSI per feature."""
+    quality = tagged_metrics(reference, counts, period, periods, tau).where("n > 0")
+    by_feature = F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "psi"))))
+    means = shifts.groupBy(period).agg(F.avg("psi").alias("mean_psi"), by_feature.alias("psi_by_feature"))
+    far = F.coalesce(F.col("mean_psi") > PSI_ALERT, F.lit(False)) | F.coalesce(F.col("ks_stat") > KS_ALERT, F.lit(False))
+    return quality.join(means, period, "left").select(
+        period,
+        F.col("n").alias("n_rows"),
+        "auc_roc",
+        (F.col("flagged_n") / F.col("n")).alias("flag_rate"),
+        (F.col("n_positive") / F.col("n")).alias("pos_rate"),
+        "ks_stat",
+        kolmogorov_p(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur")).alias("ks_pval"),
+        F.coalesce("mean_psi", F.lit(0.0)).alias("mean_psi"),
+        "psi_by_feature",
+        far.alias("drift_alert"),
     )
 
 

@@ -17,12 +17,13 @@ from tallyward.operators.features import fit_features
 from tallyward.plans import encounter_rules as R
 from tallyward.plans import risk_model as K
 from tallyward.plans.catalog_base import Catalog, mart, rounded, with_steps
-from tallyward.plans.catalog_drift import psi_steps
+from tallyward.plans.catalog_drift import SQL_KS, psi_steps
 from tallyward.plans.catalog_evaluate import compare_models
 from tallyward.session import cut_lineage, materialize, scratch_path
 from tallyward.sources.fixtures import table
 from tallyward.sources.readers import to_requests
 from tallyward.streaming import jobs as S
+from tallyward.streaming import windows as SW
 
 catalog = Catalog()
 query = catalog.query
@@ -352,3 +353,36 @@ def _(spark, d):
     state = S.latest(spark, sink, ["window_start", "feature", "cell"], ["c"])
     state = state.withColumn("window_start", F.unix_timestamp("window_start"))
     return rounded(psi_from_counts(fitted, state, "window_start"), "psi")
+
+
+_WINDOW_REPORT = {
+    "tr": "SELECT value AS prob, value, length(props) AS props_length FROM events WHERE ts < TIMESTAMP '2024-01-11'",
+    "ho": "SELECT CAST(FLOOR(epoch(ts) / 604800) * 604800 AS BIGINT) AS batch, value AS prob, value, length(props) AS props_length, "
+    "CAST(event_type = 'purchase' AS INTEGER) AS y FROM events",
+    **psi_steps("tr", "ho", "batch", ["value", "props_length"]),
+    **SQL_KS,
+    "au": "SELECT batch, COUNT(*) AS n, AVG(CASE WHEN prob >= 75 THEN 1 ELSE 0 END) AS flag_rate, AVG(y) AS pos_rate, SUM(y) AS n1, SUM(1 - y) AS n0, "
+    "COALESCE(SUM(r) FILTER (WHERE y = 1), 0) AS r1 FROM (SELECT *, RANK() OVER (PARTITION BY batch ORDER BY prob) "
+    "+ (COUNT(*) OVER (PARTITION BY batch, prob) - 1) / 2.0 AS r FROM ho) GROUP BY 1",
+    "mp": "SELECT period AS batch, AVG(psi) AS mean_psi FROM ps GROUP BY 1",
+}
+
+
+@query(
+    "stream_drift_reports",
+    "WITH " + ", ".join(f"{n} AS MATERIALIZED ({q})" for n, q in _WINDOW_REPORT.items())
+    + " SELECT batch AS window_start, au.n AS n_rows, ROUND(CASE WHEN n1 > 0 AND n0 > 0 THEN (r1 - n1 * (n1 + 1) / 2.0) / (n1 * n0) END, 6) AS auc_roc, "
+    "ROUND(flag_rate, 6) AS flag_rate, ROUND(pos_rate, 6) AS pos_rate, ROUND(d, 6) AS ks_stat, ROUND(p, 6) AS ks_pval, ROUND(mean_psi, 6) AS mean_psi, "
+    "mean_psi > 0.20 OR d > 0.10 AS drift_alert FROM au JOIN kp USING (batch) JOIN mp USING (batch)",
+)
+def _(spark, d):
+    # the stream keeps counts per window; the reference, its first ten days, is counted once
+    events = table(spark, d, "events").withColumn("props_length", F.length("props"))
+    first = events.where(F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-11 00:00:00")))
+    reference = SW.fit_reference(first, "value", ["value", "props_length"])
+    stream = event_stream(spark, d).withColumns({"props_length": F.length("props"), "y": (F.col("event_type") == "purchase").cast("int")})
+    sink = scratch_path(spark, "window-counts")
+    SW.run_window_counts(SW.window_counts(stream, "ts", "7 days", "1 day", "value", "y", reference), scratch_path(spark, "progress"), sink)
+    out = SW.window_reports(spark, sink, reference, 75.0).drop("psi_by_feature")
+    out = out.withColumn("window_start", F.unix_timestamp("window_start"))
+    return rounded(out, "auc_roc", "flag_rate", "pos_rate", "ks_stat", "ks_pval", "mean_psi")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import threading
 from collections import defaultdict
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -14,7 +14,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tallyward.operators.drift import PsiReference, cell_counts, drift_report
+from tallyward.operators.tagged import score_counts
+from tallyward.session import materialize
 from tallyward.sources.readers import parse_requests
+from tallyward.streaming import store
+from tallyward.streaming.store import latest  # noqa: F401  part of this module's interface
 
 
 def read_requests(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -51,20 +55,22 @@ def run_available(
     return query
 
 
-def upsert_batches(sink: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer: one directory per batch, so a replay overwrites itself."""
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")
+def run_updates(
+    stream: DataFrame, checkpoint: str, sink: str, keys: Sequence[str] = (), values: Sequence[str] = (), compact_every: int = 0
+) -> StreamingQuery:
+    """Update mode into per-batch directories; :func:`latest` reads the state back.
 
-    return write
+    With ``compact_every`` the directories are merged into a base after so many batches.
+    """
 
+    def write(df: DataFrame, batch_id: int) -> None:
+        store.write_batch(df, sink, batch_id)
+        if compact_every and store.open_batches(df.sparkSession, sink) >= compact_every:
+            store.compact(df.sparkSession, sink, keys, values)
 
-def run_updates(stream: DataFrame, checkpoint: str, sink: str) -> StreamingQuery:
-    """Update mode into per-batch directories; :func:`latest` reads the state back."""
     query = (
         stream.writeStream.outputMode("update")
-        .foreachBatch(upsert_batches(sink))
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -73,13 +79,6 @@ def run_updates(stream: DataFrame, checkpoint: str, sink: str) -> StreamingQuery
     return query
 
 
-def latest(spark: SparkSession, sink: str, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Last emitted values per key from :func:`run_updates` output."""
-    rows = spark.read.parquet(sink)
-    newest = F.max_by(F.struct(*values), "batch_id").alias("v")
-    return rows.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"v.{v}") for v in values])
-
-
 def windowed(stream: DataFrame, ts: str, width: str, lateness: str, out: str = "window_start") -> DataFrame:
     """Event-time window start on every row, rows later than the watermark left to the state to drop.
 
@@ -122,14 +121,17 @@ def run_drift_reports(
 ) -> StreamingQuery:
     """A drift report per arriving batch of scored rows against a stored reference.
 
-    The bins are fitted beforehand. Each report is one row in a directory
-    named by its batch, so a replay after a failure replaces it.
+    The bins are fitted beforehand, and the reference's scores are counted once
+    before the stream starts. Each report is one row in a directory named by
+    its batch, so a replay after a failure replaces it. For reports by event
+    time see ``windows.run_window_counts``.
     """
     features = [ref.feature for ref in psi_reference]
+    scores = materialize(score_counts(reference, score), "score-reference")
 
     def report(df: DataFrame, batch_id: int) -> None:
-        out = drift_report(reference, df, key, score, label, features, 1, tau, psi_reference)
-        upsert_batches(sink)(out.drop("batch"), batch_id)
+        out = drift_report(None, df, key, score, label, features, 1, tau, psi_reference, scores)
+        store.write_batch(out.drop("batch"), sink, batch_id)
 
     query = (
         stream.writeStream.foreachBatch(report)
