@@ -207,85 +207,6 @@ def table1_continuous(df: DataFrame, cols: Sequence[str], stratum: str, strata:
     )
 
 
-def pair_counts(df: DataFrame, cols: Sequence[str], as_type: str) -> DataFrame:
-    """Joint counts ``(var1, var2, a, b, n)`` for every column pair, complete pairs only.
-
-    The pairs are of columns, a number fixed by the schema; the exploded rows
-    are combined on the map side before the one shuffle.
-    """
-    typed = df.select(*[F.col(c).cast(as_type).alias(c) for c in cols])
-    structs = [
-        F.struct(F.lit(x).alias("var1"), F.lit(y).alias("var2"), F.col(x).alias("a"), F.col(y).alias("b"))
-        for x, y in combinations(cols, 2)
-    ]
-    return (
-        typed.select(F.inline(F.array(*structs)))
-        .where("a IS NOT NULL AND b IS NOT NULL")
-        .groupBy("var1", "var2", "a", "b")
-        .agg(F.count("*").alias("n"))
-    )
-
-
-def _marginals(pairs: DataFrame) -> DataFrame:
-    sides = F.array(
-        F.struct(F.lit("a").alias("side"), F.col("a").alias("v")), F.struct(F.lit("b").alias("side"), F.col("b").alias("v"))
-    )
-    return pairs.select("var1", "var2", "n", F.inline(sides))
-
-
-def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Spearman correlation of every column pair over pairwise complete rows.
-
-    Works on joint counts, so ranks are taken over distinct values.
-    """
-    pairs = pair_counts(df, cols, "double")
-    ranks = running_totals(_marginals(pairs), "v", {"m": F.sum("n")}, ["var1", "var2", "side"]).select(
-        "var1", "var2", "side", "v", (F.col("cum_m") - (F.col("m") - 1) / 2).alias("rank")
-    )
-    ra = ranks.where("side = 'a'").select("var1", "var2", F.col("v").alias("a"), F.col("rank").alias("ra"))
-    rb = ranks.where("side = 'b'").select("var1", "var2", F.col("v").alias("b"), F.col("rank").alias("rb"))
-    sizes = pairs.groupBy("var1", "var2").agg(((F.sum("n") + 1) / 2).alias("mid"))
-    ranked = pairs.join(ra, ["var1", "var2", "a"]).join(rb, ["var1", "var2", "b"]).join(sizes, ["var1", "var2"])
-    da, db, n = F.col("ra") - F.col("mid"), F.col("rb") - F.col("mid"), F.col("n")
-    return (
-        ranked.groupBy("var1", "var2")
-        .agg(F.sum(n * da * db).alias("sab"), F.sum(n * da * da).alias("saa"), F.sum(n * db * db).alias("sbb"))
-        .select(
-            "var1",
-            "var2",
-            F.when(F.col("saa") * F.col("sbb") > 0, F.col("sab") / F.sqrt(F.col("saa") * F.col("sbb"))).alias("rho"),
-        )
-    )
-
-
-def cramers_v(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Cramer's V (uncorrected) of every pair of categorical columns."""
-    pairs = pair_counts(df, cols, "string")
-    margin = _marginals(pairs).groupBy("var1", "var2", "side", "v").agg(F.sum("n").alias("m"))
-    ma = margin.where("side = 'a'").select("var1", "var2", F.col("v").alias("a"), F.col("m").alias("ma"))
-    mb = margin.where("side = 'b'").select("var1", "var2", F.col("v").alias("b"), F.col("m").alias("mb"))
-    shape = margin.groupBy("var1", "var2").agg(
-        F.count_if(F.col("side") == "a").alias("r"),
-        F.count_if(F.col("side") == "b").alias("c"),
-        F.sum(F.when(F.col("side") == "a", F.col("m"))).alias("total"),
-    )
-    cells = pairs.join(ma, ["var1", "var2", "a"]).join(mb, ["var1", "var2", "b"])
-    n = F.col("n").cast("double")
-    return (
-        cells.groupBy("var1", "var2")
-        .agg(F.sum(n * n / (F.col("ma").cast("double") * F.col("mb"))).alias("s"))
-        .join(shape, ["var1", "var2"])
-        .select(
-            "var1",
-            "var2",
-            F.when(
-                F.least("r", "c") > 1,
-                F.sqrt(F.greatest(F.col("s") - 1, F.lit(0.0)) / (F.least("r", "c") - 1)),
-            ).alias("v"),
-        )
-    )
-
-
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Count, balanced weight n / (2 n_c) and negative-to-positive ratio per class."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))

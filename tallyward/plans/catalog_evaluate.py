@@ -307,11 +307,11 @@ def _(spark, d):
 @query(
     "rank_of_match",
     "SELECT model, CAST(MIN(rk) AS INTEGER) AS rank FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY model ORDER BY value DESC, feature) AS rk FROM ("
-    + SQL_ATTR + ")) WHERE contains(feature, 'S') GROUP BY 1",
+    + SQL_ATTR + ")) WHERE contains(feature, '-4') GROUP BY 1",
 )
 def _(spark, d):
     ranked = E.rank_features(attributions(spark, d), "model", "feature", "value")
-    return E.rank_of_match(ranked, "model", "feature", "S")
+    return E.rank_of_match(ranked, "model", "feature", "-4")
 
 
 EXPECTED = [("number_inpatient", 1), ("time_in_hospital", 1), ("number_diagnoses", -1), ("num_medications", 1), ("not_fitted", 1)]

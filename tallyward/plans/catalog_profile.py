@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from tallyward.functions.scalar import flag
+from tallyward.operators import gram as G
 from tallyward.operators import profile as P
 from tallyward.plans import encounter_rules as R
 from tallyward.plans.catalog_base import MEDS, PRIOR, Catalog, features, mart, rounded, sql_normal_upper, staged, with_steps
@@ -255,7 +256,7 @@ def _sql_spearman(cols):
 
 @query("spearman_matrix", _sql_spearman(RANK_COLUMNS))
 def _(spark, d):
-    return rounded(P.spearman(features(spark, d), RANK_COLUMNS), "rho")
+    return rounded(G.spearman(features(spark, d), RANK_COLUMNS), "rho")
 
 
 V_COLUMNS = [
@@ -278,12 +279,12 @@ def _sql_cramers(cols, src):
 
 @query("cramers_v", with_steps("features", _sql_cramers(V_COLUMNS, "features")))
 def _(spark, d):
-    return rounded(P.cramers_v(features(spark, d), V_COLUMNS), "v")
+    return rounded(G.cramers_v(features(spark, d), V_COLUMNS), "v")
 
 
 @query("cramers_v_part", _sql_cramers(["p_brand", "p_type", "p_size"], "part"))
 def _(spark, d):
-    return rounded(P.cramers_v(table(spark, d, "part"), ["p_brand", "p_type", "p_size"]), "v")
+    return rounded(G.cramers_v(table(spark, d, "part"), ["p_brand", "p_type", "p_size"]), "v")
 
 
 @query(
