@@ -138,14 +138,6 @@ def _by_group(limits: DataFrame, groups: list[str]) -> DataFrame:
     )
 
 
-def fences(metrics: DataFrame, groups: list[str]) -> DataFrame:
-    """Per group and metric the quartiles of the merged sketches and the fence around them."""
-    by_metric = _quartiles(_sketch(metrics, groups), groups)
-    reach = SPREAD * (F.col("q3") - F.col("q1")) + _slack()
-    limits = by_metric.select(*groups, "metric", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))
-    return _by_group(limits, groups)
-
-
 def supported_fences(metrics: DataFrame) -> DataFrame:
     """Fences per (language, source) that hold with few documents and in groups of mostly junk.
 
@@ -181,14 +173,13 @@ def supported_fences(metrics: DataFrame) -> DataFrame:
     return _by_group(limits, ["g_lang", "g_source"])
 
 
-def quality_rules(docs: DataFrame, carry: list[str] | None = None, supported: bool = False) -> DataFrame:
+def quality_rules(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Rows of ``docs`` as a struct ``doc`` of the carried columns, with metrics and verdict.
 
     The metrics are computed once and stored; the sketches and the join then
-    read thin columns. The fences are broadcast when their counted number
-    allows it; otherwise the null-safe join shuffles both sides. ``supported``
-    takes ``supported_fences``; op1_quality has those of its SQL twin, in which
-    a group of few documents rejects next to nothing.
+    read thin columns. The fences (``supported_fences``) are broadcast when
+    their counted number allows it; otherwise the null-safe join shuffles both
+    sides.
     """
     carry = docs.columns if carry is None else carry
     m = docs.select(
@@ -205,7 +196,7 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None, supported: bo
     )
     stored = materialize(flat, "quality")
     groups = ["g_lang", "g_source"]
-    limits = materialize(supported_fences(stored) if supported else fences(stored, groups), "quality-fences")
+    limits = materialize(supported_fences(stored), "quality-fences")
     limits = limits.withColumnsRenamed({g: f"f_{g}" for g in groups})
     limits = maybe_broadcast(limits, limits.count(), GROUPS_BOUND)
     same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"f_{g}")) for g in groups])
@@ -261,19 +252,38 @@ WITH w AS (
 ), sketch AS (
   SELECT lang, source, metric, (v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0) AS cell,
          count(*) AS n FROM long GROUP BY ALL
-), ranked AS (
-  SELECT *, sum(n) OVER (PARTITION BY lang, source, metric ORDER BY cell) AS upto,
-         sum(n) OVER (PARTITION BY lang, source, metric) AS total FROM sketch
-), q AS (
-  SELECT lang, source, metric, min(CASE WHEN upto * 4 >= total THEN cell END) AS q1,
-         min(CASE WHEN upto * 4 >= total * 3 THEN cell END) AS q3 FROM ranked GROUP BY ALL
+), sl(metric, slack) AS (VALUES ('w', 1500), ('s', 200), ('d', 30)
+), own AS (
+  SELECT lang, source, metric, max(total) AS total, min(CASE WHEN upto * 4 >= total THEN cell END) AS q1,
+         min(CASE WHEN upto * 4 >= total * 3 THEN cell END) AS q3
+  FROM (SELECT *, sum(n) OVER (PARTITION BY lang, source, metric ORDER BY cell) AS upto,
+               sum(n) OVER (PARTITION BY lang, source, metric) AS total FROM sketch) GROUP BY ALL
+), language AS (
+  SELECT lang, metric, max(total) AS total, min(CASE WHEN upto * 4 >= total THEN cell END) AS q1,
+         min(CASE WHEN upto * 4 >= total * 3 THEN cell END) AS q3
+  FROM (SELECT *, sum(n) OVER (PARTITION BY lang, metric ORDER BY cell) AS upto, sum(n) OVER (PARTITION BY lang, metric) AS total
+        FROM (SELECT lang, metric, cell, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY ALL
+), everything AS (
+  SELECT metric, min(CASE WHEN upto * 4 >= total THEN cell END) AS p1, min(CASE WHEN upto * 4 >= total * 3 THEN cell END) AS p3
+  FROM (SELECT *, sum(n) OVER (PARTITION BY metric ORDER BY cell) AS upto, sum(n) OVER (PARTITION BY metric) AS total
+        FROM (SELECT metric, cell, sum(n) AS n FROM sketch WHERE metric <> 'w' GROUP BY ALL)) GROUP BY ALL
+), parent AS (
+  SELECT lang, metric,
+         CASE WHEN p1 IS NULL THEN q1 ELSE least(total / 30, 1.0::DOUBLE) * q1 + (1 - least(total / 30, 1.0::DOUBLE)) * p1 END AS p1,
+         CASE WHEN p3 IS NULL THEN q3 ELSE least(total / 30, 1.0::DOUBLE) * q3 + (1 - least(total / 30, 1.0::DOUBLE)) * p3 END AS p3
+  FROM language LEFT JOIN everything USING (metric)
+), mixed AS (
+  SELECT o.lang, o.source, o.metric, slack, p1, p3,
+         least(total / 30, 1.0::DOUBLE) * q1 + (1 - least(total / 30, 1.0::DOUBLE)) * p1 AS q1,
+         least(total / 30, 1.0::DOUBLE) * q3 + (1 - least(total / 30, 1.0::DOUBLE)) * p3 AS q3
+  FROM own o JOIN parent p ON o.lang IS NOT DISTINCT FROM p.lang AND o.metric = p.metric JOIN sl ON sl.metric = o.metric
+), limits AS (
+  SELECT lang, source, metric, greatest(q1 - (3 * (q3 - q1) + slack), p1 - 2 * (3 * (p3 - p1) + slack)) AS low,
+         least(q3 + (3 * (q3 - q1) + slack), p3 + 2 * (3 * (p3 - p1) + slack)) AS high FROM mixed
 ), f AS (
-  SELECT lang, source,
-         max(CASE WHEN metric = 'w' THEN q1 - 3 * (q3 - q1) - 1500 END) AS wl,
-         max(CASE WHEN metric = 'w' THEN q3 + 3 * (q3 - q1) + 1500 END) AS wh,
-         max(CASE WHEN metric = 's' THEN q3 + 3 * (q3 - q1) + 200 END) AS sh,
-         max(CASE WHEN metric = 'd' THEN q3 + 3 * (q3 - q1) + 30 END) AS dh
-  FROM q GROUP BY ALL
+  SELECT lang, source, max(low) FILTER (metric = 'w') AS wl, max(high) FILTER (metric = 'w') AS wh,
+         max(high) FILTER (metric = 's') AS sh, max(high) FILTER (metric = 'd') AS dh
+  FROM limits GROUP BY ALL
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce(word_milli BETWEEN wl AND wh AND symbols_milli <= sh AND dup_lines_milli <= dh, false)
