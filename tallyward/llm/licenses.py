@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.llm.common import lean, maybe_broadcast, mix, powers, slices, text_batches, words
+from tallyward.session import materialize
 
 # Public licence texts and notices, by SPDX name.
 KNOWN: dict[str, tuple[str, ...]] = {
@@ -172,7 +173,7 @@ def _runs(total: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
 
 
 def _finder(known: list[str]):
-    """Rows (doc_id, digest, whole) of the runs that are known texts and lie in no longer such run."""
+    """For every row (doc_id, digests, whole): the runs that are known texts and lie in no longer such run."""
     by_start: dict[int, list[tuple[int, int]]] = {}
     sizes = [len(c.split()) for c in known]
     width = min([START, *sizes])
@@ -185,7 +186,8 @@ def _finder(known: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, digests, whole = [], [], []
+            digests: list[list[str]] = [[] for _ in range(batch.num_rows)]
+            whole = [False] * batch.num_rows
             for lo, _, data, starts in slices(batch.column("canon")):
                 h, first = words(data, starts, lower=False)
                 if len(h) < width or not len(heads):
@@ -204,13 +206,12 @@ def _finder(known: list[str]):
                             split = split or data[starts[row] : starts[row + 1]].tobytes().split(b" ")
                             text = b" ".join(split[at - first[row] : at - first[row] + size])
                             end = at + size
-                            rows.append(lo + row)
-                            digests.append(hashlib.sha256(text).hexdigest())
-                            whole.append(bool(size == first[row + 1] - first[row]))
+                            digests[lo + row].append(hashlib.sha256(text).hexdigest())
+                            whole[lo + row] |= bool(size == first[row + 1] - first[row])
                             break
-            ids = batch.column("doc_id").take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(digests, pa.string()), pa.array(whole, pa.bool_())], ["doc_id", "digest", "whole"]
+                [batch.column("doc_id"), pa.array(digests, pa.list_(pa.string())), pa.array(whole, pa.bool_())],
+                ["doc_id", "digests", "whole"],
             )
 
     return run
@@ -227,9 +228,9 @@ def scan_licenses(
     texts inside a document count once. Only matches leave the scan; their
     digests are joined with the known ones.
 
-    Defined results: a null or empty text has no notice; rows that repeat an
-    id share their notices; a null id is its own group; an empty table gives
-    an empty result.
+    Defined results: a null or empty text has no notice; each row has the
+    notices of its own text, whatever its id; an empty table gives an empty
+    result; other columns are not read.
     """
     spark = docs.sparkSession
     known = known_texts() if known is None else known
@@ -239,19 +240,21 @@ def scan_licenses(
     table = spark.createDataFrame([(r["digest"], r["license"]) for r in texts], "digest string, license string")
     table = maybe_broadcast(table, len(texts))
     canon = slim.select("doc_id", canonical(F.col("text"), known).cast("binary").alias("canon"))
-    fields = [slim.schema["doc_id"], T.StructField("digest", T.StringType()), T.StructField("whole", T.BooleanType())]
-    parts = canon.mapInArrow(lean(_finder(sorted({r["canon"] for r in texts}))), T.StructType(fields))
-    hits = parts.join(table, "digest")
-    found = hits.groupBy("doc_id").agg(
-        F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"),
-        F.countDistinct("digest").alias("n_notices"),
-        F.max("whole").alias("whole_text"),
+    fields = [
+        slim.schema["doc_id"],
+        T.StructField("digests", T.ArrayType(T.StringType())),
+        T.StructField("whole", T.BooleanType()),
+    ]
+    # stored with a number for each row: what a row holds is joined back to that row, whatever its id
+    scanned = canon.mapInArrow(lean(_finder(sorted({r["canon"] for r in texts}))), T.StructType(fields))
+    rows = materialize(scanned.withColumn("row", F.monotonically_increasing_id()), "licence-scan")
+    hits = rows.where(F.size("digests") > 0).select("row", F.explode("digests").alias("digest")).join(table, "digest")
+    found = hits.groupBy("row").agg(
+        F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"), F.countDistinct("digest").alias("n_notices")
+    )
+    return rows.join(found, "row", "left").select(
+        "doc_id", "licenses", F.coalesce("n_notices", F.lit(0)).alias("n_notices"), F.col("whole").alias("whole_text")
     )
-    found = found.withColumnRenamed("doc_id", "hit_id")
-    return slim.select("doc_id").join(found, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left").select(
-        "doc_id", "licenses", F.coalesce("n_notices", F.lit(0)).alias("n_notices"),
-        F.coalesce("whole_text", F.lit(False)).alias("whole_text"),
-    )
 
 
 def op10_licenses(docs: DataFrame) -> DataFrame:
