@@ -19,10 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm.common import lean
+from tallyward.operators.ordered import default_buckets, quantile_limits, with_bucket
+from tallyward.session import materialize
 
 GRID = 32
 #: Code points of an anchor, and how many spans there are to one anchor (a power of two).
@@ -226,28 +228,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ids follow each other in the order of their texts' hashes; a single
     document is its own next; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
     slim = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")
     )
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = slim.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0] or []
-    cuts = sorted(set(cuts), reverse=True)
-    above = F.lit(0)
-    if cuts:
-        limits = F.array(*[F.lit(c) for c in cuts])
-        above = F.size(F.filter(limits, lambda c: c > F.col("doc_id")))
-    part = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(above)
-    placed = slim.select(part.cast("int").alias("part"), "doc_id", "text", F.lit(0).alias("ahead"), F.xxhash64("text").alias("tie"))
+    buckets = default_buckets(slim)
+    low = with_bucket(slim, "doc_id", quantile_limits(slim, "doc_id", buckets), buckets, "low")
+    # parts descend as the order does; rows without an id are the last part
+    part = F.when(F.col("doc_id").isNull(), buckets).otherwise(buckets - 1 - F.col("low"))
+    placed = low.select(part.cast("int").alias("part"), "doc_id", "text", F.lit(0).alias("ahead"), F.xxhash64("text").alias("tie"))
     order = F.struct(F.coalesce(-F.col("doc_id"), F.lit(0)), "tie")
-    first = placed.groupBy("part").agg(F.min(order).alias("least"), F.min_by(F.struct("doc_id", "text"), order).alias("row"))
-    filled = [r["part"] for r in first.select("part").orderBy("part").collect()]
-    before = {p: filled[i - 1] for i, p in enumerate(filled)}
-    to = F.lit(None).cast("int")
-    for p, q in before.items():
-        to = F.when(F.col("part") == p, q).otherwise(to)
-    ahead = first.select(to.alias("part"), "row.doc_id", "row.text", F.lit(1).alias("ahead"), F.lit(0).cast("long").alias("tie"))
-    both = placed.unionByName(ahead).repartition(max(parts, 1), "part")
+    # one row per part
+    first = materialize(placed.groupBy("part").agg(F.min_by(F.struct("doc_id", "text"), order).alias("row")), "first-rows")
+    around = Window.partitionBy(F.lit(1))
+    before = first.select("part", F.lag("part").over(around.orderBy("part")).alias("to"), F.max("part").over(around).alias("end"))
+    ahead = first.join(before, "part").select(
+        F.coalesce("to", "end").alias("part"), "row.doc_id", "row.text", F.lit(1).alias("ahead"), F.lit(0).cast("long").alias("tie")
+    )
+    # a part is a partition; hashing part numbers would leave some tasks with several
+    both = placed.unionByName(ahead).repartitionById(buckets + 1, F.col("part"))
     ordered = both.sortWithinPartitions("part", "ahead", F.col("doc_id").desc_nulls_last(), "tie")
     return ordered.select("part", "doc_id", "text").mapInArrow(
         lean(_edited),
