@@ -39,6 +39,9 @@ MINIMA = 4 * BANDS * ROWS
 #: s + (1 - s) / 4 on average with deviation 0.012 at the threshold; this is 3.7 deviations below it.
 SIGNATURE_SHARE = 0.7675
 BLOCK = 256
+#: Sets with more rows than one in HOT_SETS of all (and HOT_ROWS at least) are hot, so there are fewer than HOT_SETS.
+HOT_SETS = 10_000
+HOT_ROWS = 1000
 
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = (_rng.integers(1, 1 << 32, MINIMA, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -108,13 +111,14 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id").slice(lo, hi - lo),
+                    batch.column("tie").slice(lo, hi - lo),
                     pa.array(np.diff(limits)),
                     _longs(sums[0]),
                     _longs(sums[1]),
                     flat,
                     _binary(_packed(minima)),
                 ],
-                ["id", "n", "s1", "s2", "bands", "signature"],
+                ["id", "tie", "n", "s1", "s2", "bands", "signature"],
             )
 
 
@@ -206,48 +210,52 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs of class ids that pass the signature and then the full sets, stored.
+    """Pairs of classes that pass the signature and then the full sets, stored.
 
     Texts are fetched once, for the classes of pairs that passed the signature.
     """
-    sig = classes.select(F.col("id"), F.col("signature"))
+    sig = classes.select("id", "signature")
     similar = materialize(
         pairs.join(sig.toDF("a", "x"), "a").join(sig.toDF("b", "y"), "b").mapInArrow(lean(_similar), "a long, b long"),
         "similar",
     )
-    return _confirm(similar, docs)
+    return _confirm(similar, classes, docs)
 
 
-def _confirm(similar: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirm(similar: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs whose classes' own texts reach the threshold; a text is found by its document and hash."""
     wanted = similar.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = materialize(wanted, "wanted")
-    wanted = maybe_broadcast(wanted, wanted.count())
-    texts = materialize(docs.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    wanted = materialize(wanted.join(classes.select("id", "doc", "tie"), "id"), "wanted")
+    wanted = maybe_broadcast(wanted.withColumnRenamed("id", "class"), wanted.count())
+    found = docs.join(wanted, (docs["id"] == wanted["doc"]) & (docs["tie"] == wanted["tie"])).select(F.col("class").alias("id"), "text")
+    # repeated rows hold one text several times
+    texts = materialize(found.dropDuplicates(["id"]), "texts")
     with_left = similar.join(texts.toDF("a", "x"), "a")
     both = with_left.join(texts.toDF("b", "y"), "b")
     return materialize(both.mapInArrow(lean(_confirmed), "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, class_id, component_id, kept.
+def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(f"`{text_col}`")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("tie"), text.cast("binary").alias("text"))
 
-    Defined results: null, empty and blank texts have no shingles, link to
-    nothing and are their own component; texts of under five words have one
-    shingle of all their words; ids that repeat are one node, whose text is
-    the one with the least hash; a null id stays null and is kept; an empty
-    table gives an empty result; other columns are not read.
+
+def _groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row: id, tie (hash of its text), n, class_id, component_id and group, the number of its component.
+
+    A class is a shingle set. It is numbered by one of its rows and known by
+    its two hashes; ids label classes and components but join nothing, so that
+    texts which share an id keep their own links.
     """
     text_batches(docs.sparkSession)
-    slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
-    base = materialize(
-        slim.mapInArrow(lean(_sketches), "id long, n long, s1 long, s2 long, bands array<long>, signature binary"),
-        "minhash",
-    )
+    slim = _slim(docs, id_col, text_col)
+    kinds = "id long, tie long, n long, s1 long, s2 long, bands array<long>, signature binary"
+    base = materialize(slim.mapInArrow(lean(_sketches), kinds).withColumn("row", F.monotonically_increasing_id()), "minhash")
     usable = base.where("n > 0 AND id IS NOT NULL")
-    # a node with several texts is represented by one of them
-    firsts = usable.groupBy("s1", "s2").agg(F.min("id").alias("id"))
-    classes = usable.join(firsts, ["s1", "s2", "id"], "left_semi").dropDuplicates(["id"])
-    classes = materialize(classes.select("id", "n", "bands", "signature"), "classes")
+    firsts = usable.groupBy("s1", "s2").agg(F.min("row").alias("class"), F.min("id").alias("class_id"), F.count("*").alias("members"))
+    firsts = materialize(firsts, "class-ids")
+    classes = usable.join(firsts.select(F.col("class").alias("row")), "row", "left_semi")
+    classes = materialize(classes.select(F.col("row").alias("id"), F.col("id").alias("doc"), "tie", "n", "bands", "signature"), "classes")
 
     banded = classes.select("id", F.posexplode("bands").alias("k", "band"))
     shared = banded.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("size")).where("size > 1")
@@ -263,22 +271,51 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = in_parts.join(split.select("band"), "band").withColumns(
         {"own": F.pmod(F.hash("id"), blocks), "other": F.explode(F.sequence(F.lit(0), blocks - 1))}
     )
+    marks = F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("marks")
     placed = rest.select(
         "band", "k", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component"
-    ).join(classes.select("id", "n", "signature", F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("marks")), "id")
+    ).join(classes.select("id", "n", "signature", marks), "id")
     parted = placed.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "id")
     across = materialize(parted.mapInArrow(lean(_across), "a long, b long"), "across")
-    more = _confirm(across, slim)
+    more = _confirm(across, classes, slim)
     if more.head(1):
         joined = components(links.union(more))
 
-    nodes = base.select("id", "n", "s1", "s2")
-    of_class = nodes.join(firsts.withColumnRenamed("id", "class_id"), ["s1", "s2"], "left").withColumn(
-        "class_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id"))
+    # classes with a link get the least id of their component; the others are their own
+    linked = joined.join(firsts.select(F.col("class").alias("node"), "class_id"), "node")
+    least = linked.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    labels = linked.join(least, "component").select(F.col("node").alias("class"), "component", "component_id")
+    known = firsts.join(labels, "class", "left").select(
+        F.col("s1").alias("c1"), F.col("s2").alias("c2"), "members", "class_id",
+        F.coalesce("component", "class").alias("group"), F.coalesce("component_id", "class_id").alias("component_id"),
+    )
+    known = materialize(known, "class-labels")
+    # sets of very many rows, of which there can be only HOT_SETS, are broadcast; the others meet few rows each
+    limit = max(HOT_ROWS, base.count() // HOT_SETS)
+    same = F.expr("s1 = c1 AND s2 = c2")
+    rows = base.select("id", "tie", "n", "s1", "s2")
+    marked = rows.where("n > 0 AND id IS NOT NULL").join(F.broadcast(known.where(F.col("members") > limit)), same, "left")
+    hot = marked.where("c1 IS NOT NULL")
+    other = marked.where("c1 IS NULL").select("id", "tie", "n", "s1", "s2").join(known.where(F.col("members") <= limit), same)
+    out = ["id", "tie", "n", "class_id", "component_id", "group"]
+    alone = rows.where("n = 0 OR id IS NULL").select(
+        "id", "tie", "n", F.col("id").alias("class_id"), F.col("id").alias("component_id"), F.lit(None).cast("long").alias("group")
     )
-    out = of_class.join(joined.withColumnRenamed("node", "class_id"), "class_id", "left")
-    out = out.withColumn("component_id", F.coalesce("component", "class_id", "id"))
-    return out.select(
+    return hot.select(*out).unionByName(other.select(*out)).unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, class_id, component_id, kept.
+
+    Defined results: null, empty and blank texts have no shingles, link to
+    nothing and are their own component; texts of under five words have one
+    shingle of all their words; rows that repeat an id are documents of their
+    own with one label, so two texts under one id each have their links; a null
+    id stays null and is kept, and links to nothing; an empty table gives an
+    empty result; other columns are not read. A long text's set is made in one
+    task and then stored as a signature of fixed size.
+    """
+    return _groups(docs, id_col, text_col).select(
         F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         "class_id",
@@ -290,19 +327,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` without the near duplicates of another: the least id of each group stays.
 
-    Of rows that repeat an id one stays; rows without an id all stay. Ids to
-    drop are broadcast if their counted number allows it, so that texts do not
-    travel; otherwise the anti join shuffles.
+    Where several texts of a group have that id, the one of the least hash
+    stays, and of rows that repeat id and text one. Rows without an id all
+    stay. What is to go is named by id and hash of the text and broadcast if
+    its counted number allows it, so that texts do not travel; otherwise the
+    anti join shuffles.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    gone = materialize(found.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct(), "dropped")
+    found = materialize(_groups(docs, id_col, text_col), "groups")
+    named = found.where("id IS NOT NULL")
+    gone = named.where("id != component_id").select(F.col("id").alias("gone"), F.col("tie").alias("gone_tie"))
+    repeated = not named.groupBy("id").agg(F.count("*").alias("c")).where("c > 1").isEmpty()
+    if repeated:
+        # texts of one group under its least id: all but the first
+        heads = named.where("n > 0 AND id = component_id")
+        first = heads.groupBy("group").agg(F.min("tie").alias("first"), F.max("tie").alias("last")).where("first < last")
+        more = heads.join(first, "group").where("tie > first").select(F.col("id").alias("gone"), F.col("tie").alias("gone_tie"))
+        gone = gone.unionByName(more)
+    gone = materialize(gone.distinct(), "dropped")
     gone = maybe_broadcast(gone, gone.count())
-    rest = docs.join(gone, F.col(f"`{id_col}`") == F.col("gone"), "left_anti")
-    ids = docs.select(F.col(f"`{id_col}`").alias("id")).where("id IS NOT NULL")
-    if ids.groupBy("id").count().where("count > 1").head(1):
-        named = rest.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col])
-        rest = named.unionByName(rest.where(F.col(f"`{id_col}`").isNull()))
-    return rest
+    key = F.col(f"`{id_col}`")
+    tied = docs.withColumn("__tie", F.xxhash64(F.col(f"`{text_col}`")))
+    rest = tied.join(gone, (key == F.col("gone")) & (F.col("__tie") == F.col("gone_tie")), "left_anti")
+    if repeated:
+        rest = rest.where(key.isNotNull()).dropDuplicates([id_col, "__tie"]).unionByName(rest.where(key.isNull()))
+    return rest.drop("__tie")
 
 
 def op4_neardup(docs: DataFrame) -> DataFrame:
