@@ -18,12 +18,13 @@ from tallyward.llm.neardup import drop_near_duplicates
 from tallyward.llm.pieces import sample_pieces
 from tallyward.llm.quality import quality_rules
 from tallyward.llm.suffixes import remove_repeats
+from tallyward.operators.ordered import running_totals
 from tallyward.session import materialize
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules(docs, supported=True).where("kept").select("doc.*")
+    return quality_rules(docs).where("kept").select("doc.*")
 
 
 def drop_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,10 +40,30 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_by_weight(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes words from, once per time that it comes to them."""
+    """As many words of every source as the mix takes: whole documents, once per time, and at most one that is cut.
+
+    A document taken in part would make the written mix another one than was
+    computed. So the words taken in parts are added up per source and given to
+    its partly taken documents in turn, whole ones as long as they last; the
+    one at which they run out is cut behind its last word.
+    """
     mixed = mix_sources(docs, carry=docs.columns).where("taken > 0")
-    times = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    return mixed.withColumn("__time", F.explode(F.sequence(F.lit(1), times))).select("carry.*")
+    stored = materialize(mixed.withColumn("row", F.monotonically_increasing_id()), "mix")
+    rest = stored.select("row", F.col("carry.source").alias("source"), "size", (F.col("taken") % F.col("size")).alias("rest"))
+    along = running_totals(
+        rest.where("rest > 0"), "row", {"size": F.sum("size"), "rest": F.sum("rest")}, ["source"], totals=True
+    )
+    left = F.col("total_rest") - (F.col("cum_size") - F.col("size"))
+    shares = along.select("row", F.greatest(F.least("size", left), F.lit(0)).alias("part"))
+    part = F.coalesce("part", F.lit(0))
+    times = F.expr("taken div size").cast("int") + (part > 0).cast("int")
+    copies = stored.join(shares, "row", "left").where(times > 0)
+    copies = copies.select("carry", "size", part.alias("part"), F.explode(F.sequence(F.lit(1), times)).alias("time"), times.alias("times"))
+    cut = (F.col("time") == F.col("times")) & (F.col("part") > 0) & (F.col("part") < F.col("size"))
+    upto = F.array_join(F.slice(F.split("carry.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), F.lit(1), F.col("part").cast("int")), "")
+    text = F.when(cut, upto).otherwise(F.col("carry.text"))
+    new = {"text": text, "n_chars": F.when(cut, F.length(upto).cast("long")).otherwise(F.col("carry.n_chars"))}
+    return copies.select(*[new.get(c, F.col(f"carry.`{c}`")).alias(c) for c in docs.columns])
 
 
 def into_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
