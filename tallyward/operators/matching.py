@@ -48,7 +48,7 @@ def match_pairs(df: DataFrame, key: str, treatment: str, score: str, caliper_sd:
         step = cut_lineage(_mutual_nearest(rest, limit))
         found = step.where("m > 0 AND arm = 1")
         if found.isEmpty():
-            return _expand(base, segments)
+            return expand(base, segments)
         segments = segments.unionByName(
             found.select(
                 F.col("score").alias("score_t"), F.col("next").alias("rank_t"),
@@ -112,7 +112,7 @@ def _mutual_nearest(rest: DataFrame, limit: float) -> DataFrame:
     )
 
 
-def _expand(base: DataFrame, segments: DataFrame) -> DataFrame:
+def expand(base: DataFrame, segments: DataFrame) -> DataFrame:
     """Ids for the matched (score, rank) positions.
 
     Ranks inside (score, arm) use the two-level order, so a hot score is

@@ -9,6 +9,7 @@ from tallyward.operators import bootstrap as B
 from tallyward.operators import causal as C
 from tallyward.operators import design as X
 from tallyward.operators import matching as M
+from tallyward.operators.ordered_matching import match_in_order
 from tallyward.operators.evaluate import threshold_sweep
 from tallyward.operators.features import category_levels
 from tallyward.plans import encounter_rules as R
@@ -182,7 +183,7 @@ def _(spark, d):
 
 def matched(spark, d):
     df = C.propensity(train_rows(spark, d), "adjusted", PS_COVARIATES)
-    return df, M.match_pairs(df, "encounter_id", "adjusted", "ps")
+    return df, match_in_order(df, "encounter_id", "adjusted", "ps")
 
 
 @query("psm_pairs")
@@ -205,6 +206,43 @@ def _(spark, d):
     return M.match_pairs(df, "encounter_id", "a", "prob", caliper_sd=0.0)
 
 
+# whole-number scores: a step of the recursion takes one treated level's rows to the nearest control level left
+_IN_ORDER = {
+    "r": "SELECT *, ROW_NUMBER() OVER (PARTITION BY a, s ORDER BY encounter_id) - 1 AS k FROM (SELECT encounter_id, CAST(ROUND(prob * 100) AS DOUBLE) AS s, "
+    "CASE WHEN insulin IN ('Up', 'Down') THEN 1 ELSE 0 END AS a FROM features)",
+    "lim": "SELECT 0.3 * stddev_samp(s) AS lim FROM r",
+    "tl": "SELECT s, ROW_NUMBER() OVER (ORDER BY s DESC) AS i, COUNT(*) AS n FROM r WHERE a = 1 GROUP BY s",
+    "cl": "SELECT list(s ORDER BY s) AS cs, list(n ORDER BY s) AS cn FROM (SELECT s, COUNT(*) AS n FROM r WHERE a = 0 GROUP BY s)",
+    "st": "SELECT 0 AS step, CAST(1 AS BIGINT) AS i, CAST(0 AS BIGINT) AS done, cn AS rest, NULL::DOUBLE AS t, NULL::DOUBLE AS c, CAST(0 AS BIGINT) AS rank_t, "
+    "CAST(0 AS BIGINT) AS rank_c, CAST(0 AS BIGINT) AS m FROM cl "
+    "UNION ALL SELECT step + 1, CASE WHEN p IS NULL OR done + take = n THEN i + 1 ELSE i END, CASE WHEN p IS NULL OR done + take = n THEN 0 ELSE done + take END, "
+    "CASE WHEN p IS NULL THEN rest ELSE list_transform(rest, lambda x, j: CASE WHEN j = p THEN x - take ELSE x END) END, s, CASE WHEN p IS NULL THEN NULL ELSE cs[p] END, "
+    "done, CASE WHEN p IS NULL THEN 0 ELSE cn[p] - rest[p] END, CASE WHEN p IS NULL THEN 0 ELSE take END FROM ("
+    "SELECT *, CASE WHEN p IS NOT NULL THEN LEAST(n - done, rest[p]) END AS take FROM ("
+    "SELECT st.step, st.i, st.done, st.rest, tl.s, tl.n, cs, cn, list_sort(list_filter(list_transform(range(1, len(cs) + 1), "
+    "lambda j: {'d': ABS(cs[j] - tl.s), 'c': cs[j], 'j': j, 'l': rest[j]}), lambda x: x.l > 0 AND x.d <= lim))[1].j AS p "
+    "FROM st JOIN tl ON tl.i = st.i, cl, lim))",
+    "sg": "SELECT t, c, rank_t + g AS kt, rank_c + g AS kc FROM (SELECT *, UNNEST(range(m)) AS g FROM st WHERE m > 0)",
+}
+
+
+@query(
+    "psm_score_order",
+    with_steps(
+        "features",
+        "SELECT x.encounter_id AS treated, y.encounter_id AS control, ABS(sg.t - sg.c) AS distance FROM sg JOIN r x ON x.a = 1 AND x.s = sg.t AND x.k = sg.kt "
+        "JOIN r y ON y.a = 0 AND y.s = sg.c AND y.k = sg.kc",
+        **_IN_ORDER,
+    ).replace("WITH ", "WITH RECURSIVE ", 1).replace("st AS MATERIALIZED (", "st AS (", 1),
+)
+def _(spark, d):
+    # the largest score first on a coarse score, three tenths of its deviation wide
+    df = features(spark, d).select(
+        "encounter_id", F.round(F.col("prob") * 100).alias("s"), flag(F.col("insulin").isin("Up", "Down")).alias("a")
+    )
+    return match_in_order(df, "encounter_id", "a", "s", caliper_sd=0.3)
+
+
 @query("psm_counts")
 def _(spark, d):
     df, pairs = matched(spark, d)
@@ -234,7 +272,7 @@ def _(spark, d):
     df = train_rows(spark, d)
     tested = C.stabilised_weights(C.propensity(df, "tested", PS_COVARIATES), "tested", "ps")
     adjusted = C.propensity(df, "adjusted", PS_COVARIATES)
-    pairs = M.match_pairs(adjusted, "encounter_id", "adjusted", "ps")
+    pairs = match_in_order(adjusted, "encounter_id", "adjusted", "ps")
     pairs_rows = M.matched_rows(adjusted, "encounter_id", pairs)
     return C.summarize_analyses([
         ("lab tested", "ATE", "stabilised weighting", "odds ratio", C.weighted_odds_ratio(tested, "tested", "y", "iptw"), "odds_ratio"),
