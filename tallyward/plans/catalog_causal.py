@@ -14,6 +14,7 @@ from tallyward.operators.evaluate import threshold_sweep
 from tallyward.operators.features import category_levels
 from tallyward.plans import encounter_rules as R
 from tallyward.plans.catalog_base import Catalog, features, mart, rounded, sql_normal_upper, staged, with_steps
+from tallyward.session import materialize
 
 catalog = Catalog()
 query = catalog.query
@@ -243,6 +244,58 @@ def _(spark, d):
     return match_in_order(df, "encounter_id", "a", "s", caliper_sd=0.3)
 
 
+_PAIRS = {
+    **_IN_ORDER,
+    "pr": "SELECT x.encounter_id AS treated, y.encounter_id AS control FROM sg JOIN r x ON x.a = 1 AND x.s = sg.t AND x.k = sg.kt "
+    "JOIN r y ON y.a = 0 AND y.s = sg.c AND y.k = sg.kc",
+    "mt": "SELECT f.*, 1 AS arm FROM features f JOIN pr ON f.encounter_id = pr.treated UNION ALL SELECT f.*, 0 FROM features f JOIN pr ON f.encounter_id = pr.control",
+}
+
+
+def _recursive(body: str) -> str:
+    return with_steps("features", body, **_PAIRS).replace("WITH ", "WITH RECURSIVE ", 1).replace("st AS MATERIALIZED (", "st AS (", 1)
+
+
+def matched_in_order(spark, d):
+    df = features(spark, d).select(
+        "encounter_id", F.round(F.col("prob") * 100).alias("s"), flag(F.col("insulin").isin("Up", "Down")).alias("a"),
+        F.col(R.LABEL).alias("y"), "num_medications", "number_diagnoses",
+    )
+    return df, match_in_order(df, "encounter_id", "a", "s", caliper_sd=0.3)
+
+
+@query(
+    "psm_order_counts",
+    _recursive(
+        "SELECT a, COUNT(*) AS n_before, (SELECT COUNT(*) FROM pr) AS n_after FROM "
+        "(SELECT CASE WHEN insulin IN ('Up', 'Down') THEN 1 ELSE 0 END AS a FROM features) GROUP BY 1"
+    ),
+)
+def _(spark, d):
+    df, pairs = matched_in_order(spark, d)
+    return M.match_counts(df, "a", pairs)
+
+
+@query(
+    "psm_order_odds",
+    _recursive(
+        "SELECT ROUND((SUM(CASE WHEN arm = 1 THEN y END) / SUM(CASE WHEN arm = 1 THEN 1 - y END)) / (SUM(CASE WHEN arm = 0 THEN y END) / SUM(CASE WHEN arm = 0 THEN 1 - y END)), 6) AS odds_ratio, "
+        "ROUND(AVG(CASE WHEN arm = 1 THEN num_medications END) - AVG(CASE WHEN arm = 0 THEN num_medications END), 6) AS medications_apart, "
+        "ROUND(AVG(CASE WHEN arm = 1 THEN number_diagnoses END) - AVG(CASE WHEN arm = 0 THEN number_diagnoses END), 6) AS diagnoses_apart "
+        "FROM (SELECT *, readmitted_30day AS y FROM mt)"
+    ),
+)
+def _(spark, d):
+    df, pairs = matched_in_order(spark, d)
+    rows = materialize(M.matched_rows(df, "encounter_id", pairs), "matched")
+    apart = [
+        F.round(F.avg(F.when(F.col("a") == 1, F.col(c))) - F.avg(F.when(F.col("a") == 0, F.col(c))), 6).alias(n)
+        for c, n in (("num_medications", "medications_apart"), ("number_diagnoses", "diagnoses_apart"))
+    ]
+    ratio = C.weighted_odds_ratio(rows, "a", "y").select(F.round("odds_ratio", 6).alias("odds_ratio"))
+    return ratio.crossJoin(rows.agg(*apart))
+
+
 @query("psm_counts")
 def _(spark, d):
     df, pairs = matched(spark, d)
@@ -289,6 +342,78 @@ def _(spark, d):
     return B.normal_interval(point, reps)
 
 
+# --- closed forms: with a term per cell a logistic fit gives the cells' shares -----
+
+_CELLS = {
+    "tw": "SELECT encounter_id, readmitted_30day AS y, CAST(a1cresult <> 'None' AS INTEGER) AS tested, CAST(insulin IN ('Up', 'Down') AS INTEGER) AS adjusted, "
+    "CAST(number_inpatient > 0 AS INTEGER) AS prior, gender FROM mart WHERE split_group = 'train' AND gender IS NOT NULL",
+    "cw": "SELECT *, AVG(tested) OVER (PARTITION BY gender, prior) AS pt, AVG(prior) OVER (PARTITION BY gender) AS pp, "
+    "AVG(CASE WHEN prior = 1 THEN y END) OVER (PARTITION BY gender) AS m1, AVG(CASE WHEN prior = 0 THEN y END) OVER (PARTITION BY gender) AS m0 FROM tw",
+}
+
+
+def cells(spark, d):
+    return train_rows(spark, d).where("gender IS NOT NULL")
+
+
+def cell_propensity(df):
+    model = C.fit_logit(df, "tested", ["gender", "prior"], ["gender:prior"], output="ps")
+    return model.transform(df).drop("__x")
+
+
+@query("propensity_cells", with_steps("mart", "SELECT encounter_id, tested, ROUND(pt, 5) AS ps FROM cw", **_CELLS))
+def _(spark, d):
+    return cell_propensity(cells(spark, d)).select("encounter_id", "tested", F.round("ps", 5).alias("ps"))
+
+
+@query("toggled_cells", with_steps("mart", "SELECT encounter_id, prior, ROUND(m1, 5) AS m1, ROUND(m0, 5) AS m0 FROM cw", **_CELLS))
+def _(spark, d):
+    df = cells(spark, d)
+    model = C.fit_logit(df, "y", ["prior", "gender"], ["prior:gender"])
+    out = C.toggled_predictions(model, df, "prior")
+    return out.select("encounter_id", "prior", F.round("m1", 5).alias("m1"), F.round("m0", 5).alias("m0"))
+
+
+# with the cells' own shares the outcome model cancels: the means are standardised over the cells
+_AIPW_CELLS = "SELECT AVG(m1) AS a1, AVG(m0) AS a0 FROM cw"
+
+
+@query(
+    "aipw_cells",
+    with_steps(
+        "mart",
+        "SELECT ROUND(a1, 6) AS mean_1, ROUND(a0, 6) AS mean_0, ROUND(a1 - a0, 6) AS risk_difference, ROUND(a1 / a0, 6) AS risk_ratio FROM ("
+        + _AIPW_CELLS + ")",
+        **_CELLS,
+    ),
+)
+def _(spark, d):
+    out = C.fit_aipw(cells(spark, d), "prior", "y", ["gender"])
+    return rounded(out, "mean_1", "mean_0", "risk_difference", "risk_ratio")
+
+
+@query(
+    "causal_summary_cells",
+    with_steps(
+        "mart",
+        "SELECT 'lab tested' AS analysis, 'ATE' AS estimand, 'stabilised weighting' AS method, 'odds ratio' AS metric, "
+        "ROUND((s11 * s00) / (s10 * s01), 5) AS estimate FROM (SELECT SUM(w) FILTER (WHERE tested = 1 AND y = 1) AS s11, SUM(w) FILTER (WHERE tested = 1 AND y = 0) AS s10, "
+        "SUM(w) FILTER (WHERE tested = 0 AND y = 1) AS s01, SUM(w) FILTER (WHERE tested = 0 AND y = 0) AS s00 FROM ("
+        "SELECT *, CASE WHEN tested = 1 THEN AVG(tested) OVER () / pt ELSE (1 - AVG(tested) OVER ()) / (1 - pt) END AS w FROM cw)) "
+        "UNION ALL SELECT 'prior inpatient', 'ATE', 'doubly robust', 'risk difference', ROUND(a1 - a0, 5) FROM (" + _AIPW_CELLS + ")",
+        **_CELLS,
+    ),
+)
+def _(spark, d):
+    df = cells(spark, d)
+    tested = C.stabilised_weights(cell_propensity(df), "tested", "ps")
+    out = C.summarize_analyses([
+        ("lab tested", "ATE", "stabilised weighting", "odds ratio", C.weighted_odds_ratio(tested, "tested", "y", "iptw"), "odds_ratio"),
+        ("prior inpatient", "ATE", "doubly robust", "risk difference", C.fit_aipw(df, "prior", "y", ["gender"]), "risk_difference"),
+    ])
+    return out.withColumn("estimate", F.round("estimate", 5))
+
+
 # saturated model: coefficients are differences of the cells' log odds
 _CELL = " UNION ALL ".join(
     f"SELECT '{name}' AS term, {value} AS estimate, SQRT({var}) AS std_error FROM w"

@@ -14,6 +14,7 @@ from tallyward.operators import evaluate as E
 from tallyward.operators import models as M
 from tallyward.operators.drift import fit_psi_reference, psi_from_counts
 from tallyward.operators.features import fit_features
+from tallyward.operators.isotonic import apply_blocks, isotonic_blocks
 from tallyward.plans import encounter_rules as R
 from tallyward.plans import risk_model as K
 from tallyward.plans.catalog_base import Catalog, mart, rounded, with_steps
@@ -218,9 +219,40 @@ def _(spark, d):
 @query("isotonic_calibrated")
 def _(spark, d):
     x = matrix(spark, d)
-    curve = M.fit_isotonic(M.out_of_fold(K.fit_logistic, x.split("train"), R.KEY, R.LABEL), "prob", R.LABEL)
-    scored = K.score(K.train_logistic(x), x.rows)
-    return M.apply_isotonic(curve, scored)
+    held_out = materialize(M.out_of_fold(K.fit_logistic, x.split("train"), R.KEY, R.LABEL), "held-out")
+    return apply_blocks(isotonic_blocks(held_out, "prob", R.LABEL), K.score(fitted(spark, d, "logistic"), x.rows), "prob")
+
+
+# the monotone fit by its definition: the greatest least average over the stretches around a point
+_ISOTONIC = {
+    "pt": "SELECT prob AS s, COUNT(*) AS n, SUM(readmitted_30day) AS p, ROW_NUMBER() OVER (ORDER BY prob) AS i FROM mart WHERE split_group = 'train' GROUP BY prob",
+    "cu": "SELECT *, SUM(n) OVER (ORDER BY i) AS cn, SUM(p) OVER (ORDER BY i) AS cp FROM pt",
+    "av": "SELECT a.i AS a, b.i AS b, (b.cp - a.cp + a.p) / (b.cn - a.cn + a.n) AS v FROM cu a JOIN cu b ON a.i <= b.i",
+    "mn": "SELECT a, b, MIN(v) OVER (PARTITION BY a ORDER BY b DESC) AS m FROM av",
+    "ft": "SELECT s, v FROM (SELECT b, MAX(m) AS v FROM mn GROUP BY b) JOIN pt ON i = b",
+    "bl": "SELECT MIN(s) AS lo, MAX(s) AS hi, v FROM ft GROUP BY v",
+    "bn": "SELECT *, LEAD(lo) OVER (ORDER BY lo) AS nl, LEAD(v) OVER (ORDER BY lo) AS nv FROM bl",
+}
+
+
+@query("isotonic_blocks", with_steps("mart", "SELECT lo, hi, ROUND(v, 6) AS value FROM bl", **_ISOTONIC))
+def _(spark, d):
+    return rounded(isotonic_blocks(train(mart(spark, d, R.LABEL, "prob")), "prob", R.LABEL).select("lo", "hi", "value"), "value")
+
+
+@query(
+    "isotonic_applied",
+    with_steps(
+        "mart",
+        "SELECT m.encounter_id, ROUND(CASE WHEN b.v IS NULL THEN (SELECT v FROM bl ORDER BY lo LIMIT 1) WHEN nl IS NULL OR prob <= hi THEN b.v "
+        "ELSE b.v + (nv - b.v) * (prob - hi) / (nl - hi) END, 6) AS calibrated FROM (SELECT * FROM mart WHERE split_group <> 'train') m ASOF LEFT JOIN bn b ON m.prob >= b.lo",
+        **_ISOTONIC,
+    ),
+)
+def _(spark, d):
+    m = mart(spark, d, R.LABEL, "prob")
+    out = apply_blocks(isotonic_blocks(train(m), "prob", R.LABEL), m.where("split_group <> 'train'"), "prob", "calibrated")
+    return rounded(out.select("encounter_id", "calibrated"), "calibrated")
 
 
 @query("permutation_importance")
