@@ -6,6 +6,7 @@ import math
 from functools import reduce
 
 from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +16,7 @@ from tallyward.operators import models as M
 from tallyward.operators.drift import fit_psi_reference, psi_from_counts
 from tallyward.operators.features import fit_features
 from tallyward.operators.isotonic import apply_blocks, isotonic_blocks
+from tallyward.operators.tree_paths import path_contributions
 from tallyward.plans import encounter_rules as R
 from tallyward.plans import risk_model as K
 from tallyward.plans.catalog_base import Catalog, mart, rounded, with_steps
@@ -257,7 +259,28 @@ def _(spark, d):
 
 @query("permutation_importance")
 def _(spark, d):
-    return K.attribution("boosted", fitted(spark, d, "boosted"), matrix(spark, d)).select("feature", F.col("value").alias("auc_drop"))
+    x = matrix(spark, d)
+    return M.permutation_importance(fitted(spark, d, "boosted"), x.split("validation"), R.KEY, R.LABEL, "features", x.plan.names())
+
+
+@query(
+    "tree_path_margins",
+    with_steps("mart", "SELECT encounter_id, TRUE AS adds_up FROM mart WHERE split_group = 'validation'"),
+)
+def _(spark, d):
+    # a row's contributions and the roots' values add up to the model's margin
+    x = matrix(spark, d)
+    model = fitted(spark, d, "boosted")
+    margin = vector_to_array("rawPrediction")[1].alias("margin")
+    rows = model.transform(x.split("validation")).select(R.KEY, "features", margin)
+    added = path_contributions(model, rows, "features", len(x.plan.names()), [R.KEY, "margin"])
+    total = F.aggregate("contributions", F.col("base"), lambda a, v: a + v)
+    return added.select(R.KEY, (F.abs(total - F.col("margin")) < 1e-9).alias("adds_up"))
+
+
+@query("tree_attribution")
+def _(spark, d):
+    return K.attribution("boosted", fitted(spark, d, "boosted"), matrix(spark, d)).select("feature", F.col("value").alias("mean_abs"))
 
 
 @query("linear_attribution")

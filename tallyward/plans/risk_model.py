@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyward.operators import models as M
 from tallyward.operators.evaluate import metric_row
 from tallyward.operators.features import FeaturePlan, fit_features, ordinal_columns
+from tallyward.operators.tree_paths import path_attribution
 from tallyward.plans import encounter_rules as R
 from tallyward.session import materialize
 
@@ -98,10 +99,12 @@ TRAINERS = {
 
 
 def attribution(name: str, model: Model, matrix: Matrix, split: str = "validation") -> DataFrame:
-    """(model, feature, value): closed form for the linear model, permutation for the others."""
+    """(model, feature, value): closed form for the linear model, paths for the trees, permutation for the network."""
     rows, names = matrix.split(split), matrix.plan.names()
     if name == "logistic":
         found = M.linear_attribution(model, rows, "features", names).withColumnRenamed("mean_abs", "value")
+    elif name.startswith("boosted"):
+        found = path_attribution(model, rows, "features", names).withColumnRenamed("mean_abs", "value")
     else:
         found = M.permutation_importance(model, rows, R.KEY, R.LABEL, "features", names).withColumnRenamed("auc_drop", "value")
     return found.select(F.lit(name).alias("model"), "feature", "value")

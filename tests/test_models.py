@@ -1,8 +1,10 @@
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallyward.operators import models as M
+from tallyward.operators import tree_paths as T
 from tallyward.operators.drift import fit_psi_reference
 from tallyward.operators.evaluate import auc
 from tallyward.operators.features import category_levels, fit_features, safe_names
@@ -71,6 +73,30 @@ def test_models_learn_and_rank_features(spark, fitted):
     assert lin["numeric__x"] > lin["numeric__noise"]
 
 
+def test_paths_add_up_to_the_margin(spark, fitted):
+    plan, matrix = fitted
+    weighted, _ = M.prepare(matrix, "y")
+    gbt = M.boosted_trees("y", "features", maxIter=6, maxDepth=4, seed=1).fit(weighted)
+    scored = gbt.transform(matrix).select("id", "features", vector_to_array("rawPrediction")[1].alias("margin"))
+    width = len(plan.names())
+    rows = T.path_contributions(gbt, scored, "features", width, ["id", "margin"]).collect()
+    assert len(rows) == 1500 and all(len(r.contributions) == width for r in rows)
+    assert all(r.base + sum(r.contributions) == pytest.approx(r.margin, abs=1e-9) for r in rows)
+    # one tree by hand: the contributions of a row follow its path through the node table
+    nodes = {(r.tree, r.node): r for r in T.node_table(gbt, spark).collect()}
+    row = scored.where("id = 7").first()
+    want = [0.0] * width
+    for tree in range(6):
+        at = nodes[tree, 0]
+        while at.left >= 0:
+            to = nodes[tree, at.left if row.features[at.feature] <= at.threshold else at.right]
+            want[at.feature] += at.weight * (to.value - at.value)
+            at = to
+    assert next(r for r in rows if r.id == 7).contributions == pytest.approx(want)
+    mean = {r.feature: r.mean_abs for r in T.path_attribution(gbt, matrix, "features", plan.names()).collect()}
+    assert mean["numeric__x"] > mean["numeric__noise"]
+
+
 def test_permutation_does_not_depend_on_the_partitioning(spark, fitted):
     plan, matrix = fitted
     lr = fit_lr({"c": 1.0, "l1": 0.0}, matrix)
