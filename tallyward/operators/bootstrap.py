@@ -57,9 +57,12 @@ def _sums(df: DataFrame, part, width: int) -> dict[int, np.ndarray]:
     return {r["rep"]: np.array(r["s"]) for r in summed.select("rep", vector_to_array("v").alias("s")).collect()}
 
 
-def _irls(df: DataFrame, x: str, y: str, reps: int, seed: int, p: int, max_iter: int, tol: float) -> np.ndarray:
-    """Logistic coefficients of every replicate, shape (reps, p)."""
+def _irls(
+    df: DataFrame, x: str, y: str, reps: int, seed: int, p: int, max_iter: int, tol: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Logistic coefficients of every replicate, shape (reps, p), and which replicates came to rest."""
     beta = np.zeros((reps, p))
+    rest = np.zeros(reps, bool)
     for _ in range(max_iter):
         current = beta.copy()
 
@@ -75,14 +78,14 @@ def _irls(df: DataFrame, x: str, y: str, reps: int, seed: int, p: int, max_iter:
             return np.hstack([w.T @ outer, grad.T])
 
         sums = _sums(df.select(x, y, "h"), part, p * p + p)
-        moved = 0.0
+        rest[:] = True
         for rep, s in sums.items():
             step = np.linalg.lstsq(s[: p * p].reshape(p, p), s[p * p :], rcond=None)[0]
             beta[rep] += step
-            moved = max(moved, float(np.abs(step).max()))
-        if moved < tol:
+            rest[rep] = np.abs(step).max() < tol
+        if rest.all():
             break
-    return beta
+    return beta, rest
 
 
 def bootstrap_aipw(
@@ -92,19 +95,22 @@ def bootstrap_aipw(
     outcome: str,
     covariates: Sequence[str],
     reps: int = 300,
-    seed: int = 49563,
+    seed: int = 20240611,
     max_iter: int = 25,
     tol: float = 1e-6,
 ) -> DataFrame:
-    """Replicate risk differences: rows ``(rep, risk_difference)``."""
+    """Replicate risk differences: rows ``(rep, risk_difference, converged)``.
+
+    A replicate has not converged if one of its two fits still moved after ``max_iter`` steps.
+    """
     x = design_array(df, treatment, covariates, "x").select(
         "x", F.col(treatment).cast("double").alias("a"), F.col(outcome).cast("double").alias("y"),
         F.xxhash64(key, F.lit(seed)).alias("h"),
     ).withColumn("xo", F.concat("x", F.array("a")))
     data = materialize(x, "bootstrap")
     p = len(data.select("x").first()["x"])
-    ps_beta = _irls(data, "x", "a", reps, seed, p, max_iter, tol)
-    out_beta = _irls(data, "xo", "y", reps, seed, p + 1, max_iter, tol)
+    ps_beta, ps_rest = _irls(data, "x", "a", reps, seed, p, max_iter, tol)
+    out_beta, out_rest = _irls(data, "xo", "y", reps, seed, p + 1, max_iter, tol)
 
     def part(pdf: pd.DataFrame) -> np.ndarray:
         xs = np.vstack(pdf["x"].to_numpy())
@@ -118,8 +124,9 @@ def bootstrap_aipw(
         return np.column_stack([(counts * d).sum(0), counts.sum(0)])
 
     sums = _sums(data.select("x", "a", "y", "h"), part, 2)
-    rows = [(int(r), float(s[0] / s[1])) for r, s in sorted(sums.items())]
-    return df.sparkSession.createDataFrame(rows, "rep int, risk_difference double")
+    settled = ps_rest & out_rest
+    rows = [(int(r), float(s[0] / s[1]), bool(settled[r])) for r, s in sorted(sums.items())]
+    return df.sparkSession.createDataFrame(rows, "rep int, risk_difference double, converged boolean")
 
 
 def normal_interval(estimate: DataFrame, replicates: DataFrame, col: str = "risk_difference") -> DataFrame:

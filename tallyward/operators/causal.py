@@ -96,6 +96,14 @@ def fit_logit(
     return PipelineModel([*stages.stages, glm.fit(matrix)])
 
 
+def fit_state(model: PipelineModel) -> DataFrame:
+    """(iterations, converged, deviance) of a fitted GLM; under perfect separation the steps run out."""
+    glm = model.stages[-1]
+    summary = glm.summary
+    row = (summary.numIterations, summary.numIterations < glm.getMaxIter(), float(summary.deviance))
+    return summary.predictions.sparkSession.createDataFrame([row], "iterations int, converged boolean, deviance double")
+
+
 def propensity(df: DataFrame, treatment: str, covariates: Sequence[str], out: str = "ps") -> DataFrame:
     """Fitted treatment probability on every row."""
     model = fit_logit(df, treatment, covariates, output=out)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Cluster sizing (executors, memory, shuffle
@@ -49,9 +51,41 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+_cleaned: set[str] = set()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The application's own folder for scratch tables; it goes when the driver ends."""
+    folder = f"{shared_root(spark).rstrip('/')}/scratch/{spark.sparkContext.applicationId}"
+    if folder not in _cleaned:
+        _cleaned.add(folder)
+        # held from now on: the context may be stopped before the driver's process ends
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        atexit.register(_remove, path, spark._jsc.hadoopConfiguration())
+    return folder
+
+
+def _remove(path, conf) -> None:
+    try:
+        path.getFileSystem(conf).delete(path, True)
+    except (Py4JError, OSError):  # the JVM is gone already: the folder stays, under the application's name
+        pass
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all scratch tables of the application now.
+
+    Frames that read them are void from then on. Results are lazy, so nothing
+    is removed before its application ends unless the caller says so here,
+    after the last result has been written.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """Fresh path below the shared folder, never reused."""
-    return f"{shared_root(spark).rstrip('/')}/scratch/{label}-{uuid.uuid4().hex}"
+    """Fresh path below the application's scratch folder, never reused."""
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
