@@ -5,16 +5,20 @@ a prime, so the hash of any span is a difference of two entries, and spans at
 different places are compared after multiplying with a power of ``B``. Two
 primes below 2**31 are used side by side.
 
-A fingerprint holds the length, the hash of the whole text, and the prefix
-and suffix hashes at up to ``GRID`` multiples of a step that is a power of
-two. Two texts are compared by their prefix arrays: from anchors, spans chosen
-by their content, matches are extended to both sides by binary search.
+A fingerprint holds the length, the hash of the whole text, the prefix and
+suffix hashes at up to ``GRID`` multiples of a step that is a power of two, and
+the hashes of up to ``CHUNKS`` stretches between places chosen by their
+content. Likenesses are of two fingerprints: the longest common prefix and
+suffix on the grid are found by binary search, and what lies between is
+compared stretch by stretch, wherever it stands. ``likeness`` compares two
+whole texts by their prefix arrays instead, to the code point.
 """
 
 from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +34,11 @@ GRID = 32
 #: Code points of an anchor, and how many spans there are to one anchor (a power of two).
 ANCHOR = 24
 THIN = 8
+#: Stretches of a fingerprint, and the code points behind a place that decide whether one begins there.
+CHUNKS = 64
+EDGE = 16
+#: A place of rank r begins a stretch at all levels up to r; 1 in 2**r places has it.
+LEAST_RANK = 3
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (911_382_323, 972_663_749)
 _tables: dict[int, np.ndarray] = {}
@@ -96,7 +105,7 @@ def step_of(n: int) -> int:
 
 
 def fingerprint(p: list[np.ndarray]) -> str:
-    """``n:whole:prefixes:suffixes`` in hex; suffix hashes are moved to the origin to be comparable."""
+    """``n:whole:prefixes:suffixes:level:stretches`` in hex; hashes are moved to the origin to be comparable."""
     n = len(p[0]) - 1
     step = step_of(n)
     at = np.arange(step, n + 1, step)
@@ -106,7 +115,96 @@ def fingerprint(p: list[np.ndarray]) -> str:
         (a[n] - a[n - at]) % prime * _inverse(k, n - at) % prime for k, (a, prime) in enumerate(zip(p, PRIMES))
     ]
     suffixes = (back[0] ^ (back[1] << 1)) & 0xFFFFFFFF
-    return f"{n}:{whole}:{prefixes.astype('>u4').tobytes().hex()}:{suffixes.astype('>u4').tobytes().hex()}"
+    level, parts = stretches(p)
+    inner = ",".join(f"{size:x}.{h:x}.{rank:x}" for size, h, rank in parts)
+    return f"{n}:{whole}:{prefixes.astype('>u4').tobytes().hex()}:{suffixes.astype('>u4').tobytes().hex()}:{level}:{inner}"
+
+
+def stretches(p: list[np.ndarray]) -> tuple[int, list[tuple[int, int, int]]]:
+    """(level, [(size, hash, rank of its first place)]): the text cut at the places of the least level that gives CHUNKS at most."""
+    a, prime = p[0], PRIMES[0]
+    n = len(a) - 1
+    if not n:
+        return LEAST_RANK, []
+    places, ranks, level = np.empty(0, np.int64), np.empty(0, np.int64), LEAST_RANK
+    if n > EDGE:
+        m = n - EDGE
+        # moved to one place, the hashes of equal spans are equal
+        h = (a[EDGE + 1 :] - a[1 : m + 1]) % prime * _powers(0, m)[::-1] % prime
+        h = h * int(pow(BASES[0], -m, prime)) % prime
+        mixed = (h * 0x9E3779B1) & 0xFFFFFFFF
+        near = np.flatnonzero(mixed < 1 << (32 - LEAST_RANK))
+        ranks = 32 - np.frexp(mixed[near].astype(float))[1]
+        while (ranks >= level).sum() >= CHUNKS:
+            level += 1
+        places, ranks = near[ranks >= level] + 1, ranks[ranks >= level]
+    cut = np.concatenate([[0], places, [n]])
+    hashes = (a[cut[1:]] - a[cut[:-1]]) % prime * _inverse(0, cut[:-1]) % prime
+    return level, list(zip(np.diff(cut).tolist(), hashes.tolist(), [0, *ranks.tolist()]))
+
+
+def _read(mark: str) -> tuple[int, list[str], list[str], int, list[tuple[int, int, int]]]:
+    n, _, prefixes, suffixes, level, inner = mark.split(":")
+    cut = lambda x: [x[i : i + 8] for i in range(0, len(x), 8)]
+    parts = [tuple(int(x, 16) for x in s.split(".")) for s in inner.split(",")] if inner else []
+    return int(n), cut(prefixes), cut(suffixes), int(level), parts
+
+
+def _coarser(parts: list[tuple[int, int, int]], level: int) -> list[tuple[int, int]]:
+    """The stretches of a higher level: hashes of neighbours add up, the later one moved behind the earlier."""
+    prime = PRIMES[0]
+    out: list[list[int]] = []
+    for size, h, rank in parts:
+        if out and rank < level:
+            out[-1][1] = (out[-1][1] + h * pow(BASES[0], out[-1][0], prime)) % prime
+            out[-1][0] += size
+        else:
+            out.append([size, h])
+    return [(size, h) for size, h in out]
+
+
+def _on_grid(x: list[str], y: list[str], n: int, m: int) -> int:
+    """Longest common prefix (or suffix) on the coarser of two grids, by binary search."""
+    step = max(step_of(n), step_of(m))
+    every_x, every_y = step // step_of(n), step // step_of(m)
+    lo, hi = 0, min(len(x) // every_x, len(y) // every_y)
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        if x[mid * every_x - 1] == y[mid * every_y - 1]:
+            lo = mid
+        else:
+            hi = mid - 1
+    return lo * step
+
+
+def _within(parts: list[tuple[int, int]], lo: int, hi: int) -> Counter:
+    out: Counter = Counter()
+    at = 0
+    for size, h in parts:
+        if lo <= at and at + size <= hi:
+            out[size, h] += 1
+        at += size
+    return out
+
+
+def fingerprint_likeness(f: str, g: str) -> float:
+    """Share of the longer text that two fingerprints show to be common, 0 to 1.
+
+    Common stretches count wherever they stand; with them, outside the common
+    prefix and suffix, or without these, whichever shows more.
+    """
+    if f == g:
+        return 1.0
+    n, before, behind, level, own = _read(f)
+    m, other_before, other_behind, other_level, other = _read(g)
+    if not (n and m):
+        return 0.0
+    x, y = (_coarser(parts, max(level, other_level)) for parts in (own, other))
+    head = _on_grid(before, other_before, n, m)
+    tail = min(_on_grid(behind, other_behind, n, m), min(n, m) - head)
+    common = lambda a, b: sum(size * k for (size, _), k in (a & b).items())
+    inner = common(_within(x, head, n - tail), _within(y, head, m - tail))
+    return min(1.0, max(head + tail + inner, common(_within(x, 0, n), _within(y, 0, m))) / max(n, m))
 
 
 def _inverse(k: int, at: np.ndarray) -> np.ndarray:
@@ -188,7 +286,7 @@ def likeness(p: list[np.ndarray], q: list[np.ndarray], of_p: dict, of_q: dict) -
 def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (part, order); the last row of a part is only looked ahead at."""
     out: list[tuple] = []
-    before: tuple | None = None  # (part, doc_id, text, arrays, fingerprint, anchors)
+    before: tuple | None = None  # (part, doc_id, text, arrays, fingerprint)
 
     def batch_of(rows):
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
@@ -198,16 +296,17 @@ def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "text"))):
             p = prefix_arrays(text)
-            now = (part, doc_id, text, p, fingerprint(p), anchors(p))
+            now = (part, doc_id, text, p, fingerprint(p))
             if before is not None and before[0] == part:
-                _, own_id, own, q, mark, places = before
+                _, own_id, own, q, mark = before
                 n = len(own)
                 keep, take = n - n // 2, min(n // 2, len(text))
                 edited = own[:keep] + text[:take]
                 both = joined(q, keep, p, take)
                 sha = hashlib.sha256(edited.encode("utf-8")).hexdigest()
-                near = likeness(q, both, places, anchors(both)), likeness(q, p, places, now[5])
-                out.append((own_id, n, sha, mark, fingerprint(both), *near))
+                edited_mark = fingerprint(both)
+                near = fingerprint_likeness(mark, edited_mark), fingerprint_likeness(mark, now[4])
+                out.append((own_id, n, sha, mark, edited_mark, *near))
                 if len(out) == 2000:
                     yield batch_of(out)
                     out = []

@@ -81,6 +81,44 @@ def test_query_fingerprints_are_those_of_the_edited_text(docs):
     assert all(r.edited_fingerprint in want[r.doc_id] for r in got)
 
 
+def test_likeness_is_of_the_fingerprints(docs):
+    got = fp.op2_fingerprints(docs).collect()
+    marks = {}
+    for r in got:
+        marks.setdefault(r.doc_id, set()).add(r.fingerprint)
+    key = lambda d: (d.doc_id is not None, d.doc_id or 0)
+    order = sorted(docs.collect(), key=key, reverse=True)
+    following = {d.doc_id: nxt.doc_id for d, nxt in zip(order, order[1:] + order[:1])}
+    for r in got:
+        assert r.near_edited == fp.fingerprint_likeness(r.fingerprint, r.edited_fingerprint)
+        assert r.near_next in {fp.fingerprint_likeness(r.fingerprint, m) for m in marks[following[r.doc_id]] | marks[r.doc_id]}
+
+
+def test_fingerprint_likeness():
+    rng = np.random.default_rng(8)
+    mark = lambda t: fp.fingerprint(fp.prefix_arrays(t))
+    near = lambda a, b: fp.fingerprint_likeness(mark(a), mark(b))
+    sentences = [" ".join(f"wörd{x}" for x in rng.integers(0, 10**6, 12)) + ". " for _ in range(40)]
+    text = "".join(sentences)
+    other = "".join(" ".join(f"u{x}" for x in rng.integers(0, 10**6, 12)) + ". " for _ in range(40))
+    assert near(text, text) == near("", "") == 1 and near(text, "") == near("", text) == 0
+    assert near(text, other) < 0.05 and near(text, other) == near(other, text)
+    assert near(text, "".join(sentences[:20]) + other[: len(text) // 2]) == pytest.approx(0.5, abs=0.05)
+    # halves swapped (three stretches broken), edits at both ends (two), a hole, and a text three times as long at another level
+    assert near(text, "".join(sentences[20:] + sentences[:20])) > 0.8
+    assert near(text, "X" + text[1:-1] + "Y") > 0.9
+    assert near(text, "".join(sentences[:18] + sentences[21:])) > 0.8
+    assert near(text, text + other + other) == pytest.approx(len(text) / (len(text) + 2 * len(other)), abs=0.08)
+    long = "".join(" ".join(f"v{x}" for x in rng.integers(0, 10**6, 12)) + ". " for _ in range(2000))
+    level, parts = fp.stretches(fp.prefix_arrays(long))
+    assert len(parts) <= fp.CHUNKS and level > fp.LEAST_RANK and sum(s for s, _, _ in parts) == len(long)
+    # stretches of a level are those that the next finer ones add up to
+    fine = fp.stretches(fp.prefix_arrays(text))[1]
+    assert fp._coarser(fine, 99) == [(len(text), int(fp.prefix_arrays(text)[0][-1]))]
+    for size in (1, 5, 16, 17, 40):
+        assert near("é" * size, "é" * size) == 1 and 0 <= near("é" * size, "é" * (size + 1)) <= 1
+
+
 def test_query_pieces(docs):
     """n_pieces and pieces_hash of the query are those of the pieces that encode draws."""
     spark = docs.sparkSession
