@@ -4,7 +4,10 @@ The lattice of a text has a node per byte position and an edge per vocabulary
 piece that matches there, plus one edge for every single byte, so every text
 has a path. No piece has a space but at its front, so the lattice falls apart
 at the places between a character and a space and is handled one such chunk
-at a time; equal chunks share their forward sums. Backwards, the piece that
+at a time; equal chunks share their forward sums. A chunk without spaces may be
+a whole text: a long one is filtered in windows that hand on the sums of their
+last nodes only, and drawn window by window from its end, each window's sums
+being made again, so that memory does not grow with it. Backwards, the piece that
 ends at a node is drawn with its share of the forward sum. The draws come from
 a hash of the row key, the chunk's place and the step, so a row gets the same
 pieces in every run.
@@ -33,8 +36,9 @@ ALPHA = 1.0
 BYTE_WEIGHT = 1e-7
 SEED = 7
 SLICE = 1 << 19
-#: Chunks up to this length are filtered side by side, longer ones alone.
+#: Chunks up to this length are filtered side by side, longer ones in windows of nodes.
 WIDE = 64
+WINDOW = 1 << 15
 _CHUNK = re.compile(rb" *[^ ]+| +")
 
 
@@ -105,7 +109,6 @@ class Lattice:
         small = np.flatnonzero(self.sizes <= WIDE)
         order = small[np.argsort(self.sizes[small], kind="stable")]
         groups = [g for g in np.split(order, np.flatnonzero(np.diff(self.sizes[order])) + 1) if len(g)]
-        groups += [np.array([k]) for k in np.flatnonzero(self.sizes > WIDE)]
         for group in groups:
             width = int(self.sizes[group[0]])
             grid = np.frombuffer(b"".join([chunks[k] for k in group]), np.uint8).reshape(len(group), width)
@@ -203,6 +206,93 @@ class Lattice:
         return out, limits
 
 
+class LongChunk:
+    """One chunk of any length: forward sums by window, the ends of all windows kept, one window's edges at a time."""
+
+    def __init__(self, vocab: Pieces, chunk: bytes):
+        self.vocab = vocab
+        self.data = np.frombuffer(chunk, np.uint8)
+        self.n = len(chunk)
+        self.reach = max([1, *vocab.sizes])
+        self.rings = [[0.0] * self.reach + [1.0]]  # sums of the nodes up to a window's start
+        for a in range(0, self.n, WINDOW):
+            self.rings.append(self._filtered(a, min(self.n, a + WINDOW))[-1])
+
+    def _edges(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(end, size, piece, weight) of the edges that end at the nodes a + 1 .. b, sorted by end and size."""
+        vocab, from_ = self.vocab, max(0, a - self.reach + 1)
+        part = self.data[from_:b]
+        place = np.arange(a, b)
+        found = [(place + 1, np.ones(b - a, np.int64), vocab.single[self.data[a:b]], vocab.single_weight[self.data[a:b]])]
+        wide = part.astype(np.uint64)
+        key = wide.copy()
+        if len(part) > 3:
+            long = part.astype(np.int32)
+            reach = vocab.reach[long[:-2] << 16 | long[1:-1] << 8 | long[2:]]
+        for size in range(2, min(len(part), self.reach) + 1):
+            key = key[:-1] * np.uint64(257) + wide[size - 1 :]
+            if size not in vocab.keys:
+                continue
+            at = np.flatnonzero(reach[: len(key)] >= size) if size > 3 else np.arange(len(key))
+            at = at[at + from_ + size > a]
+            table = vocab.keys[size]
+            which = np.minimum(np.searchsorted(table, key[at]), len(table) - 1)
+            hit = table[which] == key[at]
+            at, which = at[hit], which[hit]
+            if size > 7:
+                good = [vocab.text[vocab.ids[size][w]] == part[q : q + size].tobytes() for q, w in zip(at, which)]
+                at, which = at[good], which[good]
+            found.append((at + from_ + size, np.full(len(at), size), vocab.ids[size][which], vocab.weights[size][which]))
+        end, size, piece, weight = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((size, end))
+        return end[order], size[order], piece[order], weight[order]
+
+    def _filtered(self, a: int, b: int):
+        """Edges into the nodes a + 1 .. b as (first edge by node, size, piece, cumulative share), and the sums to hand on."""
+        end, size, piece, weight = self._edges(a, b)
+        first = np.searchsorted(end, np.arange(a + 1, b + 2))
+        sums = list(self.rings[a // WINDOW])
+        base = self.reach - a  # place of a node's sum in the list
+        value = np.empty(len(end))
+        total = np.empty(b - a)
+        limits, starts, weights = first.tolist(), (end - size + base).tolist(), weight.tolist()
+        for e in range(b - a):
+            s = 0.0
+            for j in range(limits[e], limits[e + 1]):
+                v = weights[j] * sums[starts[j]]
+                value[j] = v
+                s += v
+            sums.append(s)
+            total[e] = s
+            if s < 1e-200:  # only the last sums matter from here on, and only their ratios
+                for k in range(len(sums) - self.reach - 1, len(sums)):
+                    sums[k] *= 1e200
+        share = np.rint(value / total[end - a - 1] * 2.0**32).astype(np.int64)
+        upto = np.cumsum(share)
+        before = np.concatenate([[0], upto])[first[:-1]]
+        return first, size, piece, upto - before[end - a - 1], sums[-self.reach - 1 :]
+
+    def sampled(self, seed: np.uint64) -> np.ndarray:
+        """One path, drawn from the end."""
+        out: list[int] = []
+        node, step, draws = self.n, 0, []
+        for a in range((self.n - 1) // WINDOW * WINDOW, -1, -WINDOW):
+            first, size, piece, upto, _ = self._filtered(a, min(self.n, a + WINDOW))
+            first, size, piece, upto = first.tolist(), size.tolist(), piece.tolist(), upto.tolist()
+            while node > a:
+                if step == len(draws):
+                    steps = np.arange(step + 1, step + 1 + WINDOW, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                    draws += (mix(np.uint64(seed) + steps) >> np.uint64(32)).tolist()
+                draw = draws[step]
+                step += 1
+                at, last = first[node - a - 1], first[node - a] - 1
+                while at < last and upto[at] <= draw:
+                    at += 1
+                out.append(piece[at])
+                node -= size[at]
+        return np.array(out[::-1], np.int64)
+
+
 def encode(vocab: Pieces, texts: list[bytes], keys: np.ndarray, seed: int = SEED) -> list[np.ndarray]:
     """Sampled piece ids of each text, seeded by its key."""
     chunks: list[bytes] = []
@@ -213,24 +303,34 @@ def encode(vocab: Pieces, texts: list[bytes], keys: np.ndarray, seed: int = SEED
         counts.append(len(cut))
     if not chunks:
         return [np.empty(0, np.int64) for _ in texts]
-    names = np.empty(len(chunks), object)
-    names[:] = chunks
-    code, distinct = pd.factorize(names)
-    lattice = Lattice(vocab, list(distinct))
+    lengths = np.array([len(c) for c in chunks])
     counts = np.array(counts)
     begin = np.concatenate([[0], np.cumsum(counts)])
     place = np.arange(len(chunks)) - np.repeat(begin[:-1], counts)
     seeds = mix(np.repeat(mix(keys.view(np.uint64) + np.uint64(seed)), counts) + place.astype(np.uint64))
-    order = np.argsort(code, kind="stable")
-    ids, limits = lattice.sampled(code[order], seeds[order])
-    back = np.empty(len(order), np.int64)
-    back[order] = np.arange(len(order))
-    sizes = np.diff(limits)[back]
+    short = np.flatnonzero(lengths <= WIDE)
+    sizes = np.zeros(len(chunks), np.int64)
+    ids = np.empty(0, np.int64)
+    if len(short):
+        names = np.empty(len(short), object)
+        names[:] = [chunks[k] for k in short]
+        code, distinct = pd.factorize(names)
+        by_code = np.argsort(code, kind="stable")
+        ids, limits = Lattice(vocab, list(distinct)).sampled(code[by_code], seeds[short[by_code]])
+        short = short[by_code]
+        sizes[short] = np.diff(limits)
+    drawn = {k: LongChunk(vocab, chunks[k]).sampled(seeds[k]) for k in np.flatnonzero(lengths > WIDE).tolist()}
+    for k, path in drawn.items():
+        sizes[k] = len(path)
     ends = np.cumsum(sizes)
-    source = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes) + np.repeat(limits[back], sizes)
-    ids = ids[source]
+    starts = ends - sizes
+    out = np.empty(ends[-1], np.int64)
+    own = sizes[short]
+    out[np.repeat(starts[short] - (np.cumsum(own) - own), own) + np.arange(len(ids))] = ids
+    for k, path in drawn.items():
+        out[starts[k] : ends[k]] = path
     text_ends = np.concatenate([[0], ends])[begin]
-    return [ids[a:b] for a, b in zip(text_ends[:-1], text_ends[1:])]
+    return [out[a:b] for a, b in zip(text_ends[:-1], text_ends[1:])]
 
 
 def decode(vocab: Pieces, ids: np.ndarray) -> bytes:
@@ -248,8 +348,8 @@ def sample_pieces(
 ) -> DataFrame:
     """Per document: doc_id, pieces (ids), decoded (bytes joined back from the ids).
 
-    Defined results: null and empty texts have no pieces; equal texts of one
-    id get equal pieces, a null id counts as 0; an empty table gives an empty
+    Defined results: null and empty texts have no pieces; a text without a
+    space is one chunk, however long; equal texts of one id get equal pieces, a null id counts as 0; an empty table gives an empty
     result. The model file has to be readable at the path on every executor.
     """
 

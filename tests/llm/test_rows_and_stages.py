@@ -1,7 +1,10 @@
 """Repeated ids, many partitions, and every pipeline stage's rows and texts against plain Python."""
 
 import hashlib
+import os
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -243,3 +246,44 @@ def test_pieces_stage(spark, docs):
     want = Counter((d.doc_id, hashlib.sha256((d.text or "").encode()).hexdigest()) for d in docs.collect())
     assert Counter((r.doc_id, r.decoded_sha256) for r in got) == want
     assert all(r.n_pieces == len(r.pieces) and hashlib.sha256(b"".join(vocab.text[p] for p in r.pieces)).hexdigest() == r.decoded_sha256 for r in got)
+
+
+# --- long chunks ----------------------------------------------------------------
+
+
+def test_long_chunks_have_the_lattice_of_short_ones(monkeypatch):
+    from tallyward.llm import pieces as P
+
+    vocab = vocabulary(MODEL)
+    rng = np.random.default_rng(2)
+    chunk = bytes(rng.choice(np.frombuffer("theinationéing".encode(), np.uint8), 60))
+    short, long = P.Lattice(vocab, [chunk]), P.LongChunk(vocab, chunk)
+    first, size, piece, upto, _ = long._filtered(0, len(chunk))
+    assert (short.first[1:] - short.first[1] == first).all() and (short.piece == piece).all()
+    assert np.abs(short.upto - upto).max() <= len(vocab.sizes) + 1  # rounding of the shares
+    # any window gives the same path, and another seed another one
+    text = bytes(rng.choice(np.frombuffer(b"theinationing", np.uint8), 3000))
+    paths = []
+    for window in (1 << 15, 500, 41):
+        monkeypatch.setattr(P, "WINDOW", window)
+        paths.append(encode(vocab, [text], np.array([4]))[0].tolist())
+    assert paths[0] == paths[1] == paths[2] != encode(vocab, [text], np.array([5]))[0].tolist()
+
+
+def test_unspaced_text_of_megabytes_in_bounded_memory():
+    """4 MB of letters without a space take the memory of a window."""
+    code = (
+        "import resource, numpy as np\n"
+        "from tallyward.llm.pieces import MODEL, decode, encode, vocabulary\n"
+        "v = vocabulary(MODEL)\n"
+        "t = bytes(np.random.default_rng(0).integers(97, 123, 4_000_000, dtype=np.uint8))\n"
+        "out = encode(v, [t], np.array([3]))[0]\n"
+        "assert decode(v, out) == t\n"
+        "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)\n"
+    )
+    top = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    done = subprocess.run(
+        [sys.executable, "-c", code], capture_output=True, text=True, timeout=600, env=os.environ | {"PYTHONPATH": top}
+    )
+    assert done.returncode == 0, done.stderr[-1500:]
+    assert int(done.stdout.split()[-1]) < 1000
