@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings: a difference cover of sampled suffixes, sorted and named.
+"""Removal of repeated byte strings: a content-chosen cover of sampled suffixes, sorted and named.
 
 A string of ``length`` bytes that starts at a place is removed when an equal
 string starts earlier. Suffixes are compared on their first ``length`` bytes:
@@ -12,10 +12,12 @@ string starts earlier. Suffixes are compared on their first ``length`` bytes:
    strings through it can have). Tuples are sorted in buckets cut at sampled
    splitters. Equal tuples share a name, and all but the first of a name are
    repeats with everything around them.
-3. *Recurse.* Only names whose gram also occurs under another name are open.
-4. *Remaining suffixes.* Around an open name every suffix is ordered by the
-   bytes before the sampled place and the name behind it, and adjacent equal
-   prefixes are compared: the first stays, the others are repeats.
+3. *Open names.* Only names whose gram also occurs under another name go on.
+   One pass finds them; there is no recursion on the names, since a tuple
+   holds all bytes that matter for strings of ``length``.
+4. *Remaining suffixes.* Around an open name the strings of ``length`` bytes
+   are grouped by 128-bit hashes: the first of a group stays, the others are
+   repeats. It is no full suffix array.
 
 Buckets are keyed by tuple, so a passage in a third of all documents is spread
 by its surroundings, equal tuples are folded in each task before the shuffle,

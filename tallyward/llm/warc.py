@@ -3,14 +3,17 @@
 Archives are written by Spark's text writer: a value is a record up to its
 payload's end, the line separator is the record's closing blank lines. They
 are read back as whole files of bounded size and parsed by Content-Length.
-The captures of each archive, sorted by (url key, time, id), are a run; runs
-are dealt out by ranges of the url key and merged by a tree of losers.
+The captures of each archive, sorted by (url key, time, row), are its run and
+stay one: a run is stored as one row of arrays, cut at the limits of the key
+ranges into slices, and a range's task merges the slices of all archives by a
+tree of losers, drawing one capture after the other from the arrays.
 """
 
 from __future__ import annotations
 
 import base64
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,11 +23,16 @@ from pyspark.sql import functions as F
 from tallyward.llm.common import maybe_broadcast
 from tallyward.session import materialize, scratch_path
 
-#: Payload bytes per archive, about; one longer payload has an archive of its own.
+#: Payload bytes per archive, about; rows are dealt by hash, so a longer payload makes its archive longer.
 ARCHIVE_BYTES = 8 << 20
 END = "\r\n\r\n"
 BASE_TIME = 946_684_800
-_INDEX = "page_id long, row long, url_key string, stamp string, record_type string, refers_to long, payload_bytes long, payload_digest string"
+_FIELDS = {
+    "page_id": "long", "row": "long", "url_key": "string", "stamp": "string", "record_type": "string", "refers_to": "long",
+    "payload_bytes": "long", "payload_digest": "string",
+}
+#: Captures drawn to place the limits of the key ranges; they only balance load.
+SAMPLE = 20_000
 
 
 def url_key(url: Column) -> Column:
@@ -52,7 +60,11 @@ def _records(pages: DataFrame, min_bytes: int) -> DataFrame:
     revisit = F.col("page_id") != F.col("first")
     clean = F.regexp_replace("url", "[\\r\\n]", "")
     head = lambda name, value: F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n"))
-    stamp = F.date_format(F.timestamp_seconds(F.lit(BASE_TIME) + F.coalesce("page_id", F.lit(0)) % 1_000_000_000), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    # UTC by arithmetic: a formatted timestamp would follow the session's zone
+    second = F.lit(BASE_TIME) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(1_000_000_000))
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(second / 86400).cast("int")).cast("string")
+    clock = F.concat_ws(":", *[F.lpad((F.floor(second / by) % of).cast("string"), 2, "0") for by, of in ((3600, 24), (60, 60), (1, 60))])
+    stamp = F.concat(day, F.lit("T"), clock, F.lit("Z"))
     body = F.when(revisit, F.lit("")).otherwise(F.col("html"))
     value = F.concat(
         F.lit("WARC/1.0\r\n"),
@@ -104,21 +116,18 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 digest = base64.b32encode(sha).decode()
                 rows.append((head["X-URL-Key"], head["WARC-Date"], int(page) if page else None, int(row), kind, refers, size, digest))
             rows.sort(key=lambda r: (r[0], r[1], r[3]))
-            if rows:
-                key, stamp, page, row, kind, refers, size, digest = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(page, pa.int64()), pa.array(row, pa.int64()), pa.array(key), pa.array(stamp), pa.array(kind),
-                        pa.array(refers, pa.int64()), pa.array(size, pa.int64()), pa.array(digest),
-                    ],
-                    ["page_id", "row", "url_key", "stamp", "record_type", "refers_to", "payload_bytes", "payload_digest"],
-                )
+            columns = list(zip(*rows)) or [()] * len(_FIELDS)
+            key, stamp, page, row, kind, refers, size, digest = columns
+            kinds = [pa.int64() if t == "long" else pa.string() for t in _FIELDS.values()]
+            values = (page, row, key, stamp, kind, refers, size, digest)
+            yield pa.RecordBatch.from_arrays([pa.array([list(v)], pa.list_(t)) for v, t in zip(values, kinds)], list(_FIELDS))
 
 
 def read_archives(spark, folder: str) -> DataFrame:
-    """Index rows of all archives; the run is the archive."""
+    """One row per archive: its index as arrays, sorted by (url_key, stamp, row), which is its run."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
-    return files.select("content").mapInArrow(_parsed, _INDEX)
+    kinds = ", ".join(f"{c} array<{t}>" for c, t in _FIELDS.items())
+    return files.select("content").mapInArrow(_parsed, kinds)
 
 
 def merge_runs(runs: list[list]) -> Iterator:
@@ -153,13 +162,22 @@ def merge_runs(runs: list[list]) -> Iterator:
             p //= 2
 
 
+class _Slice:
+    """A sorted piece of a run as Arrow arrays; captures become Python values one at a time."""
+
+    def __init__(self, batch: pa.RecordBatch, k: int):
+        self.columns = [batch.column(c)[k].values for c in ("url_key", "stamp", "row")]
+
+    def __len__(self) -> int:
+        return len(self.columns[0])
+
+    def __getitem__(self, i: int) -> tuple:
+        return tuple(c[i].as_py() for c in self.columns)
+
+
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One range of the index: its runs, which follow each other sorted, merged into one order."""
-    runs: dict[int, list] = {}
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("run", "url_key", "stamp", "row")]
-        for run, key, stamp, row in zip(*columns):
-            runs.setdefault(run, []).append((key, stamp, row))
+    """One range of the index: the archives' slices of it merged into one order."""
+    slices = [_Slice(batch, k) for batch in batches for k in range(batch.num_rows)]
     held: list = []
     last, seq = None, 0
 
@@ -167,7 +185,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, row, n = zip(*held)
         return pa.RecordBatch.from_arrays([pa.array(key), pa.array(row, pa.int64()), pa.array(n, pa.int64())], ["key", "m_row", "seq"])
 
-    for key, _, row in merge_runs(list(runs.values())):
+    for key, _, row in merge_runs(slices):
         seq = seq + 1 if key == last else 1
         last = key
         held.append((key, row, seq))
@@ -178,17 +196,36 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit()
 
 
-def capture_histories(index: DataFrame) -> DataFrame:
-    """Index rows with ``capture``: the place of the capture in the history of its url key.
+def capture_histories(runs: DataFrame) -> DataFrame:
+    """Index rows of all runs with ``capture``: the place of the capture in the history of its url key.
 
     Ranges are cut by (url key, time, row), so one url with very many captures
     is spread over ranges; the counts of earlier ranges are added afterwards.
     """
-    spark = index.sparkSession
+    spark = runs.sparkSession
+    index = runs.select(F.explode(F.arrays_zip(*_FIELDS)).alias("x")).select("x.*")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = index.select(F.pmod(F.hash("row"), F.lit(64)).alias("run"), "url_key", "stamp", "row")
-    dealt = runs.repartitionByRange(parts, "url_key", "stamp", "row").sortWithinPartitions("run", "url_key", "stamp", "row")
-    merged = dealt.mapInArrow(_merged, "key string, m_row long, seq long").withColumn("range", F.spark_partition_id())
+    drawn = index.select("url_key", "stamp", "row").orderBy(F.xxhash64("row")).limit(SAMPLE).collect()
+    drawn = sorted((r["url_key"], r["stamp"], r["row"]) for r in drawn)
+    limits = sorted({drawn[len(drawn) * i // parts] for i in range(1, parts)}) if drawn else []
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                columns = [batch.column(c)[k].values for c in ("url_key", "stamp", "row")]
+                run = list(zip(*(c.to_pylist() for c in columns)))
+                cuts = [0, *(bisect_left(run, x) for x in limits), len(run)]
+                spans = [(r, a, b) for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+                if spans:
+                    offsets = pa.array([spans[0][1], *(b for _, _, b in spans)], pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r for r, _, _ in spans], pa.int32()), *(pa.ListArray.from_arrays(offsets, c) for c in columns)],
+                        ["range", "url_key", "stamp", "row"],
+                    )
+
+    kinds = "range int, url_key array<string>, stamp array<string>, row array<long>"
+    dealt = runs.select("url_key", "stamp", "row").mapInArrow(sliced, kinds).repartitionById(len(limits) + 1, F.col("range"))
+    merged = dealt.select("url_key", "stamp", "row").mapInArrow(_merged, "key string, m_row long, seq long").withColumn("range", F.spark_partition_id())
     merged = materialize(merged, "captures")
     ends = merged.groupBy("key", "range").agg(F.max("seq").alias("n"))
     earlier = Window.partitionBy("key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -210,8 +247,7 @@ def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     spark = pages.sparkSession
     folder = scratch_path(spark, "warc")
     write_archives(pages.select("page_id", "url", "html"), folder, min_bytes)
-    index = materialize(read_archives(spark, folder), "warc-index")
-    return capture_histories(index)
+    return capture_histories(materialize(read_archives(spark, folder), "warc-runs"))
 
 
 def op5_warc(pages: DataFrame) -> DataFrame:

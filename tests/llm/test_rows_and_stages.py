@@ -287,3 +287,32 @@ def test_unspaced_text_of_megabytes_in_bounded_memory():
     )
     assert done.returncode == 0, done.stderr[-1500:]
     assert int(done.stdout.split()[-1]) < 1000
+
+
+# --- archives -------------------------------------------------------------------
+
+
+def test_histories_merge_the_archives_runs(spark, monkeypatch):
+    """Many small archives: each is one sorted run, ranges cut runs, and a url in most captures spans ranges."""
+    from tallyward.llm import warc
+
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 200)
+    rows = [(i, f"http://a.example/{'hot' if i % 3 else i % 7}", f"body {i % 5}" * (i % 4), "x", i) for i in range(90)] + [(7, "http://a.example/hot", "again", "x", 1), (None, None, None, "x", 2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, url_key string, row int").repartition(3)
+    folder = warc.scratch_path(spark, "archives")
+    warc.write_archives(pages.select("page_id", "url", "html"), folder)
+    runs = warc.read_archives(spark, folder).collect()
+    assert len(runs) > 3
+    for r in runs:
+        keys = list(zip(r.url_key, r.stamp, r.row))
+        assert keys == sorted(keys)
+    got = warc.op5_warc(pages).collect()
+    assert len(got) == len(rows)
+    histories = defaultdict(list)
+    for r in got:
+        histories[r.url_key].append((r.capture, r.stamp))
+    for h in histories.values():
+        h.sort()
+        assert [c for c, _ in h] == list(range(1, len(h) + 1)) and [s for _, s in h] == sorted(s for _, s in h)
+    assert max(map(len, histories.values())) > 50
+    assert {r.stamp[:10] for r in got} == {"2000-01-01"} and all(r.stamp.endswith("Z") for r in got)
