@@ -48,16 +48,14 @@ def mix_by_weight(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     one at which they run out is cut behind its last word.
     """
     mixed = mix_sources(docs, carry=docs.columns).where("taken > 0")
-    stored = materialize(mixed.withColumn("row", F.monotonically_increasing_id()), "mix")
-    rest = stored.select("row", F.col("carry.source").alias("source"), "size", (F.col("taken") % F.col("size")).alias("rest"))
-    along = running_totals(
-        rest.where("rest > 0"), "row", {"size": F.sum("size"), "rest": F.sum("rest")}, ["source"], totals=True
-    )
+    rest = mixed.select("row", F.col("carry.source").alias("source"), "size", (F.col("taken") % F.col("size")).alias("rest"))
+    rest = materialize(rest.where("rest > 0"), "mix-parts")
+    along = running_totals(rest, "row", {"size": F.sum("size"), "rest": F.sum("rest")}, ["source"], totals=True)
     left = F.col("total_rest") - (F.col("cum_size") - F.col("size"))
     shares = along.select("row", F.greatest(F.least("size", left), F.lit(0)).alias("part"))
     part = F.coalesce("part", F.lit(0))
     times = F.expr("taken div size").cast("int") + (part > 0).cast("int")
-    copies = stored.join(shares, "row", "left").where(times > 0)
+    copies = mixed.join(shares, "row", "left").where(times > 0)
     copies = copies.select("carry", "size", part.alias("part"), F.explode(F.sequence(F.lit(1), times)).alias("time"), times.alias("times"))
     cut = (F.col("time") == F.col("times")) & (F.col("part") > 0) & (F.col("part") < F.col("size"))
     upto = F.array_join(F.slice(F.split("carry.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), F.lit(1), F.col("part").cast("int")), "")

@@ -114,7 +114,7 @@ def _stream_start(rows: DataFrame, n: int) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, block: int = BLOCK, seed: int = 42, carry: list[str] | None = None) -> DataFrame:
-    """Per document: doc_id, size, source_size, target, taken and the struct carry.
+    """Per document: doc_id, size, source_size, target, taken, the struct carry and row, a number that is stored.
 
     Defined results: a null text has no words and is never taken; documents
     without a source are a source of their own, the last; rows that repeat an
@@ -165,9 +165,9 @@ def mix_sources(docs: DataFrame, block: int = BLOCK, seed: int = 42, carry: list
     taken = used.groupBy("row").agg(F.sum("words").alias("taken"))
     out = stored.join(by_source.select("t_source", "source_size", "target"), same_source).join(taken, "row", "left")
     return out.select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "carry"
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "carry", "row"
     )
 
 
 def op7_mixing(docs: DataFrame) -> DataFrame:
-    return mix_sources(docs.select("doc_id", "source", "text")).drop("carry")
+    return mix_sources(docs.select("doc_id", "source", "text")).drop("carry", "row")

@@ -291,17 +291,22 @@ def _groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     known = materialize(known, "class-labels")
     # sets of very many rows, of which there can be only HOT_SETS, are broadcast; the others meet few rows each
-    limit = max(HOT_ROWS, base.count() // HOT_SETS)
-    same = F.expr("s1 = c1 AND s2 = c2")
-    rows = base.select("id", "tie", "n", "s1", "s2")
-    marked = rows.where("n > 0 AND id IS NOT NULL").join(F.broadcast(known.where(F.col("members") > limit)), same, "left")
-    hot = marked.where("c1 IS NOT NULL")
-    other = marked.where("c1 IS NULL").select("id", "tie", "n", "s1", "s2").join(known.where(F.col("members") <= limit), same)
-    out = ["id", "tie", "n", "class_id", "component_id", "group"]
-    alone = rows.where("n = 0 OR id IS NULL").select(
-        "id", "tie", "n", F.col("id").alias("class_id"), F.col("id").alias("component_id"), F.lit(None).cast("long").alias("group")
-    )
-    return hot.select(*out).unionByName(other.select(*out)).unionByName(alone)
+    limit = F.greatest(F.lit(HOT_ROWS), firsts.agg(F.sum("members")).scalar() / HOT_SETS)
+    rows = base.select("id", "tie", "n", "s1", "s2", "row")
+    told = ["class_id", "component_id", "group"]
+    by_set = lambda sets, of: sets.select(F.col("c1").alias(f"{of}1"), F.col("c2").alias(f"{of}2"), F.struct(*told).alias(of))
+    hot = by_set(known.where(F.col("members") > limit), "hot")
+    cold = by_set(known.where(F.col("members") <= limit), "cold")
+    usual = (F.col("n") > 0) & F.col("id").isNotNull()
+    marked = rows.join(F.broadcast(hot), usual & F.expr("s1 = hot1 AND s2 = hot2"), "left")
+    # rows with a hot set, without a set or without an id meet nothing here, each at a place of its own
+    key = F.when(usual & F.col("hot").isNull(), F.col("s1")).otherwise(F.xxhash64("row", F.lit(1)))
+    joined_rows = marked.withColumn("k1", key).join(cold, F.expr("k1 = cold1 AND s2 = cold2"), "left")
+    found = F.coalesce("hot", "cold")
+    return joined_rows.select(
+        "id", "tie", "n", F.coalesce(found["class_id"], "id").alias("class_id"),
+        F.coalesce(found["component_id"], "id").alias("component_id"), found["group"].alias("group"),
+    )
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
