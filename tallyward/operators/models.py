@@ -9,6 +9,7 @@ proportion instead.
 from __future__ import annotations
 
 import itertools
+import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -30,6 +31,7 @@ from tallyward.operators.evaluate import auc
 from tallyward.operators.ordered import default_buckets, join_groups, running_totals
 from tallyward.operators.profile import with_class_weight
 from tallyward.session import cut_lineage
+from tallyward.sources.readers import read_if_complete
 
 
 def logistic(label: str, features: str, c: float, l1_ratio: float, total_weight: float, weight: str = "class_weight") -> LogisticRegression:
@@ -160,6 +162,41 @@ def search_cv(
     return _best([(params, sum(scores[j * k : (j + 1) * k]) / k) for j, params in enumerate(grid)])
 
 
+FitBudget = Callable[[dict, DataFrame, int], Model]
+_RUNG = "trial int, rung int, budget int, auc double, kept boolean"
+
+
+def successive_halving(
+    fit: FitBudget, trials: Sequence[dict], train: DataFrame, valid: DataFrame, label: str, budgets: Sequence[int],
+    store: str, keep: float = 0.5, workers: int = 4,
+) -> DataFrame:
+    """Rows (trial, rung, budget, auc, kept) of a search that spends its budget on the better trials.
+
+    All trials run with the first budget; the better share by exact validation
+    AUC (ties: earlier trials) goes on to the next, the best of the last rung
+    is the one kept there. Every rung is written below ``store`` when it is
+    complete, and a search that is started again reads the rungs it finds, so a
+    lost driver costs one rung. The result does not depend on who finishes first.
+    A trial without a value, where one class is missing, ranks last.
+    """
+    spark = train.sparkSession
+    live = list(range(len(trials)))
+    for rung, budget in enumerate(budgets):
+        path = f"{store.rstrip('/')}/rung={rung}"
+        found = {r["trial"]: r for r in read_if_complete(spark, path, _RUNG)}
+        if not found:
+            scores = _in_parallel(spark, lambda t: _held_out_auc(fit(trials[t], train, budget), valid, label), live, workers)  # noqa: B023
+            order = sorted(range(len(live)), key=lambda k: (scores[k] != scores[k], -scores[k], live[k]))
+            last = rung == len(budgets) - 1
+            stay = {live[k] for k in order[: 1 if last else max(1, math.ceil(len(live) * keep))]}
+            rows = [(t, rung, budget, None if v != v else float(v), t in stay) for t, v in zip(live, scores)]
+            spark.createDataFrame(rows, _RUNG).coalesce(1).write.mode("overwrite").parquet(path)
+            live = [t for t in live if t in stay]
+        else:
+            live = sorted(t for t, r in found.items() if r["kept"])
+    return spark.read.schema(_RUNG).parquet(*[f"{store.rstrip('/')}/rung={k}" for k in range(len(budgets))])
+
+
 # --- calibration ------------------------------------------------------------
 
 

@@ -178,6 +178,41 @@ def _(spark, d):
     return spark.createDataFrame([(p["c"], p["l1_ratio"], v) for p, v in trials], "c double, l1_ratio double, mean_auc double")
 
 
+BOOSTED_SPACE = {
+    "maxDepth": [3, 4, 5, 6], "stepSize": [0.03, 0.06, 0.12], "subsamplingRate": [0.6, 0.8, 1.0],
+    "featureSubsetStrategy": ["0.5", "0.75", "1.0"], "minInstancesPerNode": [4, 32, 128],
+}
+NETWORK_SPACE = {"hidden": [(16,), (32, 16), (64, 32), (128, 64, 32)], "seed": [7, 8, 9]}
+
+
+def halving(spark, d, fit, space, trials, budgets):
+    """Every rung of a search with the trials' settings."""
+    x = matrix(spark, d)
+    grid = M.random_grid(space, trials, seed=11)
+    rungs = M.successive_halving(fit, grid, x.split("train"), x.split("validation"), R.LABEL, budgets, scratch_path(spark, "search"), workers=8)
+    named = spark.createDataFrame([(i, str(sorted(p.items()))) for i, p in enumerate(grid)], "trial int, settings string")
+    return rungs.join(named, "trial")
+
+
+@query("gbt_search")
+def _(spark, d):
+    def fit(params, rows, trees):
+        weighted, _ = M.prepare(rows, R.LABEL)
+        return M.boosted_trees(R.LABEL, "features", maxIter=trees, seed=7, **params).fit(weighted)
+
+    return halving(spark, d, fit, BOOSTED_SPACE, 12, [2, 4, 8])
+
+
+@query("mlp_search")
+def _(spark, d):
+    width = len(matrix(spark, d).plan.names())
+
+    def fit(params, rows, steps):
+        return M.perceptron(R.LABEL, "features", width, maxIter=steps, **params).fit(M.repeat_minority(rows, R.LABEL))
+
+    return halving(spark, d, fit, NETWORK_SPACE, 8, [5, 10, 20])
+
+
 @query("gbt_scores")
 def _(spark, d):
     return K.score(fitted(spark, d, "boosted"), matrix(spark, d).rows)

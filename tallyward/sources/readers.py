@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,3 +137,11 @@ def to_requests(df: DataFrame, cols: list[str], batch: Column) -> DataFrame:
     """
     items = F.collect_list(F.struct(*cols)).alias("instances")
     return df.groupBy(batch.alias("request")).agg(F.to_json(F.struct(items)).alias("payload"))
+
+
+def read_if_complete(spark: SparkSession, path: str, schema: str) -> list[Row]:
+    """Rows of a small Parquet folder whose writer has finished; none if it is absent or half written."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
+        return []
+    return spark.read.schema(schema).parquet(path).collect()

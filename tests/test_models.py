@@ -149,6 +149,33 @@ def test_search_prefers_the_better_penalty(fitted):
     assert len(M.random_grid({"a": [1, 2, 3], "b": [1, 2]}, 4, seed=2)) == 4
 
 
+def test_successive_halving(spark, fitted, tmp_path):
+    """Trials are dropped by rank, rungs are not fitted twice, and a lost rung is made again with the same result."""
+    _, matrix = fitted
+    grid = [{"c": c, "l1": 0.0} for c in (1e-7, 10.0, 1e-6, 1.0, 0.1)]
+    calls = []
+
+    def fit(params, rows, budget):
+        calls.append((params["c"], budget))
+        weighted, total = M.prepare(rows, "y")
+        return M.logistic("y", "features", params["c"], params["l1"], total).setMaxIter(budget).fit(weighted)
+
+    store = str(tmp_path / "search")
+    run = lambda: [tuple(r) for r in M.successive_halving(fit, grid, matrix, matrix, "y", [1, 3, 9], store).orderBy("rung", "trial").collect()]
+    first = run()
+    by_rung = {k: [r for r in first if r[1] == k] for k in range(3)}
+    assert [len(by_rung[k]) for k in range(3)] == [5, 3, 2] and len(calls) == 10
+    for k in (0, 1):
+        kept = {r[0] for r in by_rung[k] if r[4]}
+        assert kept == {r[0] for r in by_rung[k + 1]}
+        assert min(r[3] for r in by_rung[k] if r[4]) >= max([r[3] for r in by_rung[k] if not r[4]])
+    assert sum(r[4] for r in by_rung[2]) == 1 and [r[2] for r in first] == [1] * 5 + [3] * 3 + [9] * 2
+    calls.clear()
+    assert run() == first and not calls
+    (tmp_path / "search/rung=2/_SUCCESS").unlink()
+    assert run() == first and len(calls) == 2
+
+
 def test_minority_rows_are_repeated_not_dropped(rows):
     skewed = rows.withColumn("y", (F.col("id") % 10 == 0).cast("int"))
     n = {r.y: r["count"] for r in M.repeat_minority(skewed, "y").groupBy("y").count().collect()}
