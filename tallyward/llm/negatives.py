@@ -223,7 +223,10 @@ def _shards(rows: DataFrame, n: int, top: float, exact: bool) -> DataFrame:
     """(shard, group, centre, radius, tree): every row in one shard of bounded size, each a pickled cover tree."""
     size = max(SHARD_ROWS, math.ceil(n / SHARDS))
     grouped = rows.withColumn("group", F.pmod(F.xxhash64("label"), F.lit(GROUPS)).cast("int"))
-    drawn = grouped.orderBy(F.xxhash64("row"), "row").limit(min(PIVOTS, math.ceil(n / size))).select("group", "v").collect()
+    count = min(PIVOTS, math.ceil(n / size))
+    # thinned first: each task would send as many rows as are wanted in all
+    thin = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(max(1, n // (8 * max(count, 1))))) == 0
+    drawn = grouped.where(thin).orderBy(F.xxhash64("row"), "row").limit(count).select("group", "v").collect()
     by_group: dict[int, list] = {}
     for r in drawn:
         by_group.setdefault(r["group"], []).append(r["v"])

@@ -31,7 +31,7 @@ _FIELDS = {
     "page_id": "long", "row": "long", "url_key": "string", "stamp": "string", "record_type": "string", "refers_to": "long",
     "payload_bytes": "long", "payload_digest": "string",
 }
-#: Captures drawn to place the limits of the key ranges; they only balance load.
+#: Captures, about, drawn to place the limits of the key ranges; they only balance load.
 SAMPLE = 20_000
 
 
@@ -205,7 +205,10 @@ def capture_histories(runs: DataFrame) -> DataFrame:
     spark = runs.sparkSession
     index = runs.select(F.explode(F.arrays_zip(*_FIELDS)).alias("x")).select("x.*")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    drawn = index.select("url_key", "stamp", "row").orderBy(F.xxhash64("row")).limit(SAMPLE).collect()
+    n = runs.agg(F.sum(F.size("row"))).first()[0] or 0
+    # about SAMPLE captures in all, whatever the number of archives
+    thin = F.pmod(F.xxhash64("row"), F.lit(-(-n // SAMPLE) or 1)) == 0
+    drawn = index.select("url_key", "stamp", "row").where(thin).collect()
     drawn = sorted((r["url_key"], r["stamp"], r["row"]) for r in drawn)
     limits = sorted({drawn[len(drawn) * i // parts] for i in range(1, parts)}) if drawn else []
 
