@@ -13,6 +13,7 @@ import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
@@ -235,26 +236,28 @@ def fit_sigmoid(df: DataFrame, margin: str, label: str) -> tuple[float, float]:
     return float(fit.coefficients[0]), float(fit.intercept)
 
 
-def platt_ensemble(fit: Fit, df: DataFrame, key: str, label: str, k: int = 5, seed: int = 0) -> PlattEnsemble:
-    """Fit on k - 1 folds, calibrate on the held-out one, for each fold."""
+def platt_ensemble(
+    fit: Fit, df: DataFrame, key: str, label: str, k: int = 5, seed: int = 0, workers: int = 5
+) -> PlattEnsemble:
+    """Fit on k - 1 folds, calibrate on the held-out one, for each fold; folds share the cluster."""
     folded = cut_lineage(stratified_fold(df, key, label, k, seed))
-    members = []
-    for i in range(k):
+
+    def member(i: int) -> tuple[Model, float, float]:
         model = fit(folded.where(F.col("fold") != i))
         held = raw_margin(model, folded.where(F.col("fold") == i))
-        members.append((model, *fit_sigmoid(held, "margin", label)))
-    return PlattEnsemble(members)
+        return (model, *fit_sigmoid(held, "margin", label))
+
+    return PlattEnsemble(_in_parallel(df.sparkSession, member, range(k), workers))
 
 
-def out_of_fold(fit: Fit, df: DataFrame, key: str, label: str, k: int = 5, seed: int = 0, out: str = "prob") -> DataFrame:
-    """Every row scored by the model that did not see its fold."""
+def out_of_fold(
+    fit: Fit, df: DataFrame, key: str, label: str, k: int = 5, seed: int = 0, out: str = "prob", workers: int = 5
+) -> DataFrame:
+    """Every row scored by the model that did not see its fold; folds share the cluster."""
     folded = cut_lineage(stratified_fold(df, key, label, k, seed))
-    parts = None
-    for i in range(k):
-        model = fit(folded.where(F.col("fold") != i))
-        held = positive_probability(model, folded.where(F.col("fold") == i), out)
-        parts = held if parts is None else parts.unionByName(held)
-    return parts
+    models = _in_parallel(df.sparkSession, lambda i: fit(folded.where(F.col("fold") != i)), range(k), workers)
+    parts = [positive_probability(model, folded.where(F.col("fold") == i), out) for i, model in enumerate(models)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def fit_isotonic(df: DataFrame, score: str, label: str) -> IsotonicRegressionModel:
@@ -285,6 +288,33 @@ def coefficient_rank(model: LogisticRegressionModel, names: Sequence[str], sessi
     )
 
 
+def optimality(model: LogisticRegressionModel, df: DataFrame, label: str, features: str, weight: str, names: Sequence[str]) -> DataFrame:
+    """(feature, coefficient, slope, violation): how far each coefficient is from the penalised optimum.
+
+    ``slope`` is the derivative of the weighted mean loss. With penalty r and
+    L1 share a, a coefficient b other than zero needs
+    slope + r(1 - a)b + ra sign(b) = 0, a zero one needs a slope of at most ra.
+    One aggregate over the training rows; the last row is the intercept, which
+    is not penalised.
+    """
+    x, p = vector_to_array(features), vector_to_array("probability")[1]
+    rows = model.transform(df).select(x.alias("x"), F.col(weight).alias("w"), (F.col(weight) * (p - F.col(label))).alias("r"))
+    penalty, share = model.getRegParam(), model.getElasticNetParam()
+    every = [*zip(names, map(float, model.coefficients)), ("(Intercept)", float(model.intercept))]
+    parts = []
+    for i, (name, b) in enumerate(every):
+        slope = F.sum(F.get("x", F.lit(i)) * F.col("r") if i < len(names) else F.col("r")) / F.sum("w")
+        parts.append(F.struct(F.lit(name).alias("feature"), F.lit(b).alias("coefficient"), slope.alias("slope")))
+    sums = rows.agg(F.array(*parts).alias("a")).select(F.inline("a"))
+    b, l1 = F.col("coefficient"), penalty * share
+    bent = F.abs(F.col("slope") + penalty * (1 - share) * b + l1 * F.signum(b))
+    free = F.abs("slope")
+    return sums.withColumn(
+        "violation",
+        F.when(F.col("feature") == "(Intercept)", free).when(b == 0, F.greatest(free - l1, F.lit(0.0))).otherwise(bent),
+    )
+
+
 def linear_attribution(model: LogisticRegressionModel, df: DataFrame, features: str, names: Sequence[str]) -> DataFrame:
     """Mean |coefficient * (x - mean)| per feature: two aggregates over the matrix."""
     x = vector_to_array(features)

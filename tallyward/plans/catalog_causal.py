@@ -177,6 +177,39 @@ def _(spark, d):
     return C.propensity(train_rows(spark, d), "tested", PS_COVARIATES).select("encounter_id", "tested", "ps")
 
 
+_SUMMED = ["age_midpoint", "num_medications", "number_diagnoses"]
+_LEVELLED = ["admission_type_group", "race", "gender"]
+
+
+@query(
+    "propensity_sums",
+    with_steps(
+        "mart",
+        "SELECT covariate, level, CAST(SUM(x) AS BIGINT) AS total, CAST(SUM(x * tested) AS BIGINT) AS treated, ROUND(SUM(x * tested), 2) AS expected "
+        "FROM op GROUP BY covariate, level",
+        cv="SELECT *, CASE WHEN a1cresult <> 'None' THEN 1 ELSE 0 END AS tested FROM mart WHERE split_group = 'train' AND "
+        + " AND ".join(f"{c} IS NOT NULL" for c in PS_COVARIATES),
+        op=" UNION ALL ".join(
+            [f"SELECT '{c}' AS covariate, {c} AS level, 1.0::DOUBLE AS x, tested FROM cv" for c in _LEVELLED]
+            + [f"SELECT '{c}', 'sum', CAST({c} AS DOUBLE), tested FROM cv" for c in _SUMMED]
+        ),
+    ),
+)
+def _(spark, d):
+    # at the maximum of the likelihood the fitted chances add up to the treated
+    # rows, in every level and weighted by every number
+    df = C.propensity(train_rows(spark, d), "tested", PS_COVARIATES)
+    opened = df.select("tested", "ps", F.inline(F.array(
+        *[F.struct(F.lit(c).alias("covariate"), F.col(c).alias("level"), F.lit(1.0).alias("x")) for c in _LEVELLED],
+        *[F.struct(F.lit(c).alias("covariate"), F.lit("sum").alias("level"), F.col(c).cast("double").alias("x")) for c in _SUMMED],
+    )))
+    return opened.groupBy("covariate", "level").agg(
+        F.sum("x").cast("long").alias("total"),
+        F.sum(F.col("x") * F.col("tested")).cast("long").alias("treated"),
+        F.round(F.sum(F.col("x") * F.col("ps")), 2).alias("expected"),
+    )
+
+
 @query("propensity_coefficients")
 def _(spark, d):
     return C.coefficient_table(C.fit_logit(train_rows(spark, d), "tested", PS_COVARIATES))

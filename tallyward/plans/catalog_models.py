@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,7 @@ from tallyward.operators import models as M
 from tallyward.operators.drift import fit_psi_reference, psi_from_counts
 from tallyward.operators.features import fit_features
 from tallyward.operators.isotonic import apply_blocks, isotonic_blocks
+from tallyward.operators.network_paths import gradient_attribution, gradient_contributions
 from tallyward.operators.tree_paths import path_contributions
 from tallyward.plans import encounter_rules as R
 from tallyward.plans import risk_model as K
@@ -102,7 +103,7 @@ def _(spark, d):
     return long.select("encounter_id", "f.variable", "f.level", "hot")
 
 
-def _manifest_sql():
+def _manifest_sql(columns="CAST(position AS INTEGER) AS position, feature", more=""):
     numeric = [f"SELECT {i} AS position, 'numeric__{c}' AS feature" for i, c in enumerate(R.NUMERIC_FEATURES)]
     n = len(numeric)
     ords = [("med_ord", m) for m in R.MODELLED_MEDICATIONS]
@@ -114,10 +115,10 @@ def _manifest_sql():
     )
     return with_steps(
         "mart",
-        "SELECT CAST(position AS INTEGER) AS position, feature FROM ("
+        f"SELECT {columns} FROM ("
         + " UNION ALL ".join(fixed)
         + f" UNION ALL SELECT {len(fixed)} + ROW_NUMBER() OVER (ORDER BY o, level) - 1, 'nominal__' || variable || '_' || level FROM ("
-        "SELECT *, ROW_NUMBER() OVER (PARTITION BY o ORDER BY level) AS i FROM lv) WHERE i > 1)",
+        "SELECT *, ROW_NUMBER() OVER (PARTITION BY o ORDER BY level) AS i FROM lv) WHERE i > 1)" + more,
         lv=levels,
     )
 
@@ -132,21 +133,30 @@ def _(spark, d):
     return plan.manifest(m)
 
 
-_MATRICES: dict[tuple[str, str], K.Matrix] = {}
-_MODELS: dict[tuple[str, str, str], Model] = {}
+_MATRICES: dict[tuple, K.Matrix] = {}
+_MODELS: dict[tuple, Model] = {}
+_HELD_OUT: dict[tuple, DataFrame] = {}
+
+
+def data_state(spark, d) -> tuple:
+    """The application, the directory and its tables as they stand: name, size and time of change."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(d)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    tables = sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found)
+    return (spark.sparkContext.applicationId, d, *tables)
 
 
 def matrix(spark, d) -> K.Matrix:
-    """The matrix of a data directory, built once per application."""
-    key = (spark.sparkContext.applicationId, d)
+    """The matrix of a data directory, built once per application and state of the data."""
+    key = data_state(spark, d)
     if key not in _MATRICES:
         _MATRICES[key] = K.build_matrix(mart(spark, d))
     return _MATRICES[key]
 
 
 def fitted(spark, d, name: str) -> Model:
-    """A reported model, fitted once per application and data directory."""
-    key = (spark.sparkContext.applicationId, d, name)
+    """A reported model, fitted once per application and state of the data."""
+    key = (name, *data_state(spark, d))
     if key not in _MODELS:
         _MODELS[key] = K.TRAINERS[name](matrix(spark, d))
     return _MODELS[key]
@@ -167,6 +177,15 @@ def _(spark, d):
     return M.coefficient_rank(fitted(spark, d, "logistic"), matrix(spark, d).plan.names(), spark)
 
 
+@query("lr_optimality", _manifest_sql("feature, TRUE AS optimal", " UNION ALL SELECT '(Intercept)', TRUE"))
+def _(spark, d):
+    # the fit against the conditions that only the penalised optimum meets
+    x = matrix(spark, d)
+    weighted, _ = M.prepare(x.split("train"), R.LABEL)
+    found = M.optimality(fitted(spark, d, "logistic"), weighted, R.LABEL, "features", "class_weight", x.plan.names())
+    return found.select("feature", (F.col("violation") < 1e-3).alias("optimal"))
+
+
 @query("lr_search")
 def _(spark, d):
     # every point of the grid, each by the mean AUC of five held-out folds
@@ -253,6 +272,59 @@ def _(spark, d):
     return ensemble.transform(x.rows).select(*K.KEEP, "prob")
 
 
+# Trees per fold model in the calibration queries; the library's default is the reported size.
+CALIBRATION_TREES = 40
+
+
+@query("platt_boosted")
+def _(spark, d):
+    # both boosted models, each a mean of five fold models behind their own sigmoids
+    x = matrix(spark, d)
+    parts = []
+    for name, fit in (("boosted", K.fit_boosted), ("boosted_deep", K.fit_boosted_deep)):
+        ensemble = M.platt_ensemble(lambda rows: fit(rows, maxIter=CALIBRATION_TREES), x.split("train"), R.KEY, R.LABEL)  # noqa: B023
+        parts.append(ensemble.transform(x.rows).select(F.lit(name).alias("model"), *K.KEEP, "prob"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def network_out_of_fold(spark, d):
+    """Training rows scored by the network that did not see their fold, stored; fitted once per state of the data."""
+    key = data_state(spark, d)
+    if key not in _HELD_OUT:
+        x = matrix(spark, d)
+        width = len(x.plan.names())
+        scored = M.out_of_fold(lambda rows: K.fit_perceptron(rows, width), x.split("train"), R.KEY, R.LABEL)
+        _HELD_OUT[key] = materialize(scored.select(*K.KEEP, "prob"), "network-held-out")
+    return _HELD_OUT[key]
+
+
+@query("isotonic_network")
+def _(spark, d):
+    blocks = isotonic_blocks(network_out_of_fold(spark, d), "prob", R.LABEL)
+    return apply_blocks(blocks, K.score(fitted(spark, d, "perceptron"), matrix(spark, d).rows), "prob")
+
+
+@query(
+    "isotonic_network_totals",
+    with_steps(
+        "mart",
+        "SELECT COUNT(*) AS n, SUM(readmitted_30day) AS positives, ROUND(AVG(readmitted_30day), 6) AS mean_calibrated, "
+        "TRUE AS ordered FROM mart WHERE split_group = 'train'",
+    ),
+)
+def _(spark, d):
+    # a monotone least-squares fit keeps the mean of what it is fitted to
+    held_out = network_out_of_fold(spark, d)
+    blocks = cut_lineage(isotonic_blocks(held_out, "prob", R.LABEL))
+    following = F.lead("value").over(Window.partitionBy(F.lit(1)).orderBy("lo"))  # a row per block
+    falls = blocks.select((following <= F.col("value")).alias("falls")).agg(F.count_if("falls") == 0).scalar()
+    return apply_blocks(blocks, held_out, "prob", "calibrated").agg(
+        F.count("*").alias("n"),
+        F.sum(R.LABEL).alias("positives"),
+        F.round(F.avg("calibrated"), 6).alias("mean_calibrated"),
+    ).withColumn("ordered", falls)
+
+
 @query("isotonic_calibrated")
 def _(spark, d):
     x = matrix(spark, d)
@@ -318,6 +390,26 @@ def _(spark, d):
     return K.attribution("boosted", fitted(spark, d, "boosted"), matrix(spark, d)).select("feature", F.col("value").alias("mean_abs"))
 
 
+@query(
+    "network_path_scores",
+    with_steps("mart", "SELECT encounter_id, TRUE AS adds_up FROM mart WHERE split_group = 'validation'"),
+)
+def _(spark, d):
+    # a row's contributions and the baseline's probability add up to the model's own probability
+    model = fitted(spark, d, "perceptron")
+    rows = M.positive_probability(model, matrix(spark, d).split("validation"))
+    added = gradient_contributions(model, rows, "features", [R.KEY, "prob"])
+    total = F.aggregate("contributions", F.col("base"), lambda a, v: a + v)
+    return added.select(R.KEY, (F.abs(total - F.col("prob")) < 1e-4).alias("adds_up"))
+
+
+@query("network_attribution")
+def _(spark, d):
+    x = matrix(spark, d)
+    found = gradient_attribution(fitted(spark, d, "perceptron"), x.split("validation"), "features", x.plan.names())
+    return found.select("feature", "mean_abs")
+
+
 @query("linear_attribution")
 def _(spark, d):
     return K.attribution("logistic", fitted(spark, d, "logistic"), matrix(spark, d)).select("feature", F.col("value").alias("mean_abs"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyward.operators import models as M
 from tallyward.operators.evaluate import metric_row
 from tallyward.operators.features import FeaturePlan, fit_features, ordinal_columns
+from tallyward.operators.network_paths import gradient_attribution
 from tallyward.operators.tree_paths import path_attribution
 from tallyward.plans import encounter_rules as R
 from tallyward.session import materialize
@@ -67,14 +68,24 @@ def train_logistic(matrix: Matrix) -> Model:
     return fit_logistic(matrix.split("train"))
 
 
+def fit_boosted(rows: DataFrame, **params) -> Model:
+    """First boosted model; class weights follow from the given rows."""
+    weighted, _ = M.prepare(rows, R.LABEL)
+    return M.boosted_trees(R.LABEL, "features", **{**BOOSTED, "seed": 7, **params}).fit(weighted)
+
+
 def train_boosted(matrix: Matrix, **params) -> Model:
-    train, _ = M.prepare(matrix.split("train"), R.LABEL)
-    return M.boosted_trees(R.LABEL, "features", **{**BOOSTED, "seed": 7, **params}).fit(train)
+    return fit_boosted(matrix.split("train"), **params)
+
+
+def fit_boosted_deep(rows: DataFrame, **params) -> Model:
+    """Second boosted model; class weights follow from the given rows."""
+    weighted, _ = M.prepare(rows, R.LABEL)
+    return M.boosted_trees_deep(R.LABEL, "features", **{**BOOSTED_DEEP, "seed": 7, **params}).fit(weighted)
 
 
 def train_boosted_deep(matrix: Matrix, **params) -> Model:
-    train, _ = M.prepare(matrix.split("train"), R.LABEL)
-    return M.boosted_trees_deep(R.LABEL, "features", **{**BOOSTED_DEEP, "seed": 7, **params}).fit(train)
+    return fit_boosted_deep(matrix.split("train"), **params)
 
 
 def train_boosted_stopping(matrix: Matrix, **params) -> Model:
@@ -85,9 +96,14 @@ def train_boosted_stopping(matrix: Matrix, **params) -> Model:
     return gbt.setValidationIndicatorCol("held").fit(weighted)
 
 
+def fit_perceptron(rows: DataFrame, width: int, **params) -> Model:
+    """Network; positives are repeated by the class ratio of the given rows."""
+    even = M.repeat_minority(rows, R.LABEL)
+    return M.perceptron(R.LABEL, "features", width, **{"maxIter": PERCEPTRON_STEPS, **params}).fit(even)
+
+
 def train_perceptron(matrix: Matrix, **params) -> Model:
-    train = M.repeat_minority(matrix.split("train"), R.LABEL)
-    return M.perceptron(R.LABEL, "features", len(matrix.plan.names()), **{"maxIter": PERCEPTRON_STEPS, **params}).fit(train)
+    return fit_perceptron(matrix.split("train"), len(matrix.plan.names()), **params)
 
 
 TRAINERS = {
@@ -99,14 +115,14 @@ TRAINERS = {
 
 
 def attribution(name: str, model: Model, matrix: Matrix, split: str = "validation") -> DataFrame:
-    """(model, feature, value): closed form for the linear model, paths for the trees, permutation for the network."""
+    """(model, feature, value): closed form for the linear model, paths for the trees, gradients for the network."""
     rows, names = matrix.split(split), matrix.plan.names()
     if name == "logistic":
         found = M.linear_attribution(model, rows, "features", names).withColumnRenamed("mean_abs", "value")
     elif name.startswith("boosted"):
         found = path_attribution(model, rows, "features", names).withColumnRenamed("mean_abs", "value")
     else:
-        found = M.permutation_importance(model, rows, R.KEY, R.LABEL, "features", names).withColumnRenamed("auc_drop", "value")
+        found = gradient_attribution(model, rows, "features", names).withColumnRenamed("mean_abs", "value")
     return found.select(F.lit(name).alias("model"), "feature", "value")
 
 

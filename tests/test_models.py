@@ -1,9 +1,11 @@
+import numpy as np
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallyward.operators import models as M
+from tallyward.operators import network_paths as N
 from tallyward.operators import tree_paths as T
 from tallyward.operators.drift import fit_psi_reference
 from tallyward.operators.evaluate import auc
@@ -97,6 +99,60 @@ def test_paths_add_up_to_the_margin(spark, fitted):
     assert mean["numeric__x"] > mean["numeric__noise"]
 
 
+def test_gradients_add_up_to_the_probability(spark, fitted):
+    plan, matrix = fitted
+    names = plan.names()
+    net = M.perceptron("y", "features", len(names), hidden=(6, 4), maxIter=40).fit(matrix)
+    scored = M.positive_probability(net, matrix).select("id", "features", "prob")
+    rows = N.gradient_contributions(net, scored, "features", ["id", "prob"]).collect()
+    assert len(rows) == 1500 and all(abs(r.gap) <= 1e-6 for r in rows)
+    assert all(r.base + sum(r.contributions) == pytest.approx(r.prob, abs=1e-5) for r in rows)
+    # the layers give Spark's own probabilities, and their derivative is the slope between close points
+    layers, x = N.Layers(net), np.array([r.features.toArray() for r in scored.orderBy("id").head(20)])
+    want = [r.prob for r in scored.orderBy("id").head(20)]
+    assert layers.probability(x) == pytest.approx(np.array(want), abs=1e-9)
+    for j in range(len(names)):
+        step = np.zeros(len(names))
+        step[j] = 1e-5
+        slope = (layers.probability(x + step) - layers.probability(x - step)) / 2e-5
+        assert layers.gradient(x)[:, j] == pytest.approx(slope, abs=1e-6)
+    # a row at the baseline has nothing to add; another baseline moves the base
+    at = x[3].tolist()
+    row = N.gradient_contributions(net, scored.where("id = 3"), "features", ["id", "prob"], baseline=at).first()
+    assert row.base == pytest.approx(row.prob) and row.contributions == pytest.approx([0.0] * len(names))
+    mean = {r.feature: r.mean_abs for r in N.gradient_attribution(net, matrix, "features", names).collect()}
+    assert mean["numeric__x"] > mean["numeric__noise"]
+    assert N.gradient_contributions(net, scored.where("id < 0"), "features", ["id"]).count() == 0
+    with pytest.raises(ValueError, match="baseline"):
+        N.gradient_contributions(net, scored, "features", ["id"], baseline=[0.0])
+
+
+def test_sharp_networks_take_more_points(spark, fitted):
+    # steep layers: few points miss the difference, doubled ones reach it
+    plan, matrix = fitted
+    net = M.perceptron("y", "features", len(plan.names()), hidden=(4,), maxIter=10).fit(matrix)
+    layers = N.Layers(net)
+    layers.layers = [(w * 60, b) for w, b in layers.layers]
+    x = np.array([r.features.toArray() for r in matrix.orderBy("id").head(50)])
+    start = np.zeros(x.shape[1])
+    added, gap = layers.contributions(x, start, 1e-6)
+    whole = layers.probability(x) - layers.probability(start[None, :])[0]
+    assert np.abs(gap).max() <= 1e-6 and added.sum(axis=1) + gap == pytest.approx(whole)
+    loose, missed = layers.contributions(x, start, 2.0)
+    assert np.abs(missed).max() > 1e-6 and loose.sum(axis=1) + missed == pytest.approx(whole)
+
+
+def test_optimality_tells_a_fit_from_another(fitted):
+    plan, matrix = fitted
+    weighted, total = M.prepare(matrix, "y")
+    fit = lambda c, steps: M.logistic("y", "features", c, 0.5, total).setMaxIter(steps).fit(weighted)
+    worst = lambda m: M.optimality(m, weighted, "y", "features", "class_weight", plan.names()).agg(F.max("violation")).first()[0]
+    assert worst(fit(0.05, 200)) < 1e-4 < 1e-2 < worst(fit(0.05, 1))
+    rows = M.optimality(fit(0.0001, 200), weighted, "y", "features", "class_weight", plan.names()).collect()
+    assert rows[-1].feature == "(Intercept)" and [r.feature for r in rows[:-1]] == plan.names()
+    assert all(r.violation < 1e-4 for r in rows) and any(r.coefficient == 0 and r.slope != 0 for r in rows)
+
+
 def test_permutation_does_not_depend_on_the_partitioning(spark, fitted):
     plan, matrix = fitted
     lr = fit_lr({"c": 1.0, "l1": 0.0}, matrix)
