@@ -308,7 +308,7 @@ def _(spark, d):
     "isotonic_network_totals",
     with_steps(
         "mart",
-        "SELECT COUNT(*) AS n, SUM(readmitted_30day) AS positives, ROUND(AVG(readmitted_30day), 6) AS mean_calibrated, "
+        "SELECT COUNT(*) AS n, CAST(SUM(readmitted_30day) AS BIGINT) AS positives, ROUND(AVG(readmitted_30day), 6) AS mean_calibrated, "
         "TRUE AS ordered FROM mart WHERE split_group = 'train'",
     ),
 )
