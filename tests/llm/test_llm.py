@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import math
 import re
 import textwrap
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -222,12 +224,52 @@ def test_toxicity_sample(spark):
 
 
 def test_toxicity_rare_cells(spark):
-    """A toxic word that a run over half of the rows each would lose to its penalty."""
+    """A toxic word that a run over half of the rows each loses to its penalty."""
     texts = [f"v{i % 50} v{i % 31} v{i % 17}" + (f" vile{i % 3}" if i % 20 < 3 else "") for i in range(600)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 20 < 3)) for i in range(600)], "doc_id long, toxic int")
-    one, used = toxicity.train(docs, labels, shards=1), toxicity.train(docs, labels)
-    assert np.array_equal(one, used)
+    words = spark.createDataFrame([(k, f"vile{k}") for k in range(3)], "doc_id long, text string")
+    one, two = toxicity.train(docs, labels), toxicity.train(docs, labels, shards=2)
+    worth = lambda w: [r.score for r in toxicity.score(words, w).orderBy("doc_id").collect()]
+    assert all(a > b for a, b in zip(worth(one), worth(two)))
+
+
+def test_toxicity_against_plain_ftrl(spark):
+    """Weights and scores of a row-at-a-time learner that keeps a dictionary per coordinate."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"t{x}" for x in rng.integers(0, 12, 1 + i % 9)) + (" bad luck" if i % 5 == 0 else "") for i in range(120)]
+    texts[7], texts[8] = "", None
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(120)], "doc_id long, toxic int")
+
+    def cells(text):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        row, cell = toxicity.features(data, np.array([0, len(data)], np.int64))
+        return sorted(set(cell.tolist())) + [1 << toxicity.BITS]
+
+    order = spark.range(120).select("id", F.xxhash64("id").alias("draw")).orderBy("draw").collect()
+    learned = [r.id for r in order if zlib.crc32(str(r.id).encode()) % 5]
+    z, n, l1 = defaultdict(float), defaultdict(float), 0.3
+
+    def weight(c):
+        limit = 0.0 if c == 1 << toxicity.BITS else l1
+        return 0.0 if abs(z[c]) <= limit else -(z[c] - math.copysign(limit, z[c])) / ((1.0 + math.sqrt(n[c])) / 0.5 + 0.2)
+
+    for _ in range(2):
+        for i in learned:
+            at = cells(texts[i])
+            w = {c: weight(c) for c in at}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - (i % 5 == 0)
+            for c in at:
+                z[c] += g - (math.sqrt(n[c] + g * g) - math.sqrt(n[c])) / 0.5 * w[c]
+                n[c] += g * g
+    got = toxicity.train(docs, labels, alpha=0.5, beta=1.0, l1=l1, l2=0.2, epochs=2)
+    want = {c: weight(c) for c in z if weight(c)}
+    assert set(np.flatnonzero(got).tolist()) == set(want)
+    assert all(got[c] == pytest.approx(w, abs=1e-5) for c, w in want.items())
+    for r in toxicity.score(docs, got).collect():
+        margin = sum(weight(c) for c in cells(texts[r.doc_id]))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-5)
 
 
 def test_mixing(docs):
