@@ -5,6 +5,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallyward.operators import models as M
+from tallyward.operators import network_fit as NF
 from tallyward.operators import network_paths as N
 from tallyward.operators import tree_paths as T
 from tallyward.operators.drift import fit_psi_reference
@@ -298,3 +299,24 @@ def test_windows_update_and_drop_late_rows(spark, tmp_path):
     assert got == {"2024-01-04": (3, 7.0), "2024-01-18": (2, 24.0)}
     assert late.total(query) >= 1
     spark.streams.removeListener(late)
+
+
+def test_network_steps_are_those_of_repeated_rows(spark, fitted):
+    plan, matrix = fitted
+    skewed = matrix.where("y = 0 OR id % 3 = 0").repartition(3, "id").cache()
+    copies = M.minority_copies(skewed, "y")
+    assert skewed.agg(F.max(copies)).first()[0] > 1
+    net = M.perceptron("y", "features", len(plan.names()), hidden=(6, 4), maxIter=6)
+    want = net.fit(M.repeat_minority(skewed, "y"))
+    got = NF.fit_network(net, skewed, copies)
+    assert got.weights.toArray() == pytest.approx(want.weights.toArray(), abs=1e-9)
+    assert NF.fit_network(net, skewed).weights.toArray() == pytest.approx(net.fit(skewed).weights.toArray(), abs=1e-9)
+    # rows of one task are dealt to all cores, and a fit ends near where Spark's does
+    blocks, stacks = NF.stored_blocks(skewed.coalesce(1), "y", "features", copies, 128)
+    assert blocks.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert stacks == -(-skewed.agg(F.sum(copies)).first()[0] // 128) and blocks.map(lambda b: float(b[2].sum())).sum() == pytest.approx(stacks)
+    blocks.unpersist()
+    long = net.copy({net.maxIter: 60})
+    assert abs(value(M.positive_probability(NF.fit_network(long, matrix), matrix)) - value(M.positive_probability(long.fit(matrix), matrix))) < 0.02
+    with pytest.raises(Exception, match="NULL|null|Null|NaN"):
+        NF.fit_network(net, skewed.withColumn("y", F.when(F.col("id") != 0, F.col("y"))))
