@@ -11,6 +11,7 @@ from tallyward.operators import tree_paths as T
 from tallyward.operators.drift import fit_psi_reference
 from tallyward.operators.evaluate import auc
 from tallyward.operators.features import category_levels, fit_features, safe_names
+from tallyward.session import materialize_parts
 from tallyward.sources import sinks
 from tallyward.sources.readers import to_requests
 from tallyward.streaming import jobs as S
@@ -308,15 +309,24 @@ def test_network_steps_are_those_of_repeated_rows(spark, fitted):
     assert skewed.agg(F.max(copies)).first()[0] > 1
     net = M.perceptron("y", "features", len(plan.names()), hidden=(6, 4), maxIter=6)
     want = net.fit(M.repeat_minority(skewed, "y"))
-    got = NF.fit_network(net, skewed, copies)
+    got = NF.fit_network(net, skewed, copies, many=0)
+    assert (NF.fit_network(net, skewed, copies).weights.toArray() == want.weights.toArray()).all()
     assert got.weights.toArray() == pytest.approx(want.weights.toArray(), abs=1e-9)
-    assert NF.fit_network(net, skewed).weights.toArray() == pytest.approx(net.fit(skewed).weights.toArray(), abs=1e-9)
+    assert NF.fit_network(net, skewed, many=0).weights.toArray() == pytest.approx(net.fit(skewed).weights.toArray(), abs=1e-9)
     # rows of one task are dealt to all cores, and a fit ends near where Spark's does
-    blocks, stacks = NF.stored_blocks(skewed.coalesce(1), "y", "features", copies, 128)
+    blocks, stacks = NF.stored_blocks(skewed.coalesce(1), "y", "features", copies, 128, 1500)
     assert blocks.getNumPartitions() >= spark.sparkContext.defaultParallelism
     assert stacks == -(-skewed.agg(F.sum(copies)).first()[0] // 128) and blocks.map(lambda b: float(b[2].sum())).sum() == pytest.approx(stacks)
     blocks.unpersist()
     long = net.copy({net.maxIter: 60})
-    assert abs(value(M.positive_probability(NF.fit_network(long, matrix), matrix)) - value(M.positive_probability(long.fit(matrix), matrix))) < 0.02
+    assert abs(value(M.positive_probability(NF.fit_network(long, matrix, many=0), matrix)) - value(M.positive_probability(long.fit(matrix), matrix))) < 0.02
     with pytest.raises(Exception, match="NULL|null|Null|NaN"):
-        NF.fit_network(net, skewed.withColumn("y", F.when(F.col("id") != 0, F.col("y"))))
+        NF.fit_network(net, skewed.withColumn("y", F.when(F.col("id") != 0, F.col("y"))), many=0)
+
+
+def test_parts_are_written_without_a_sort(spark):
+    rows = spark.range(40).select("id", F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("part"), F.array("id").alias("v"))
+    stored = materialize_parts(rows, "parts", "part", ["a", "b", "none"])
+    assert sorted(stored.columns) == sorted(rows.columns)
+    assert sorted(map(tuple, stored.select(*rows.columns).collect())) == sorted(map(tuple, rows.collect()))
+    assert stored.where("part = 'none'").count() == 0
