@@ -72,17 +72,30 @@ class Pieces:
         self.sizes = sorted(by_size)
         # longest piece by its first three bytes: most places start none of the longer ones
         self.reach = np.zeros(1 << 24, np.uint8)
+        # which lengths its pieces have, a bit each from three on, the last for all that are longer
+        self.lengths = np.zeros(1 << 24, np.uint16)
         for size in self.sizes:
-            for _, i in by_size[size] if size > 3 else ():
+            for _, i in by_size[size] if size > 2 else ():
                 a, b, c = self.text[i][:3]
-                self.reach[a << 16 | b << 8 | c] = size
-        self.keys, self.ids, self.weights = {}, {}, {}
+                self.lengths[a << 16 | b << 8 | c] |= self.length_bit(size)
+                if size > 3:
+                    self.reach[a << 16 | b << 8 | c] = size
+        self.keys, self.ids, self.weights, self.bytes = {}, {}, {}, {}
         for size, pairs in by_size.items():
             keys = np.array([k for k, _ in pairs], np.uint64)
             ids = np.array([i for _, i in pairs], np.int64)
             order = np.argsort(keys)
             self.keys[size], self.ids[size] = keys[order], ids[order]
             self.weights[size] = weight[ids[order]]
+            self.bytes[size] = np.frombuffer(b"".join([self.text[i] for i in ids[order].tolist()]), np.uint8).reshape(-1, size)
+        # place of a piece of two bytes among them, -1: none
+        self.pair = np.full(1 << 16, -1, np.int32)
+        for at, i in enumerate(self.ids[2].tolist() if 2 in self.ids else ()):
+            self.pair[self.text[i][0] << 8 | self.text[i][1]] = at
+
+    @staticmethod
+    def length_bit(size: int) -> int:
+        return 1 << min(size - 3, 15)
 
     @staticmethod
     def key(piece: bytes) -> int:
@@ -99,88 +112,107 @@ def vocabulary(model: str, alpha: float = ALPHA, byte_weight: float = BYTE_WEIGH
 
 
 class Lattice:
-    """Edges of many chunks, sorted by end node, with cumulative shares of the forward sums."""
+    """Edges of many chunks, sorted by end node, with cumulative shares of the forward sums.
+
+    Nodes are numbered by length of chunk, place in it, chunk: the filter meets
+    them in this order, so that its edges need no sort over all of them.
+    """
 
     def __init__(self, vocab: Pieces, chunks: list[bytes]):
         self.sizes = np.array([len(c) for c in chunks], np.int64)
-        self.base = np.concatenate([[0], np.cumsum(self.sizes + 1)])[:-1]
-        nodes = int(self.sizes.sum() + len(chunks))
-        found: list[tuple[np.ndarray, ...]] = []
         small = np.flatnonzero(self.sizes <= WIDE)
         order = small[np.argsort(self.sizes[small], kind="stable")]
         groups = [g for g in np.split(order, np.flatnonzero(np.diff(self.sizes[order])) + 1) if len(g)]
+        self.base = np.zeros(len(chunks), np.int64)
+        self.stride = np.zeros(len(chunks), np.int64)  # from a chunk's node to its next
+        found: list[tuple[np.ndarray, ...]] = []
+        nodes = 0
         for group in groups:
             width = int(self.sizes[group[0]])
             grid = np.frombuffer(b"".join([chunks[k] for k in group]), np.uint8).reshape(len(group), width)
-            found += self._filtered(vocab, grid, self.base[group])
+            self.base[group] = nodes + np.arange(len(group))
+            self.stride[group] = len(group)
+            found.append((np.zeros(len(group), np.int32), *(np.empty(0, t) for t in (np.int32, np.int32, np.int64))))
+            found += self._filtered(vocab, grid, nodes)
+            nodes += len(group) * (width + 1)
         parts = list(zip(*found))
         del found
-        end = np.concatenate(parts[0])
-        order = np.argsort(end, kind="stable").astype(np.int32)
-        end = end[order]
-        self.start, self.piece = np.concatenate(parts[1])[order], np.concatenate(parts[2])[order]
+        # edges into each node
+        count = np.concatenate(parts[0])
+        self.first = np.concatenate([np.zeros(1, np.int32), np.cumsum(count, dtype=np.int32)])
+        self.start, self.piece = np.concatenate(parts[1]), np.concatenate(parts[2])
         # whole numbers: sums do not depend on what else is in the lattice
-        share = np.concatenate(parts[3])[order]
-        del parts, order
-        self.first = np.searchsorted(end, np.arange(nodes + 1, dtype=np.int32)).astype(np.int32)
-        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(share)])
-        self.upto = total[1:] - total[self.first[:-1]][end]
+        self.upto = np.concatenate(parts[3])
+        del parts
+        np.cumsum(self.upto, out=self.upto)
+        before = np.concatenate([np.zeros(1, np.int64), self.upto])[self.first[:-1]]
+        self.upto -= np.repeat(before, count)
 
     @staticmethod
-    def _filtered(vocab: Pieces, grid: np.ndarray, base: np.ndarray):
-        """Forward sums of chunks of one length, scaled per node; edges as (end, start, piece, share)."""
+    def _filtered(vocab: Pieces, grid: np.ndarray, base: int):
+        """Forward sums of chunks of one length, scaled per node; per place the nodes' (edge counts, start, piece, share)."""
         rows, width = grid.shape
         edges: list[list[tuple[np.ndarray, int, np.ndarray, np.ndarray]]] = [[] for _ in range(width + 1)]
+        kind = np.uint16 if rows <= 1 << 16 else np.int64  # short numbers are sorted by counting
         every = np.arange(rows)
         for p in range(width):
             edges[p + 1].append((every, p, vocab.single[grid[:, p]], vocab.single_weight[grid[:, p]]))
-        wide = grid.astype(np.uint64)
+        # place by place: a column of the grid is a stretch of this
+        by_place = np.ascontiguousarray(grid.T)
+        wide = by_place.astype(np.uint64)
         key = wide.copy()
-        if width > 3:
-            three = grid[:, :-2].astype(np.int32) << 16 | grid[:, 1:-1].astype(np.int32) << 8 | grid[:, 2:]
-            reach = vocab.reach[three]
+        if width > 2:
+            long = by_place.astype(np.int32)
+            lengths = vocab.lengths[long[:-2] << 16 | long[1:-1] << 8 | long[2:]]
         for size in range(2, min(width, vocab.sizes[-1] if vocab.sizes else 1) + 1):
-            key = key[:, :-1] * np.uint64(257) + wide[:, size - 1 :]
+            key = key[:-1] * np.uint64(257) + wide[size - 1 :]
             if size not in vocab.keys:
                 continue
-            table = vocab.keys[size]
-            row, p = np.nonzero(reach[:, : key.shape[1]] >= size) if size > 3 else (x.ravel() for x in np.indices(key.shape))
-            wanted = key[row, p]
-            at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
-            hit = np.flatnonzero(table[at] == wanted)
-            if not len(hit):
+            if size == 2:
+                at = vocab.pair[by_place[:-1].astype(np.int32) << 8 | by_place[1:]]
+                p, row = np.nonzero(at >= 0)
+                which = at[p, row]
+            else:
+                table = vocab.keys[size]
+                p, row = np.nonzero(lengths[: len(key)] & vocab.length_bit(size))
+                wanted = key[p, row]
+                at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
+                hit = np.flatnonzero(table[at] == wanted)
+                p, row, which = p[hit], row[hit], at[hit]
+            if size > 7 and len(p):
+                good = (by_place[p[:, None] + np.arange(size), row[:, None]] == vocab.bytes[size][which]).all(axis=1)
+                p, row, which = p[good], row[good], which[good]
+            if not len(p):
                 continue
-            row, p, which = row[hit], p[hit], at[hit]
-            if size > 7:
-                good = [vocab.text[vocab.ids[size][w]] == grid[r, q : q + size].tobytes() for r, q, w in zip(row, p, which)]
-                row, p, which = row[good], p[good], which[good]
-            by_start = np.argsort(p, kind="stable")
-            row, p, which = row[by_start], p[by_start], which[by_start]
+            piece, weight = vocab.ids[size][which], vocab.weights[size][which]
             cut = np.searchsorted(p, np.arange(width + 1))
-            for q in np.unique(p):
+            for q in np.flatnonzero(np.diff(cut)).tolist():
                 s = slice(cut[q], cut[q + 1])
-                edges[q + size].append((row[s], int(q), vocab.ids[size][which[s]], vocab.weights[size][which[s]]))
-        log_sum = np.zeros((rows, width + 1))
+                edges[q + size].append((row[s], q, piece[s], weight[s]))
+        log_sum = np.zeros((width + 1, rows))
         out = []
         for e in range(1, width + 1):
             parts = edges[e]
+            values = [np.log(w) + log_sum[q, r] for r, q, _, w in parts]
+            top = values[0].copy()
+            for (r, *_), v in zip(parts[1:], values[1:]):
+                top[r] = np.maximum(top[r], v)  # a part has a row once
             row = np.concatenate([x[0] for x in parts])
-            start = np.concatenate([np.full(len(x[0]), x[1]) for x in parts])
-            piece = np.concatenate([x[2] for x in parts])
-            value = np.log(np.concatenate([x[3] for x in parts])) + log_sum[row, start]
-            top = np.full(rows, -np.inf)
-            np.maximum.at(top, row, value)
-            mass = np.exp(value - top[row])
+            mass = np.exp(np.concatenate(values) - top[row])
             total = np.bincount(row, weights=mass, minlength=rows)
-            log_sum[:, e] = top + np.log(total)
+            log_sum[e] = top + np.log(total)
+            start = np.concatenate([base + x[1] * rows + x[0] for x in parts])
+            order = np.argsort(row.astype(kind), kind="stable")
             share = np.rint(mass / total[row] * 2.0**32).astype(np.int64)
-            at = base[row]
-            out.append(tuple(x.astype(np.int32) for x in (at + e, at + start, piece)) + (share,))
+            out.append((
+                np.bincount(row, minlength=rows).astype(np.int32), start[order].astype(np.int32),
+                np.concatenate([x[2] for x in parts])[order].astype(np.int32), share[order],
+            ))
         return out
 
     def sampled(self, chunk: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(pieces, row limits): one path per entry of ``chunk``, drawn from its end."""
-        node = self.base[chunk] + self.sizes[chunk]
+        node = self.base[chunk] + self.sizes[chunk] * self.stride[chunk]
         root = self.base[chunk]
         live = np.arange(len(chunk))
         steps: list[tuple[np.ndarray, np.ndarray]] = []

@@ -270,6 +270,30 @@ def test_long_chunks_have_the_lattice_of_short_ones(monkeypatch):
     assert paths[0] == paths[1] == paths[2] != encode(vocab, [text], np.array([5]))[0].tolist()
 
 
+def test_lattice_of_many_lengths_and_its_lookups(monkeypatch):
+    """Each chunk's edges are those it has alone, and few places are looked up among the pieces."""
+    from tallyward.llm import pieces as P
+
+    vocab = vocabulary(MODEL)
+    words = b"the internationalisation of 2048 representations is responsible for misunderstandings".split()
+    chunks = sorted({w[:n] for w in words for n in range(1, len(w) + 1)} | {b" " + w for w in words} | {"日本é".encode(), b" " * 20})
+    looked_up = []
+    monkeypatch.setattr(P.np, "searchsorted", lambda a, v, *more, real=np.searchsorted: (looked_up.append(np.size(v) if a.dtype == np.uint64 else 0), real(a, v, *more))[1])
+    every = P.Lattice(vocab, chunks)
+    monkeypatch.undo()
+    assert sum(looked_up) < 2.5 * sum(map(len, chunks))  # 3.4 when all pairs and triples were looked up
+    for k, chunk in enumerate(chunks):
+        alone = P.Lattice(vocab, [chunk])
+        base, stride = every.base[k], every.stride[k]
+        for e in range(len(chunk) + 1):
+            here, there = base + e * stride, e
+            a, b = slice(every.first[here], every.first[here + 1]), slice(alone.first[there], alone.first[there + 1])
+            assert every.piece[a].tolist() == alone.piece[b].tolist() and every.upto[a].tolist() == alone.upto[b].tolist()
+            assert ((every.start[a] - base) // stride).tolist() == alone.start[b].tolist()
+            want = {chunk[s:e] for s in range(e) if chunk[s:e] in set(vocab.text) or e - s == 1} if len(chunk) < 6 else None
+            assert want is None or {vocab.text[i] for i in alone.piece[b]} == want
+
+
 def test_unspaced_text_of_megabytes_in_bounded_memory():
     """4 MB of letters without a space take the memory of a window."""
     code = (
