@@ -168,6 +168,34 @@ def test_permutation_does_not_depend_on_the_partitioning(spark, fitted):
     assert got[0] == got[1] and any(drop for _, drop in got[0])
 
 
+def test_permutation_scores_only_what_changes(fitted):
+    """A partner with the same value needs no score of its own; the drops are those of all copies scored."""
+    plan, matrix = fitted
+    lr = fit_lr({"c": 10.0, "l1": 0.0}, matrix)
+    seen = []
+
+    class Counted:
+        def transform(self, df):
+            seen.append(df.count())
+            return lr.transform(df)
+
+    few = matrix.where("id < 300")
+    got = {r.feature: r.auc_drop for r in M.permutation_importance(Counted(), few, "id", "y", "features", plan.names()).collect()}
+    rows = few.select("id", "y", vector_to_array("features").alias("x"), F.xxhash64("id", F.lit(0)).alias("h")).collect()
+    ring = sorted(rows, key=lambda r: (r.h, r.id))
+    partner = {a.id: b.x for a, b in zip(ring, ring[1:] + ring[:1])}
+    width = len(plan.names())
+    changed = sum(r.x[j] != partner[r.id][j] for r in rows for j in range(width))
+    assert seen == [len(rows) + changed] and changed < len(rows) * width
+
+    def area(j):
+        margin = lambda r: sum(c * (partner[r.id] if i == j else r.x)[i] for i, c in enumerate(lr.coefficients))
+        pos, neg = ([margin(r) for r in rows if r.y == y] for y in (1, 0))
+        return sum((p > n) + (abs(p - n) < 1e-12) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+
+    assert all(got[name] == pytest.approx(area(-1) - area(j), abs=1e-4) for j, name in enumerate(plan.names()))
+
+
 def fit_lr(params, rows):
     weighted, total = M.prepare(rows, "y")
     return M.logistic("y", "features", params["c"], params["l1"], total).fit(weighted)
