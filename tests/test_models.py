@@ -352,6 +352,29 @@ def test_network_steps_are_those_of_repeated_rows(spark, fitted):
         NF.fit_network(net, skewed.withColumn("y", F.when(F.col("id") != 0, F.col("y"))), many=0)
 
 
+def test_networks_of_folds_share_their_passes(spark, fitted, monkeypatch):
+    plan, matrix = fitted
+    folded = matrix.withColumn("fold", (F.col("id") % 3).cast("int")).repartition(3, "id").cache()
+    net = M.perceptron("y", "features", len(plan.names()), hidden=(6, 4), maxIter=6)
+    others = [F.col("fold") != i for i in range(3)]
+    copies = [F.when(rest, M.minority_copies(folded.where(rest), "y")).otherwise(0) for rest in others]
+    passes, evaluations, alone = [], [], NF.minimise_all
+    monkeypatch.setattr(NF, "minimise_all", lambda evaluate, *rest: alone(lambda p: passes.append(len(p)) or evaluate(p), *rest))
+    got = NF.fit_networks(net, folded, copies, many=0)
+    together = len(passes)
+    for rest, model, times in zip(others, got, copies):
+        own = folded.where(rest)
+        want = net.fit(M.repeat_minority(own, "y")).weights.toArray()
+        assert model.weights.toArray() == pytest.approx(want, abs=1e-9)
+        passes.clear()
+        NF.fit_network(net, own, times, many=0)
+        evaluations.append(len(passes))
+    assert together == max(evaluations) < sum(evaluations)
+    # few rows take Spark's own fit, fold by fold
+    few = NF.fit_networks(net, folded, copies)
+    assert (few[0].weights.toArray() == net.fit(M.repeat_minority(folded.where(others[0]), "y")).weights.toArray()).all()
+
+
 def test_parts_are_written_without_a_sort(spark):
     rows = spark.range(40).select("id", F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("part"), F.array("id").alias("v"))
     stored = materialize_parts(rows, "parts", "part", ["a", "b", "none"])
