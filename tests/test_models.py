@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
@@ -11,6 +13,7 @@ from tallyward.operators import tree_paths as T
 from tallyward.operators.drift import fit_psi_reference
 from tallyward.operators.evaluate import auc
 from tallyward.operators.features import category_levels, fit_features, safe_names
+from tallyward.plans import catalog_models as C
 from tallyward.session import materialize_parts
 from tallyward.sources import sinks
 from tallyward.sources.readers import to_requests
@@ -381,3 +384,14 @@ def test_parts_are_written_without_a_sort(spark):
     assert sorted(stored.columns) == sorted(rows.columns)
     assert sorted(map(tuple, stored.select(*rows.columns).collect())) == sorted(map(tuple, rows.collect()))
     assert stored.where("part = 'none'").count() == 0
+
+
+def test_compared_models_are_fitted_side_by_side(spark, monkeypatch):
+    names = list(C.K.TRAINERS)
+    meet = threading.Barrier(len(names), timeout=30)  # breaks if a fit waits for another to end
+    monkeypatch.setattr(C, "data_state", lambda spark, d: (d,))
+    monkeypatch.setattr(C, "_MATRICES", {("here",): "matrix"})
+    monkeypatch.setattr(C, "_MODELS", {})
+    monkeypatch.setattr(C.K, "TRAINERS", {name: lambda x, name=name: (meet.wait(), f"{name} of {x}")[1] for name in names})
+    assert C.every_fitted(spark, "here") == {name: f"{name} of matrix" for name in names}
+    assert list(C.every_fitted(spark, "here")) == names  # kept, so nothing waits at the barrier again
