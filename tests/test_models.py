@@ -395,3 +395,19 @@ def test_compared_models_are_fitted_side_by_side(spark, monkeypatch):
     monkeypatch.setattr(C.K, "TRAINERS", {name: lambda x, name=name: (meet.wait(), f"{name} of {x}")[1] for name in names})
     assert C.every_fitted(spark, "here") == {name: f"{name} of matrix" for name in names}
     assert list(C.every_fitted(spark, "here")) == names  # kept, so nothing waits at the barrier again
+
+
+def test_calibrated_trees_have_the_reported_sizes(spark, monkeypatch):
+    asked, rows = [], spark.range(2).select(F.col("id").alias("encounter_id"), F.lit("train").alias("split_group"), F.lit(1).alias("readmitted_30day"))
+
+    class Kept:
+        fit = staticmethod(lambda rows: None)
+        transform = staticmethod(lambda df: df.withColumn("prob", F.lit(0.5)))
+
+    for name in ("boosted_trees", "boosted_trees_deep"):
+        monkeypatch.setattr(M, name, lambda *_, **params: asked.append(params["maxIter"]) or Kept)
+    monkeypatch.setattr(M, "prepare", lambda rows, label: (rows, 1.0))
+    monkeypatch.setattr(M, "platt_ensemble", lambda fit, train, *_: (fit(train), Kept)[1])
+    monkeypatch.setattr(C, "matrix", lambda spark, d: C.K.Matrix(None, rows))
+    assert C.catalog.queries["platt_boosted"](spark, "here").count() == 4
+    assert asked == [C.K.BOOSTED["maxIter"], C.K.BOOSTED_DEEP["maxIter"]] == [217, 201]
