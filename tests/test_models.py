@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tallyward.operators import logistic_fit as L
 from tallyward.operators import models as M
 from tallyward.operators import network_fit as NF
 from tallyward.operators import network_paths as N
@@ -411,3 +412,65 @@ def test_calibrated_trees_have_the_reported_sizes(spark, monkeypatch):
     monkeypatch.setattr(C, "matrix", lambda spark, d: C.K.Matrix(None, rows))
     assert C.catalog.queries["platt_boosted"](spark, "here").count() == 4
     assert asked == [C.K.BOOSTED["maxIter"], C.K.BOOSTED_DEEP["maxIter"]] == [217, 201]
+
+
+def test_penalties_and_folds_share_their_passes(spark, fitted, monkeypatch):
+    """Many logistic models in the passes of one, each with the steps of Spark's own fit."""
+    _, matrix = fitted
+    folded = matrix.withColumn("fold", (F.col("id") % 3).cast("int")).repartition(3, "id").cache()
+    grid = [{"c": c, "l1": l1} for c in (0.003, 1.0) for l1 in (0.0, 0.5, 1.0)]
+    models = [L.Penalised(i, p["c"], p["l1"]) for p in grid for i in range(3)]
+    passes, alone = [], L.minimise_all
+    monkeypatch.setattr(L, "minimise_all", lambda evaluate, searches: alone(lambda p: passes.append(len(p)) or evaluate(p), searches))
+    got = L.fit_logistics(folded, "y", "features", "fold", 3, models, many=0)
+    assert max(passes) == len(models) and len(passes) < 200
+    for at in (0, 4, 8, 9, 13, 17):
+        m = models[at]
+        want = fit_lr({"c": m.c, "l1": m.l1_ratio}, folded.where(F.col("fold") != m.fold))
+        assert got[at] == pytest.approx([*want.coefficients, want.intercept], abs=1e-7)
+        assert ((got[at][:-1] == 0) == (want.coefficients.toArray() == 0)).all()
+    together = lambda grid, df, many=0: L.held_out_scores(df, "y", "features", "fold", 3, [(p["c"], p["l1"]) for p in grid], many)
+    want = M.search_cv(fit_lr, grid, folded, "fold", 3, "y")
+
+    def never(params, rows):
+        raise AssertionError("a trial was fitted alone")
+
+    best, score, trials = M.search_cv(never, grid, folded, "fold", 3, "y", together=together)
+    assert [p for p, _ in trials] == grid and [v for _, v in trials] == pytest.approx([v for _, v in want[2]], abs=1e-4)
+    # few rows, missing values, other labels and folds of one class are left to Spark's own fit
+    assert together(grid, folded, NF.MANY_ROWS) is None and M.search_cv(fit_lr, grid[:1], folded, "fold", 3, "y", together=lambda *_: None)[2]
+    for odd in (F.when(F.col("id") != 5, F.col("y")), F.col("y") * 2, F.when(F.col("fold") == 0, F.col("y")).otherwise(0)):
+        assert together(grid, folded.withColumn("y", odd)) is None
+
+
+def test_network_passes_add_up_blocks_in_the_same_arrays(spark, fitted):
+    rng, sizes = np.random.default_rng(3), [5, 4, 3, 2]
+    flat = rng.normal(size=sum((a + 1) * b for a, b in zip(sizes, sizes[1:])))
+    x, y, w = rng.normal(size=(40, 5)), rng.integers(0, 2, 40), rng.random(40) * (np.arange(40) % 4 > 0)
+    space = NF.Passed.space_for(sizes, 25)
+
+    def passed(flat, cuts):
+        found = NF.Passed(flat, sizes, space)
+        for lo, hi in zip(cuts, cuts[1:]):
+            found.add(x[lo:hi], y[lo:hi], w[lo:hi])
+        return found
+
+    got = passed(flat, [0, 25, 26, 40])
+    for i in range(len(flat)):
+        nudge = np.eye(len(flat))[i] * 1e-6
+        slope = (passed(flat + nudge, [0, 20, 40]).loss - passed(flat - nudge, [0, 20, 40]).loss) / 2e-6
+        assert got.gradient[i] == pytest.approx(slope, abs=1e-7)
+    # the start is drawn from one row, and odd rows are still found
+    _, matrix = fitted
+    net = M.perceptron("y", "features", 5, hidden=(4,), maxIter=2)
+    held, fits = type(net).fit, []
+    type(net).fit = lambda self, df, *rest: fits.append(df.count()) or held(self, df, *rest)
+    try:
+        NF.fit_network(net, matrix, many=0)
+    finally:
+        type(net).fit = held
+    assert set(fits) == {1}
+    last = lambda odd: F.when(F.col("id") == 1499, odd).otherwise(F.col("y"))
+    for odd in (F.lit(None), F.lit(2), F.lit(-1), F.lit(0.5)):
+        with pytest.raises(Exception, match="no class|null|NULL"):
+            NF.fit_network(net, matrix.withColumn("y", last(odd)), F.lit(1), many=0)
